@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +33,18 @@ def linear_regression(features_col: str = FEATURES, label_col: str = "label",
 
 def fit_linear(df: DataFrame, features_col: str = FEATURES, label_col: str = "label",
                **params) -> LinearRegressionModel:
-    """M6: fit on ``df``; only the needed columns are read."""
-    return linear_regression(features_col, label_col, **params).fit(
-        df.select(features_col, label_col))
+    """M6: fit on ``df``; only the needed columns are read.
+
+    The fit reads its input several times (feature statistics, normal
+    equations, summary), so the two-column training frame is persisted
+    (memory, spilling to disk; lost blocks are recomputed from lineage)
+    for the duration of the fit and released afterwards.
+    """
+    data = df.select(features_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return linear_regression(features_col, label_col, **params).fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: LinearRegressionModel, df: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from scorewell.functions.scalars import (FALLBACK_PROBABILITY, STATUS_FALLBACK,
 from scorewell.operators.encoding import (Feature, as_features, preprocessor_features,
                                           unseen_count)
 from scorewell.operators.regression import PREDICTION
+from scorewell.session import ship_package
 
 
 def _finish(df: DataFrame, keep: Sequence[str], raw: str, status: str, n_unseen) -> DataFrame:
@@ -77,6 +78,7 @@ def score_python_model(df: DataFrame, model, features: Sequence[Feature | str],
         (coerce_category(f.name) if f.kind == "score" else F.col(f.name).cast("string")).alias(f.name)
         for f in feats])
     spark = df.sparkSession
+    ship_package(spark)
     bmodel = spark.sparkContext.broadcast(model)
     keep_fields = [prepared.schema[k] for k in keep]
     out_schema = T.StructType([*keep_fields, T.StructField("_raw", T.DoubleType())])

@@ -22,6 +22,7 @@ from scorewell.operators.tracking import (METRICS, RUNS, VERSIONS, latest_versio
                                           log_runs, param_rows, read_table,
                                           register_versions)
 from scorewell.sources.files import ingest_first_source, path_has_data
+from scorewell.session import spread
 from scorewell.sources.models import save_model
 
 
@@ -52,8 +53,8 @@ def _split(df: DataFrame, p: TrainParams):
 
 def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
     """The four reference steps as one job chain; returns a summary."""
-    raw = ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
-                              **p.source_options)
+    raw = spread(ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
+                                     **p.source_options))
     feats = as_features(p.features)
     clean = drop_null_rows(raw, [p.target])
     train_raw, test_raw = _split(clean, p)

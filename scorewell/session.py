@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,8 +68,49 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``scorewell`` importable in executor Python workers.
+
+    Needed only where Python runs in tasks (``mapInPandas`` with a model
+    object of ours).  The package is zipped once per application and handed
+    to ``addPyFile``, which distributes it like ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    target = os.path.join(tempfile.mkdtemp(prefix="scorewell-pkg-"), "scorewell.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows when a scan yields fewer partitions than cores.
+
+    A file with one row group is read by one task, and every narrow step
+    after it (coercion, index, one-hot, model) would run on one core.  Large
+    inputs have far more splits than cores, so there this is a no-op.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One of the given tables; under-split scans are spread (``spread``)."""
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
