@@ -9,9 +9,11 @@ plain expressions.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,12 +81,13 @@ def score_python_model(df: DataFrame, model, features: Sequence[Feature | str],
         for f in feats])
     spark = df.sparkSession
     ship_package(spark)
-    bmodel = spark.sparkContext.broadcast(model)
+    # cloudpickle handles models defined in notebooks or functions
+    bmodel = spark.sparkContext.broadcast(cloudpickle.dumps(model))
     keep_fields = [prepared.schema[k] for k in keep]
     out_schema = T.StructType([*keep_fields, T.StructField("_raw", T.DoubleType())])
 
     def run(batches):
-        m = bmodel.value
+        m = pickle.loads(bmodel.value)
         for pdf in batches:
             preds = m.predict(pdf[names])
             if hasattr(preds, "__len__"):
