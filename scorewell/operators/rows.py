@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewell.functions.scalars import stable_bucket
+from scorewell.session import spread
 
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
@@ -69,7 +70,7 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     for i, c in enumerate(cols):
         aggs.append((F.count(F.lit(1)) - F.count(F.col(c))).alias(f"n{i}"))
         aggs.append(F.count_distinct(F.col(c)).alias(f"d{i}"))
-    wide = df.agg(*aggs)
+    wide = spread(df.select(*cols)).agg(*aggs)
     stack = ", ".join(
         f"{i}, '{c}', '{types[c]}', n{i}, d{i}" for i, c in enumerate(cols))
     return wide.selectExpr(

@@ -22,10 +22,12 @@ from pyspark.sql import types as T
 from scorewell.functions.scalars import (FALLBACK_PROBABILITY, STATUS_FALLBACK,
                                          STATUS_SUCCESS, coerce_category,
                                          normalize_probability, risk_band, round4)
+from scorewell.operators.compiled import (can_compile, prediction_expression,
+                                          unseen_expression)
 from scorewell.operators.encoding import (Feature, as_features, preprocessor_features,
                                           unseen_count)
 from scorewell.operators.regression import PREDICTION
-from scorewell.session import ship_package
+from scorewell.session import ship_package, spread
 
 
 def _finish(df: DataFrame, keep: Sequence[str], raw: str, status: str, n_unseen) -> DataFrame:
@@ -41,9 +43,13 @@ def _finish(df: DataFrame, keep: Sequence[str], raw: str, status: str, n_unseen)
 
 
 def score(df: DataFrame, preprocessor: PipelineModel | None, model: Transformer | None,
-          keep: Sequence[str] = ()) -> DataFrame:
+          keep: Sequence[str] = (), compiled: bool = True) -> DataFrame:
     """Coerce -> preprocess -> predict -> normalise -> round -> band.
 
+    A linear model over small label sets is evaluated as inlined Catalyst
+    expressions (``operators.compiled``, same doubles as the ML transform);
+    any other model runs ``preprocessor.transform`` then ``model.transform``.
+
     No model -> fallback rows (P3).  A model without its preprocessor is an
     error raised before any job runs (K11).
     """
@@ -55,6 +61,11 @@ def score(df: DataFrame, preprocessor: PipelineModel | None, model: Transformer
     missing = [f.name for f in feats if f.name not in df.columns]
     if missing:
         raise ValueError(f"records lack required features: {missing}")
+    if compiled and can_compile(preprocessor, model):
+        scored = df.withColumn(PREDICTION, prediction_expression(preprocessor, model))
+        return _finish(scored, keep, PREDICTION, STATUS_SUCCESS, unseen_expression(preprocessor))
+    if not df.isStreaming:
+        df = spread(df)
     scored = model.transform(preprocessor.transform(df))
     return _finish(scored, keep, PREDICTION, STATUS_SUCCESS, unseen_count(preprocessor))
 

@@ -13,20 +13,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.operators.encoding import Feature, as_features, fit_preprocessor
+from scorewell.operators.compiled import can_compile, prediction_expression
+from scorewell.operators.encoding import (Feature, as_features, cat_col, fit_preprocessor,
+                                          preprocessor_features)
 from scorewell.operators.regression import PREDICTION, fit_linear
 from scorewell.operators.rows import drop_null_rows
+from scorewell.session import spread
 
 
 def fit_and_predict(df: DataFrame, features: Sequence[Feature | str], target: str,
                     method: str = "counts", **lr_params):
     """Fit preprocessor + regression on ``df`` and return (prep, lr, predictions)."""
     feats = as_features(features)
-    clean = drop_null_rows(df, [target])
+    clean = spread(drop_null_rows(df, [target]))
     prep = fit_preprocessor(clean, feats, method=method)
     prepared = prep.transform(clean).withColumn("label", F.col(target).cast("double"))
     lr = fit_linear(prepared, label_col="label", **lr_params)
-    return prep, lr, lr.transform(prepared)
+    return prep, lr, predictions(clean, prep, lr, target)
+
+
+def predictions(df: DataFrame, prep, lr, target: str) -> DataFrame:
+    """``df`` + canonical text columns + ``label`` + ``prediction``.
+
+    Inlined expressions when the model compiles (same doubles, one codegen
+    stage), else the ML transforms.
+    """
+    feats = preprocessor_features(prep)
+    if can_compile(prep, lr):
+        return df.select(
+            "*", *[F.expr(f.coerce_sql()).alias(cat_col(f.name)) for f in feats],
+            F.col(target).cast("double").alias("label"),
+            prediction_expression(prep, lr).alias(PREDICTION))
+    return lr.transform(prep.transform(spread(df)).withColumn("label", F.col(target).cast("double")))
 
 
 # Relative gap allowed between a level's mean prediction and mean label;
@@ -43,7 +61,7 @@ def level_calibration(pred: DataFrame, features: Sequence[Feature], label: str =
     One pass: feature/level pairs are unpivoted and aggregated with
     map-side combine; the output has one row per level.
     """
-    cols = [F.col(f.name + "__cat").alias(f.name) for f in features]
+    cols = [F.col(cat_col(f.name)).alias(f.name) for f in features]
     slim = pred.select(*cols, F.col(label).alias("_y"), F.col(PREDICTION).alias("_p"))
     long = slim.unpivot(ids=["_y", "_p"], values=[f.name for f in features],
                         variableColumnName="feature", valueColumnName="level")

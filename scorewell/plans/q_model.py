@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from scorewell.operators.encoding import (Feature, fit_preprocessor, index_col,
                                           vector_col, vector_width)
 from scorewell.operators.regression import fit_linear, linear_regression, regression_metrics
 from scorewell.operators.tracking import param_rows
-from scorewell.plans.flagship import fit_and_predict, level_calibration
+from scorewell.plans.flagship import fit_and_predict, level_calibration, predictions
 from scorewell.plans.registry import memo, query
 from scorewell.session import table
 
@@ -55,8 +56,7 @@ def _line_model(spark, sf_dir):
 
 def _line_predictions(spark, sf_dir):
     prep, lr = _line_model(spark, sf_dir)
-    li = table(spark, sf_dir, "lineitem")
-    return lr.transform(prep.transform(li).withColumn("label", F.col("l_extendedprice")))
+    return predictions(table(spark, sf_dir, "lineitem"), prep, lr, "l_extendedprice")
 
 
 def _calibration_query(feature: Feature):
@@ -85,8 +85,7 @@ def _one_feature_model(spark, sf_dir):
 
 def _one_feature_predictions(spark, sf_dir):
     prep, lr = _one_feature_model(spark, sf_dir)
-    li = table(spark, sf_dir, "lineitem")
-    return lr.transform(prep.transform(li).withColumn("label", F.col("l_extendedprice")))
+    return predictions(table(spark, sf_dir, "lineitem"), prep, lr, "l_extendedprice")
 
 
 @query("lr_group_means", _calibration_sql("lineitem", "l_extendedprice", [("l_linenumber", "score")]))
@@ -283,10 +282,14 @@ def cv_r2(spark, sf_dir):
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     li = table(spark, sf_dir, "lineitem")
     prep, _ = _one_feature_model(spark, sf_dir)
-    data = prep.transform(li).select("features", F.col("l_extendedprice").alias("label"))
-    lr = linear_regression()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=RegressionEvaluator(metricName="r2"), numFolds=5, seed=42)
-    model = cv.fit(data)
+    data = (prep.transform(li).select("features", F.col("l_extendedprice").alias("label"))
+            .persist(StorageLevel.MEMORY_AND_DISK))  # 5 folds x several passes each
+    try:
+        lr = linear_regression()
+        cv = CrossValidator(estimator=lr, estimatorParamMaps=ParamGridBuilder().build(),
+                            evaluator=RegressionEvaluator(metricName="r2"), numFolds=5, seed=42)
+        model = cv.fit(data)
+    finally:
+        data.unpersist()
     return spark.createDataFrame([(5, float(model.avgMetrics[0]))], "folds int, avg_r2 double")
 

@@ -22,6 +22,7 @@ from scorewell.operators.tracking import (METRICS, RUNS, VERSIONS, latest_versio
                                           log_runs, param_rows, read_table,
                                           register_versions)
 from scorewell.sources.files import ingest_first_source, path_has_data
+from scorewell.plans.flagship import predictions
 from scorewell.session import spread
 from scorewell.sources.models import save_model
 
@@ -68,7 +69,7 @@ def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
 
     lr = fit_linear(prepared(train_raw))
     save_model(lr, f"{run_dir}/model")
-    metrics = regression_metrics(lr.transform(prepared(test_raw))).first()
+    metrics = regression_metrics(predictions(test_raw, prep, lr, p.target)).first()
 
     runs = spark.createDataFrame(
         [(p.experiment, run_id, p.run_name, f"{run_dir}/model")],

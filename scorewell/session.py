@@ -98,8 +98,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows when a scan yields fewer partitions than cores.
 
     A file with one row group is read by one task, and every narrow step
-    after it (coercion, index, one-hot, model) would run on one core.  Large
-    inputs have far more splits than cores, so there this is a no-op.
+    after it (coercion, index, one-hot, model) would run on one core.  Used
+    before per-row-heavy or multi-pass work (fits, ML transforms, profiles);
+    large inputs have far more splits than cores, so there it is a no-op.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
@@ -109,8 +110,28 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; under-split scans are spread (``spread``)."""
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    """One of the given tables (a plain Parquet scan)."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Suggested settings for a run over ``input_bytes`` on ``cores`` cores.
+
+    Scan splits and shuffle partitions of about ``target_partition_bytes``
+    keep each task's working set well inside executor memory (spilling is
+    the exception, not the rule); AQE coalesces small shuffle partitions and
+    splits skewed ones at run time.
+    """
+    shuffle = max(cores * 3, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -129,3 +129,15 @@ def test_sample_record(spark, event_model):
     assert row["status"] == "success" and row["n_unseen"] == 0
     mean5 = _events(spark).where("risk_score = 5").agg(F.avg("value")).first()[0]
     assert row["probability"] == pytest.approx(round(mean5 / 100, 4), abs=1e-4)
+
+
+def test_compiled_scoring_equals_ml_transform(spark):
+    from scorewell.plans.q_model import LINE_FEATURES
+    li = table(spark, SF_CHECK, "lineitem")
+    prep, lr, _ = fit_and_predict(li.where("l_quantity > 3"), LINE_FEATURES, "l_extendedprice")
+    test = li.withColumn("l_tax", F.expr("nullif(l_tax, 0.02)"))  # nulls -> unseen slot
+    keep = ["l_orderkey", "l_linenumber", "l_quantity", "l_tax"]
+    a = score(test, prep, lr, keep=keep, compiled=True)
+    b = score(test, prep, lr, keep=keep, compiled=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.where("n_unseen > 0").count() > 0
