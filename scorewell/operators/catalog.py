@@ -88,14 +88,10 @@ def rank_artifacts(catalog: DataFrame, load_spark: bool = True,
     return ranked.drop("_all")
 
 
-def resolve_model(registry_latest: DataFrame, model_dirs: DataFrame, ranked: DataFrame,
-                  model_name: str) -> DataFrame:
-    """Registry latest -> newest model folder -> ranked artifacts.
-
-    Each input is reduced to candidate rows with a ``source_rank``; the
-    union is ordered and the first row is the model to load.  The caller
-    loads ``path`` and falls through to the next row on a failed load.
-    """
+def model_candidates(registry_latest: DataFrame, model_dirs: DataFrame, ranked: DataFrame,
+                     model_name: str) -> DataFrame:
+    """T8 candidates in load order: registry latest -> newest model folder
+    -> ranked artifacts, as ``(source_rank, source, run_id, path, position)``."""
     reg = registry_latest.where(F.col("name") == model_name).select(
         F.lit(0).alias("source_rank"), F.lit("registry").alias("source"),
         F.col("run_id"), F.col("path"), F.lit(0).cast("bigint").alias("position"))
@@ -104,10 +100,30 @@ def resolve_model(registry_latest: DataFrame, model_dirs: DataFrame, ranked: Dat
         F.col("run_id"), F.col("path"), F.lit(0).cast("bigint").alias("position"))
     art = ranked.select(F.lit(2).alias("source_rank"), F.lit("artifact").alias("source"),
                         "run_id", F.col("artifact_dir").alias("path"), "position")
-    return reg.unionByName(newest).unionByName(art).orderBy(
+    return reg.unionByName(newest).unionByName(art)
+
+
+def resolve_model(registry_latest: DataFrame, model_dirs: DataFrame, ranked: DataFrame,
+                  model_name: str) -> DataFrame:
+    """The first candidate (top-1 of ``model_candidates``)."""
+    return model_candidates(registry_latest, model_dirs, ranked, model_name).orderBy(
         "source_rank", "position").limit(1)
 
 
+def load_first(candidates: DataFrame, loader, max_tries: int = 20):
+    """Try candidates in order, return ``(row, model)`` of the first that
+    loads, or ``(None, None)``.  At most ``max_tries`` rows reach the driver
+    (top-k of the ordered candidates); loading is a driver action anyway.
+    """
+    rows = candidates.orderBy("source_rank", "position").limit(max_tries).collect()
+    for row in rows:
+        try:
+            return row, loader(row["path"])
+        except Exception:  # a broken artifact: fall through to the next one
+            continue
+    return None, None
+
+
 def readiness(catalog: DataFrame, preprocessor_present: Column | None = None) -> DataFrame:
     """One-row readiness summary of a manifest catalog."""
     pre = preprocessor_present if preprocessor_present is not None else F.lit(False)

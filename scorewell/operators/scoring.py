@@ -30,6 +30,10 @@ from scorewell.operators.regression import PREDICTION
 from scorewell.session import ship_package, spread
 
 
+# Largest pickled Python model that is broadcast to executors.
+MAX_MODEL_BYTES = 512 << 20
+
+
 def _finish(df: DataFrame, keep: Sequence[str], raw: str, status: str, n_unseen) -> DataFrame:
     prob = round4(normalize_probability(F.col(raw)))
     return df.select(
@@ -92,8 +96,12 @@ def score_python_model(df: DataFrame, model, features: Sequence[Feature | str],
         for f in feats])
     spark = df.sparkSession
     ship_package(spark)
-    # cloudpickle handles models defined in notebooks or functions
-    bmodel = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    # cloudpickle handles models defined in notebooks or functions; the
+    # payload size is checked before it is broadcast to every executor
+    payload = cloudpickle.dumps(model)
+    if len(payload) > MAX_MODEL_BYTES:
+        raise ValueError(f"model pickles to {len(payload)} bytes; limit {MAX_MODEL_BYTES}")
+    bmodel = spark.sparkContext.broadcast(payload)
     keep_fields = [prepared.schema[k] for k in keep]
     out_schema = T.StructType([*keep_fields, T.StructField("_raw", T.DoubleType())])
 

@@ -8,6 +8,7 @@ survives the loss of an executor and is visible to every node.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -83,13 +84,23 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(pkg)
-    target = os.path.join(tempfile.mkdtemp(prefix="scorewell-pkg-"), "scorewell.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     z.write(full, os.path.relpath(full, base))
+    # staged in the shared folder, so executors fetch it from there
+    target = scratch_path(spark, "pyfiles") + "/scorewell.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
 

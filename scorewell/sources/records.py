@@ -40,6 +40,13 @@ def validate_records(df: DataFrame, json_col: str, fields: Sequence[str],
         "valid", F.col("error").isNull())
 
 
+def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows without the check columns, rejects with ``error``)."""
+    valid = checked.where(F.col("valid")).drop("valid", "error")
+    rejects = checked.where(~F.col("valid")).drop("valid")
+    return valid, rejects
+
+
 def read_records(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
     """JSON-lines files with an explicit all-text schema (no inference)."""
     return spark.read.schema(text_schema(fields)).json(path)

@@ -141,3 +141,14 @@ def test_compiled_scoring_equals_ml_transform(spark):
     b = score(test, prep, lr, keep=keep, compiled=False)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.where("n_unseen > 0").count() > 0
+
+
+def test_predictions_invariant_to_partitioning(spark):
+    ev = _events(spark)
+    _, _, p1 = fit_and_predict(ev.repartition(3), [FEAT], "value")
+    _, _, p2 = fit_and_predict(ev.repartition(13, "event_id"), [FEAT], "value")
+    a = p1.select("event_id", F.round("prediction", 6).alias("p"))
+    b = p2.select("event_id", F.round("prediction", 6).alias("p"))
+    gap = a.join(b.withColumnRenamed("p", "q"), "event_id").agg(
+        F.max(F.abs(F.col("p") - F.col("q")) / F.greatest(F.abs("p"), F.lit(1.0)))).first()[0]
+    assert gap < 1e-6

@@ -123,3 +123,26 @@ def test_training_pipeline_registers(spark):
     assert first["latest_version"] == 1
     assert second["latest_version"] in (1, 2)
     assert spark.read.parquet(f"{root}/runs").count() == 2
+
+
+def test_load_first_falls_through(spark):
+    cands = spark.createDataFrame(
+        [(0, "registry", "r0", "/nope/0", 0), (2, "artifact", "r2", "/ok/2", 1),
+         (2, "artifact", "r1", "/ok/1", 0)],
+        "source_rank int, source string, run_id string, path string, position bigint")
+
+    def loader(path):
+        if path.startswith("/nope"):
+            raise OSError(path)
+        return f"model@{path}"
+    row, model = C.load_first(cands, loader)
+    assert row["run_id"] == "r1" and model == "model@/ok/1"
+    assert C.load_first(cands.where("source_rank = 0"), loader) == (None, None)
+
+
+def test_split_valid(spark):
+    from scorewell.sources.records import split_valid
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a": "x"}',)], "rec string")
+    valid, rejects = split_valid(validate_records(df, "rec", ["a"]))
+    assert valid.columns == ["a"] and valid.count() == 1
+    assert rejects.first()["error"] == "not a number: a"
