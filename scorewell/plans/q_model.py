@@ -13,7 +13,7 @@ from scorewell.operators.regression import fit_linear, linear_regression, regres
 from scorewell.operators.tracking import param_rows
 from scorewell.plans.flagship import fit_and_predict, level_calibration, predictions
 from scorewell.plans.registry import memo, query
-from scorewell.session import table
+from scorewell.session import scratch_path, table
 
 # ---------------------------------------------------------------- flagship
 
@@ -293,3 +293,52 @@ def cv_r2(spark, sf_dir):
         data.unpersist()
     return spark.createDataFrame([(5, float(model.avgMetrics[0]))], "folds int, avg_r2 double")
 
+
+
+# ---------------------------------------------------------------- persistence + pipeline
+
+PART_FEATURES = [Feature("p_brand", "category")]
+
+
+@query("pipeline_reload", _calibration_sql("part", "p_retailprice", [("p_brand", "category")]))
+def pipeline_reload(spark, sf_dir):
+    """Fit, save (twice, overwrite), load, score from the loaded pair."""
+    from scorewell.sources.models import load_linear, load_pipeline, save_model
+    part = table(spark, sf_dir, "part")
+    prep, lr, _ = fit_and_predict(part, PART_FEATURES, "p_retailprice")
+    base = scratch_path(spark, "pipeline_reload")
+    for _ in range(2):
+        save_model(prep, f"{base}/preprocessor")
+        save_model(lr, f"{base}/model")
+    prep2, lr2 = load_pipeline(f"{base}/preprocessor"), load_linear(f"{base}/model")
+    return level_calibration(predictions(part, prep2, lr2, "p_retailprice"), PART_FEATURES)
+
+
+_HASH_TRAIN = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT % 100 < 80"
+
+
+@query("training_pipeline", f"""
+WITH t AS (SELECT l_linenumber, l_extendedprice AS y, {_HASH_TRAIN} AS is_train
+           FROM lineitem WHERE l_extendedprice IS NOT NULL),
+m AS (SELECT l_linenumber, avg(y) AS mu FROM t WHERE is_train GROUP BY l_linenumber),
+e AS (SELECT t.y, m.mu AS p FROM t JOIN m ON t.l_linenumber = m.l_linenumber WHERE NOT t.is_train)
+SELECT count(*) AS n_test, round(sqrt(sum((y - p) * (y - p)) / count(*)), 1) AS rmse,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
+       1 AS latest_version, 'lineitem_price' AS model_name
+FROM e""")
+def training_pipeline(spark, sf_dir):
+    """Ingest -> preprocess -> key-hash split -> train -> evaluate on the
+    held-out part -> log -> register; the summary row of the run."""
+    import os
+    from scorewell.plans.training import TrainParams, run_pipeline
+    res = run_pipeline(spark, TrainParams(
+        sources=[scratch_path(spark, "absent_source"), os.path.join(sf_dir, "lineitem.parquet")],
+        root=scratch_path(spark, "training_pipeline"), features=ONE_FEATURE,
+        target="l_extendedprice", split="hash:l_orderkey", experiment="lineitem",
+        model_name="lineitem_price"))
+    return spark.createDataFrame(
+        [(int(res["n_test"]), float(res["rmse"]), float(res["r2"]), int(res["latest_version"]),
+          "lineitem_price")],
+        "n_test bigint, rmse double, r2 double, latest_version int, model_name string",
+    ).select("n_test", F.round("rmse", 1).alias("rmse"), F.round("r2", 6).alias("r2"),
+             "latest_version", "model_name")
