@@ -58,18 +58,24 @@ def schema_table(df: DataFrame) -> DataFrame:
         rows, "position int, col_name string, data_type string, nullable boolean")
 
 
-def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """R4 with data: per column type, null count and exact distinct count.
-
-    One aggregate job (Catalyst expands the distinct aggregates and
-    combines map-side), then a tiny unpivot of the one-row result.
+def column_profile(df: DataFrame, cols: Sequence[str] | None = None,
+                   exact: bool = True, rsd: float = 0.01) -> DataFrame:
+    """R4 with data: per column type, null count and distinct count.
+
+    One aggregate job, then a tiny unpivot of the one-row result.  Exact
+    distinct counts make Catalyst expand the rows once per column and
+    shuffle the distinct values; ``exact=False`` uses HyperLogLog sketches
+    (``approx_count_distinct``, relative error ``rsd``) that combine
+    map-side into fixed-size buffers -- the choice for very large tables.
     """
     cols = list(cols or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     aggs = []
     for i, c in enumerate(cols):
         aggs.append((F.count(F.lit(1)) - F.count(F.col(c))).alias(f"n{i}"))
-        aggs.append(F.count_distinct(F.col(c)).alias(f"d{i}"))
+        distinct = (F.count_distinct(F.col(c)) if exact
+                    else F.approx_count_distinct(F.col(c), rsd))
+        aggs.append(distinct.alias(f"d{i}"))
     wide = spread(df.select(*cols)).agg(*aggs)
     stack = ", ".join(
         f"{i}, '{c}', '{types[c]}', n{i}, d{i}" for i, c in enumerate(cols))

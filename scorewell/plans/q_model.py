@@ -300,13 +300,13 @@ def cv_r2(spark, sf_dir):
 PART_FEATURES = [Feature("p_brand", "category")]
 
 
-@query("pipeline_reload", _calibration_sql("part", "p_retailprice", [("p_brand", "category")]))
-def pipeline_reload(spark, sf_dir):
+@query("model_reload", _calibration_sql("part", "p_retailprice", [("p_brand", "category")]))
+def model_reload(spark, sf_dir):
     """Fit, save (twice, overwrite), load, score from the loaded pair."""
     from scorewell.sources.models import load_linear, load_pipeline, save_model
     part = table(spark, sf_dir, "part")
     prep, lr, _ = fit_and_predict(part, PART_FEATURES, "p_retailprice")
-    base = scratch_path(spark, "pipeline_reload")
+    base = scratch_path(spark, "model_reload")
     for _ in range(2):
         save_model(prep, f"{base}/preprocessor")
         save_model(lr, f"{base}/model")
@@ -317,7 +317,7 @@ def pipeline_reload(spark, sf_dir):
 _HASH_TRAIN = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT % 100 < 80"
 
 
-@query("training_pipeline", f"""
+@query("train_register_run", f"""
 WITH t AS (SELECT l_linenumber, l_extendedprice AS y, {_HASH_TRAIN} AS is_train
            FROM lineitem WHERE l_extendedprice IS NOT NULL),
 m AS (SELECT l_linenumber, avg(y) AS mu FROM t WHERE is_train GROUP BY l_linenumber),
@@ -326,14 +326,14 @@ SELECT count(*) AS n_test, round(sqrt(sum((y - p) * (y - p)) / count(*)), 1) AS
        round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
        1 AS latest_version, 'lineitem_price' AS model_name
 FROM e""")
-def training_pipeline(spark, sf_dir):
+def train_register_run(spark, sf_dir):
     """Ingest -> preprocess -> key-hash split -> train -> evaluate on the
     held-out part -> log -> register; the summary row of the run."""
     import os
     from scorewell.plans.training import TrainParams, run_pipeline
     res = run_pipeline(spark, TrainParams(
         sources=[scratch_path(spark, "absent_source"), os.path.join(sf_dir, "lineitem.parquet")],
-        root=scratch_path(spark, "training_pipeline"), features=ONE_FEATURE,
+        root=scratch_path(spark, "train_register_run"), features=ONE_FEATURE,
         target="l_extendedprice", split="hash:l_orderkey", experiment="lineitem",
         model_name="lineitem_price"))
     return spark.createDataFrame(

@@ -112,7 +112,7 @@ def test_manifest_catalog_rank_and_readiness(spark, tmp_path):
     assert ready["spark_artifacts_present"] and ready["model_type"] == "spark"
 
 
-def test_training_pipeline_registers(spark):
+def test_train_register_run(spark):
     root = scratch_path(spark, "t_pipeline")
     p = TrainParams(sources=[scratch_path(spark, "t_absent"),
                              os.path.join(SF_SMALL, "lineitem.parquet")],
@@ -146,3 +146,11 @@ def test_split_valid(spark):
     valid, rejects = split_valid(validate_records(df, "rec", ["a"]))
     assert valid.columns == ["a"] and valid.count() == 1
     assert rejects.first()["error"] == "not a number: a"
+
+
+def test_column_profile_approx_close(spark):
+    li = table(spark, SF_CHECK, "lineitem")
+    exact = {r["col_name"]: r["n_distinct"] for r in R.column_profile(li).collect()}
+    approx = {r["col_name"]: r["n_distinct"] for r in R.column_profile(li, exact=False).collect()}
+    for c, n in exact.items():
+        assert abs(approx[c] - n) <= max(2, 0.05 * n), (c, n, approx[c])
