@@ -91,3 +91,27 @@ def test_labels_invariant_to_partitioning(spark):
     a = indexer_of(fit_preprocessor(li.repartition(3), FEATS)).labelsArray
     b = indexer_of(fit_preprocessor(li.repartition(11, "l_tax"), FEATS)).labelsArray
     assert [list(x) for x in a] == [list(x) for x in b]
+
+
+def test_per_column_stages_equal_multi_column(spark):
+    """Reference layout (one indexer + one encoder per column, 2N+1 stages)
+    gives the same assembled vectors as the multi-column stages."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from scorewell.operators.encoding import canonical_text
+    li = table(spark, SF_CHECK, "lineitem")
+    text = canonical_text(li, FEATS).withColumn("rid", F.monotonically_increasing_id())
+    text = text.persist()
+    stages, vecs = [], []
+    for f in FEATS:
+        stages.append(StringIndexer(inputCol=f.name, outputCol=f.name + "_i", handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCol=f.name + "_i", outputCol=f.name + "_v",
+                                    handleInvalid="keep"))
+        vecs.append(f.name + "_v")
+    stages.append(VectorAssembler(inputCols=vecs, outputCol="ref_features"))
+    ref = Pipeline(stages=stages).fit(text).transform(text)
+    ours = fit_preprocessor(text, [Feature(f.name, "category") for f in FEATS]).transform(text)
+    a = ref.select("rid", vector_to_array("ref_features").alias("v"))
+    b = ours.select("rid", vector_to_array("features").alias("v"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    text.unpersist()
