@@ -15,7 +15,7 @@ from scorewell.operators.scoring import (GroupMeanModel, sample_record, score, s
 from scorewell.plans.flagship import fit_and_predict
 from scorewell.plans.registry import memo, query
 from scorewell.session import scratch_path, table
-from scorewell.streaming.scoring import read_stream, start_scoring
+from scorewell.streaming.scoring import read_stream, start_record_scoring, start_scoring
 
 # ---------------------------------------------------------------- tracking
 
@@ -276,3 +276,42 @@ def score_sample(spark, sf_dir):
     rec = sample_record(spark, prep, 5.0)
     return score(rec, prep, lr).select("probability", "status", "band", "n_unseen")
 
+
+
+@query("score_records_stream", f"""
+WITH e AS (SELECT event_id, event_type, value, least(floor(value / 10), 10) AS s FROM events),
+m AS (SELECT s, avg(value) AS mu FROM e GROUP BY s),
+p AS (SELECT e.event_id, e.event_type,
+        round(greatest(0.0, least(1.0, CASE WHEN mu > 1 AND mu <= 100 THEN mu / 100 ELSE mu END)), 4)
+        AS probability FROM e JOIN m ON e.s = m.s)
+SELECT event_id, probability, 'success' AS status, {_BAND} AS band, 0 AS n_unseen
+FROM p WHERE event_type <> 'error'
+UNION ALL
+SELECT event_id, CAST(NULL AS DOUBLE) AS probability, 'rejected' AS status,
+       'not a number: risk_score' AS band, CAST(NULL AS INTEGER) AS n_unseen
+FROM e WHERE event_type = 'error'""")
+def score_records_stream(spark, sf_dir):
+    """P4 + S7: JSON records derived from ``events`` (error events carry a
+    non-numeric score) stream through validation; valid rows are scored,
+    rejects keep their reason (reported in ``band``)."""
+    prep, lr = _event_model(spark, sf_dir)
+    src = scratch_path(spark, "records_src")
+    ev = _events(spark, sf_dir)
+    text = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(
+        F.col("risk_score").cast("int").cast("string"))
+    ev.select(F.col("event_id").cast("string").alias("event_id"),
+              text.alias("risk_score")).write.mode("overwrite").json(src)
+    out, rej, ck = (scratch_path(spark, "records_out"), scratch_path(spark, "records_rej"),
+                    scratch_path(spark, "records_ckpt"))
+    q = start_record_scoring(spark, src, ["event_id"], ["risk_score"], prep, lr, out, rej, ck)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    scored = spark.read.parquet(out).select(
+        F.col("event_id").cast("bigint").alias("event_id"), "probability", "status", "band",
+        "n_unseen")
+    rejects = spark.read.parquet(rej).select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.lit(None).cast("double").alias("probability"), F.lit("rejected").alias("status"),
+        F.col("error").alias("band"), F.lit(None).cast("int").alias("n_unseen"))
+    return scored.unionByName(rejects)

@@ -31,12 +31,17 @@ def validate_records(df: DataFrame, json_col: str, fields: Sequence[str],
     ``error`` names the first field that is missing or not a number.
     """
     parsed = df.select(*keep, parse_records(F.col(json_col), fields).alias("_r"))
-    typed = [F.col(f"_r.`{f}`").try_cast("double").alias(f) for f in fields]
+    return validate_fields(parsed.select(*keep, "_r.*"), fields, keep)
+
+
+def validate_fields(df: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """S7 on text columns (records read with ``text_schema``)."""
+    typed = [F.col(f"`{f}`").try_cast("double").alias(f) for f in fields]
     checks = F.coalesce(*[
-        F.when(F.col(f"_r.`{f}`").isNull(), F.lit(f"missing {f}"))
-         .when(F.col(f"_r.`{f}`").try_cast("double").isNull(), F.lit(f"not a number: {f}"))
+        F.when(F.col(f"`{f}`").isNull(), F.lit(f"missing {f}"))
+         .when(F.col(f"`{f}`").try_cast("double").isNull(), F.lit(f"not a number: {f}"))
         for f in fields])
-    return parsed.select(*keep, *typed, checks.alias("error")).withColumn(
+    return df.select(*keep, *typed, checks.alias("error")).withColumn(
         "valid", F.col("error").isNull())
 
 
