@@ -10,6 +10,7 @@ from scorewell.functions.scalars import STATUS_SUCCESS
 from scorewell.operators import catalog as C
 from scorewell.operators import tracking as TR
 from scorewell.operators.encoding import Feature
+from scorewell.operators.ranking import ordered_position
 from scorewell.operators.scoring import (GroupMeanModel, sample_record, score, score_fallback,
                                          score_python_model)
 from scorewell.plans.flagship import fit_and_predict
@@ -186,6 +187,32 @@ def resolve_model(spark, sf_dir):
     return best.select("source", "run_id", "position")
 
 
+@query("model_candidates", _REGISTRY_SQL.replace("WITH ", "WITH ", 1) + f""",
+cat AS (SELECT run_id, ord, {_FLAVOR_SQL} AS loader_module FROM runs),
+ok AS (SELECT *, CASE loader_module WHEN 'mlflow.spark' THEN 0 WHEN 'mlflow.sklearn' THEN 2 ELSE 1 END
+              AS flavor_rank FROM cat WHERE loader_module <> 'mlflow.sklearn'),
+ranked AS (SELECT run_id, row_number() OVER (ORDER BY flavor_rank, ord DESC, run_id) - 1 AS position
+           FROM ok),
+latest AS (SELECT run_id FROM reg WHERE name = 'model_flag_N' ORDER BY version DESC LIMIT 1),
+newest AS (SELECT run_id FROM cat WHERE loader_module = 'mlflow.spark' ORDER BY ord DESC, run_id LIMIT 1),
+c AS (SELECT 0 AS source_rank, 'registry' AS source, run_id, 0 AS position FROM latest
+      UNION ALL SELECT 1, 'model_dir', run_id, 0 FROM newest
+      UNION ALL SELECT 2, 'artifact', run_id, position FROM ranked)
+SELECT source, run_id, row_number() OVER (ORDER BY source_rank, position) - 1 AS load_order FROM c""")
+def model_candidates_q(spark, sf_dir):
+    """Every candidate in load order -- registry latest, newest Spark
+    model folder, then ranked artifacts; ``load_order`` 0 is tried first."""
+    ranked = _ranked(spark, sf_dir)
+    cat = _catalog(spark, sf_dir)
+    model_dirs = cat.where(F.col("loader_module") == C.SPARK_FLAVOR).select(
+        "run_id", F.col("artifact_dir").alias("path"), F.col("utc_time_created").alias("mtime"))
+    latest = TR.latest_versions(_registry(spark, sf_dir))
+    cands = C.model_candidates(latest, model_dirs, ranked, "model_flag_N").withColumn("_all", F.lit(0))
+    ordered = ordered_position(cands, "_all", [F.col("source_rank").asc(), F.col("position").asc()],
+                               name="load_order")
+    return ordered.select("source", "run_id", "load_order")
+
+
 @query("readiness", f"""
 WITH {_RUNS_CTE}
 SELECT count(*) AS n_artifacts, bool_or({_FLAVOR_SQL} = 'mlflow.spark') AS spark_artifacts_present,
