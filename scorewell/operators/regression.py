@@ -32,15 +32,21 @@ def linear_regression(features_col: str = FEATURES, label_col: str = "label",
 
 
 def fit_linear(df: DataFrame, features_col: str = FEATURES, label_col: str = "label",
-               **params) -> LinearRegressionModel:
+               persist: bool = True, **params) -> LinearRegressionModel:
     """M6: fit on ``df``; only the needed columns are read.
 
     The fit reads its input several times (feature statistics, normal
-    equations, summary), so the two-column training frame is persisted
+    equations), so by default the two-column training frame is persisted
     (memory, spilling to disk; lost blocks are recomputed from lineage)
-    for the duration of the fit and released afterwards.
+    for the duration of the fit and released afterwards.  With
+    ``persist=False`` every pass re-reads the pruned input columns instead,
+    the better trade when the materialised vectors would outgrow the
+    cluster's memory and local disk.
     """
-    data = df.select(features_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(features_col, label_col)
+    if not persist:
+        return linear_regression(features_col, label_col, **params).fit(data)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return linear_regression(features_col, label_col, **params).fit(data)
     finally:

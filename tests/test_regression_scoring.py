@@ -152,3 +152,14 @@ def test_predictions_invariant_to_partitioning(spark):
     gap = a.join(b.withColumnRenamed("p", "q"), "event_id").agg(
         F.max(F.abs(F.col("p") - F.col("q")) / F.greatest(F.abs("p"), F.lit(1.0)))).first()[0]
     assert gap < 1e-6
+
+
+def test_fit_without_persist_same_model(spark):
+    from scorewell.operators.encoding import fit_preprocessor
+    from scorewell.operators.regression import fit_linear
+    ev = _events(spark)
+    prep = fit_preprocessor(ev, [FEAT])
+    data = prep.transform(ev).withColumn("label", F.col("value"))
+    a, b = fit_linear(data), fit_linear(data, persist=False)
+    assert a.intercept == pytest.approx(b.intercept, rel=1e-9)
+    assert list(a.coefficients) == pytest.approx(list(b.coefficients), rel=1e-9, abs=1e-9)
