@@ -42,13 +42,13 @@ def _c(c: Column | str) -> Column:
 
 
 def coerce_category(c: Column | str) -> Column:
-    """F1: numeric score -> canonical category text, half-even rounding.
+    """F1: numeric score -> canonical category text, half-even rounding (64-bit).
 
     ``2.5 -> "2"``, ``3.5 -> "4"``, ``"7" -> "7"``, ``"x" -> null``.  The
     integer text is what an indexer fitted on integer columns has seen.
     """
     v = _c(c).try_cast("double")
-    return F.bround(v, 0).try_cast("int").cast("string")
+    return F.bround(v, 0).try_cast("bigint").cast("string")
 
 
 def coerce_double(c: Column | str) -> Column:
@@ -121,8 +121,8 @@ def with_domain_default(c: Column | str) -> Column:
 
 
 def parse_flag(c: Column | str) -> Column:
-    """anything except 0/false/no (any case) is on; missing -> default."""
-    v = F.lower(F.trim(F.coalesce(_c(c).cast("string"), F.lit(FLAG_DEFAULT))))
+    """anything except 0/false/no (any case, no trimming) is on; missing -> default."""
+    v = F.lower(F.coalesce(_c(c).cast("string"), F.lit(FLAG_DEFAULT)))
     return ~v.isin(*FLAG_FALSE_VALUES)
 
 

@@ -50,7 +50,7 @@ class Feature:
     def coerce_sql(self) -> str:
         q = f"`{self.name}`"
         if self.kind == "score":
-            return f"CAST(TRY_CAST(BROUND(TRY_CAST({q} AS DOUBLE), 0) AS INT) AS STRING)"
+            return f"CAST(TRY_CAST(BROUND(TRY_CAST({q} AS DOUBLE), 0) AS BIGINT) AS STRING)"
         if self.kind == "category":
             return f"CAST({q} AS STRING)"
         raise ValueError(f"unknown feature kind {self.kind!r}")

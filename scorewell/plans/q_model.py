@@ -157,7 +157,7 @@ def _cat(c):
 
 
 def _score(c):
-    return (c, f"CAST(CAST(round_even(CAST({c} AS DOUBLE), 0) AS INTEGER) AS VARCHAR)")
+    return (c, f"CAST(CAST(round_even(CAST({c} AS DOUBLE), 0) AS BIGINT) AS VARCHAR)")
 
 
 LABEL_COLS = [_cat("l_discount"), _cat("l_tax"), _score("l_linenumber"),
@@ -208,7 +208,7 @@ query("string_index_apply", _apply_sql(
                  lambda: F.expr("nullif(l_returnflag, 'N')"), lambda: F.expr(_TRAIN)))
 
 query("string_index_unseen", _apply_sql(
-    "l_quantity", "CAST(CAST(round_even(CAST(l_quantity AS DOUBLE), 0) AS INTEGER) AS VARCHAR)",
+    "l_quantity", "CAST(CAST(round_even(CAST(l_quantity AS DOUBLE), 0) AS BIGINT) AS VARCHAR)",
     "l_quantity <= 25"))(
     _apply_query(Feature("l_quantity", "score"),
                  lambda: F.col("l_quantity"), lambda: F.col("l_quantity") <= 25))

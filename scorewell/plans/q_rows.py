@@ -185,7 +185,7 @@ def split_random_sizes(spark, sf_dir):
 # ---------------------------------------------------------------- scalars
 
 @query("coerce_category", """
-SELECT CAST(CAST(round_even(l_quantity / 2, 0) AS INTEGER) AS VARCHAR) AS category,
+SELECT CAST(CAST(round_even(l_quantity / 2, 0) AS BIGINT) AS VARCHAR) AS category,
        count(*) AS n, round(sum(l_quantity), 2) AS sum_qty
 FROM lineitem GROUP BY 1""")
 def coerce_category(spark, sf_dir):
@@ -266,8 +266,8 @@ def domain_check(spark, sf_dir):
 
 @query("flag_parse", """
 SELECT doc_id,
-  lower(trim(coalesce(CAST(quality AS VARCHAR), '1'))) NOT IN ('0', 'false', 'no') AS quality_on,
-  lower(trim(coalesce(CASE WHEN toxic = 1 THEN 'Yes' ELSE 'NO' END, '1'))) NOT IN ('0', 'false', 'no') AS toxic_on
+  lower(coalesce(CAST(quality AS VARCHAR), '1')) NOT IN ('0', 'false', 'no') AS quality_on,
+  lower(coalesce(CASE WHEN toxic = 1 THEN 'Yes' ELSE 'NO' END, '1')) NOT IN ('0', 'false', 'no') AS toxic_on
 FROM labels""")
 def flag_parse(spark, sf_dir):
     """flag text parsing (0/false/no are off, any case)."""

@@ -15,7 +15,7 @@ def _one(spark, expr, values, dtype="double"):
 
 def test_coerce_category_half_even(spark):
     # Python int(round(v)) is half-even
-    vals = [0.5, 1.5, 2.5, -1.5, 3.49, 3.5, 10.0, None]
+    vals = [0.5, 1.5, 2.5, -1.5, 3.49, 3.5, 10.0, 3e9, -4.5e12, None]
     got = _one(spark, S.coerce_category, vals)
     assert got == [str(int(round(v))) if v is not None else None for v in vals]
 
@@ -77,9 +77,9 @@ def test_retryable(spark):
 
 
 def test_flag_parse(spark):
-    vals = ["0", "false", "No", "FALSE", "1", "yes", "anything", None]
+    vals = ["0", "false", "No", "FALSE", "1", "yes", "anything", " no", None]
     assert _one(spark, S.parse_flag, vals, "string") == [False, False, False, False, True, True,
-                                                          True, True]
+                                                          True, True, True]
 
 
 def test_domain(spark):
