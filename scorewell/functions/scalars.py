@@ -31,6 +31,10 @@ RETRYABLE_PHRASES = (
 # Text values read as "off" by the boolean flag parser; the default is "1".
 FLAG_FALSE_VALUES = ("0", "false", "no")
 FLAG_DEFAULT = "1"
+# Characters JavaScript's String.prototype.trim removes (WhiteSpace and
+# LineTerminator), as a regex class usable by Java and RE2 alike.
+JS_TRIM_CLASS = (r"[\t\n\x{0B}\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+                 r"\x{202F}\x{205F}\x{3000}\x{FEFF}]")
 # Score domain of the categorical features: integers 0..10, default 5.
 DOMAIN_MIN = 0
 DOMAIN_MAX = 10
@@ -86,8 +90,13 @@ def risk_band(prob: Column | str, status: Column | str | None = None) -> Column:
 
 
 def label_from_name(c: Column | str) -> Column:
-    """``CamelCaseName -> "Camel Case Name"`` (space before capitals, trim)."""
-    return F.trim(F.regexp_replace(_c(c), "([A-Z])", " $1"))
+    """``CamelCaseName -> "Camel Case Name"``: a space before every ASCII
+    capital, then leading/trailing whitespace removed as JavaScript's
+    ``trim`` does (spaces, tabs, line breaks, Unicode spaces)."""
+    spaced = F.regexp_replace(_c(c), "([A-Z])", " $1")
+    # \A and \z: absolute input bounds (Java's $ would also match before a
+    # final line terminator)
+    return F.regexp_replace(spaced, rf"\A{JS_TRIM_CLASS}+|{JS_TRIM_CLASS}+\z", "")
 
 
 def fixed2(c: Column | str) -> Column:

@@ -234,7 +234,9 @@ def risk_band_counts(spark, sf_dir):
 
 
 @query("label_from_name", r"""
-SELECT conv_id, turn, trim(regexp_replace(text, '([A-Z])', ' \1', 'g')) AS label FROM conversations""")
+SELECT conv_id, turn,
+       regexp_replace(regexp_replace(text, '([A-Z])', ' \1', 'g'), '\ACLS+|CLS+\z', '', 'g') AS label
+FROM conversations""".replace("CLS", S.JS_TRIM_CLASS))
 def label_from_name(spark, sf_dir):
     """space before every capital, trimmed, over whole texts."""
     c = table(spark, sf_dir, "conversations")

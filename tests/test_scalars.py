@@ -62,8 +62,9 @@ def test_risk_band_fallback_first(spark):
 
 def test_label_from_name(spark):
     got = _one(spark, S.label_from_name, ["MonsoonIntensity", "IneffectiveDisasterPreparedness",
-                                          "lower", "ABC"], "string")
-    assert got == ["Monsoon Intensity", "Ineffective Disaster Preparedness", "lower", "A B C"]
+                                          "lower", "ABC", "\tX y\n", "\u00a0Ab\u3000"], "string")
+    assert got == ["Monsoon Intensity", "Ineffective Disaster Preparedness", "lower", "A B C",
+                   "X y", "Ab"]
 
 
 def test_fixed2(spark):
