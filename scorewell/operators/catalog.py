@@ -110,18 +110,27 @@ def resolve_model(registry_latest: DataFrame, model_dirs: DataFrame, ranked: Dat
         "source_rank", "position").limit(1)
 
 
-def load_first(candidates: DataFrame, loader, max_tries: int = 20):
+def load_first(candidates: DataFrame, loader, page: int = 20):
     """Try candidates in order, return ``(row, model)`` of the first that
-    loads, or ``(None, None)``.  At most ``max_tries`` rows reach the driver
-    (top-k of the ordered candidates); loading is a driver action anyway.
+    loads, or ``(None, None)`` when none does.
+
+    Candidates reach the driver one ordered page at a time (top-``page``,
+    then the next page after every failure), so every candidate can be
+    tried while the driver holds at most ``page`` rows; loading a model is
+    a driver action anyway.
     """
-    rows = candidates.orderBy("source_rank", "position").limit(max_tries).collect()
-    for row in rows:
-        try:
-            return row, loader(row["path"])
-        except Exception:  # a broken artifact: fall through to the next one
-            continue
-    return None, None
+    ordered = candidates.orderBy("source_rank", "position", "path")
+    start = 0
+    while True:
+        rows = ordered.offset(start).limit(page).collect() if start else ordered.limit(page).collect()
+        for row in rows:
+            try:
+                return row, loader(row["path"])
+            except Exception:  # a broken artifact: fall through to the next one
+                continue
+        if len(rows) < page:
+            return None, None
+        start += page
 
 
 def readiness(catalog: DataFrame, preprocessor_present: Column | None = None) -> DataFrame:

@@ -138,6 +138,12 @@ def test_load_first_falls_through(spark):
     row, model = C.load_first(cands, loader)
     assert row["run_id"] == "r1" and model == "model@/ok/1"
     assert C.load_first(cands.where("source_rank = 0"), loader) == (None, None)
+    # more failing candidates than one page: the later good one is still found
+    many = spark.range(0, 45).selectExpr(
+        "2 AS source_rank", "'artifact' AS source", "CAST(id AS STRING) AS run_id",
+        "CASE WHEN id = 44 THEN '/ok/44' ELSE concat('/nope/', id) END AS path", "id AS position")
+    row, model = C.load_first(many, loader, page=10)
+    assert row["run_id"] == "44" and model == "model@/ok/44"
 
 
 def test_split_valid(spark):
