@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,6 @@ from scorewell.operators.tracking import (METRICS, RUNS, VERSIONS, latest_versio
                                           log_runs, param_rows, read_table,
                                           register_versions)
 from scorewell.sources.files import ingest_first_source, path_has_data
-from scorewell.plans.flagship import predictions
 from scorewell.session import spread
 from scorewell.sources.models import save_model
 
@@ -52,24 +52,48 @@ def _split(df: DataFrame, p: TrainParams):
     raise ValueError(p.split)
 
 
+def _split_key(p: TrainParams) -> list[str]:
+    return [p.split[5:]] if p.split.startswith("hash:") else []
+
+
 def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
-    """The four reference steps as one job chain; returns a summary."""
+    """The four reference steps as one job chain; returns a summary.
+
+    As in the reference, the preprocessor is fitted on every clean row
+    (``fit_on="all"``) and the split is taken on the processed
+    ``(features, label)`` frame; ``fit_on="train"`` splits the raw rows
+    first and fits the preprocessor on the training part only.
+    """
     raw = spread(ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
                                      **p.source_options))
     feats = as_features(p.features)
     clean = drop_null_rows(raw, [p.target])
-    train_raw, test_raw = _split(clean, p)
-    prep = fit_preprocessor(train_raw if p.fit_on == "train" else clean, feats)
-    run_id = uuid.uuid4().hex
-    run_dir = f"{p.root}/artifacts/{run_id}"
-    save_model(prep, f"{run_dir}/preprocessor")
-
-    def prepared(d: DataFrame) -> DataFrame:
-        return prep.transform(d).select("features", F.col(p.target).cast("double").alias("label"))
-
-    lr = fit_linear(prepared(train_raw))
-    save_model(lr, f"{run_dir}/model")
-    metrics = regression_metrics(predictions(test_raw, prep, lr, p.target)).first()
+
+    def processed(d: DataFrame) -> DataFrame:
+        return prep.transform(d).select(
+            *_split_key(p), "features", F.col(p.target).cast("double").alias("label"))
+
+    if p.fit_on == "train":
+        train_raw, test_raw = _split(clean, p)
+        prep = fit_preprocessor(train_raw, feats)
+        data = None
+        train, test = processed(train_raw), processed(test_raw)
+    else:
+        prep = fit_preprocessor(clean, feats)
+        # the processed frame feeds the fit (several passes) and the
+        # held-out evaluation: materialise it once, spilling to disk
+        data = processed(clean).persist(StorageLevel.MEMORY_AND_DISK)
+        train, test = _split(data, p)
+    try:
+        run_id = uuid.uuid4().hex
+        run_dir = f"{p.root}/artifacts/{run_id}"
+        save_model(prep, f"{run_dir}/preprocessor")
+        lr = fit_linear(train, persist=data is None)
+        save_model(lr, f"{run_dir}/model")
+        metrics = regression_metrics(lr.transform(test)).first()
+    finally:
+        if data is not None:
+            data.unpersist()
 
     runs = spark.createDataFrame(
         [(p.experiment, run_id, p.run_name, f"{run_dir}/model")],
