@@ -7,8 +7,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from scorewell.operators.encoding import (Feature, fit_preprocessor, index_col, label_table,
-                                          vector_col, vector_width)
+from scorewell.operators.encoding import (Feature, apply_label_table, fit_preprocessor,
+                                          index_col, label_table, vector_col, vector_width)
 from scorewell.operators.regression import fit_linear, linear_regression, regression_metrics
 from scorewell.operators.tracking import param_rows
 from scorewell.plans.flagship import fit_and_predict, level_calibration, predictions
@@ -214,6 +214,22 @@ query("string_index_unseen", _apply_sql(
                  lambda: F.col("l_quantity"), lambda: F.col("l_quantity") <= 25))
 
 
+@query("string_index_join", _apply_sql(
+    "l_quantity", "CAST(CAST(round_even(CAST(l_quantity AS DOUBLE), 0) AS BIGINT) AS VARCHAR)",
+    "l_quantity <= 25"))
+def string_index_join(spark, sf_dir):
+    """M1 + M2, relational path for large domains: the label table (ranked
+    with distributed positions) joined to every row; unseen -> numLabels."""
+    li = table(spark, sf_dir, "lineitem")
+    f = Feature("l_quantity", "score")
+    labels = label_table(li.where(F.col("l_quantity") <= 25), [f])
+    out = apply_label_table(li, labels, f)
+    return (out.groupBy(F.expr(f.coerce_sql()).alias("value"),
+                        F.col(index_col(f.name)).cast("bigint").alias("idx"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(f.name).alias("feature"), "value", "idx", "n"))
+
+
 @query("one_hot_apply", f"""
 WITH lab AS ({_LABEL_SQL.format(inner=_label_counts_sql("orders", [_cat("o_orderpriority")]))}),
 nl AS (SELECT count(*) AS k FROM lab)
