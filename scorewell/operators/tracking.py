@@ -14,8 +14,6 @@ and version numbers come from ``ordered_position`` (no single-task window).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -7,7 +7,6 @@ import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from scorewell.functions import scalars as S
 
