@@ -62,12 +62,12 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app_name="scorewell-bench")
     qs = queries()
-    # Untimed warm-up on the smallest scale: JVM class loading and codegen of
-    # the scan, ML, scoring and streaming paths.
+    # Untimed warm-up of every headline path on the smallest scale: JVM class
+    # loading and code generation, not data work.
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if not os.path.isdir(warm_dir):
         warm_dir = sf_dir
-    for name in ("row_count", "flagship_calibration", "score_batch", "score_stream"):
+    for name in ("row_count", *HEADLINE):
         _run(spark, qs[name], warm_dir)
     _pipeline(spark, warm_dir)
     times: dict[str, float] = {}
