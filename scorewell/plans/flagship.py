@@ -25,9 +25,11 @@ def fit_and_predict(df: DataFrame, features: Sequence[Feature | str], target: st
                     method: str = "counts", **lr_params):
     """Fit preprocessor + regression on ``df`` and return (prep, lr, predictions)."""
     feats = as_features(features)
-    clean = spread(drop_null_rows(df, [target]))
+    clean = drop_null_rows(df, [target])
+    # label counting is a light map-side aggregation: read as stored; the
+    # transform chain feeding the fit is per-row heavy: spread it
     prep = fit_preprocessor(clean, feats, method=method)
-    prepared = prep.transform(clean).withColumn("label", F.col(target).cast("double"))
+    prepared = prep.transform(spread(clean)).withColumn("label", F.col(target).cast("double"))
     lr = fit_linear(prepared, label_col="label", **lr_params)
     return prep, lr, predictions(clean, prep, lr, target)
 

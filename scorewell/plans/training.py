@@ -64,8 +64,8 @@ def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
     ``(features, label)`` frame; ``fit_on="train"`` splits the raw rows
     first and fits the preprocessor on the training part only.
     """
-    raw = spread(ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
-                                     **p.source_options))
+    raw = ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
+                              **p.source_options)
     feats = as_features(p.features)
     clean = drop_null_rows(raw, [p.target])
 
@@ -73,8 +73,10 @@ def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
         return prep.transform(d).select(
             *_split_key(p), "features", F.col(p.target).cast("double").alias("label"))
 
+    # label counting reads the rows as stored (light aggregation); the
+    # per-row transform chain runs on spread rows
     if p.fit_on == "train":
-        train_raw, test_raw = _split(clean, p)
+        train_raw, test_raw = _split(spread(clean), p)
         prep = fit_preprocessor(train_raw, feats)
         data = None
         train, test = processed(train_raw), processed(test_raw)
@@ -82,7 +84,7 @@ def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
         prep = fit_preprocessor(clean, feats)
         # the processed frame feeds the fit (several passes) and the
         # held-out evaluation: materialise it once, spilling to disk
-        data = processed(clean).persist(StorageLevel.MEMORY_AND_DISK)
+        data = processed(spread(clean)).persist(StorageLevel.MEMORY_AND_DISK)
         train, test = _split(data, p)
     try:
         run_id = uuid.uuid4().hex
