@@ -22,7 +22,8 @@ def ordered_position(df: DataFrame, group_col: str, order: Sequence[Column],
     """Add ``name`` = 0-based position of each row within ``group_col``.
 
     ``(group_col, *order)`` must be a total order (unique per row) so that
-    the numbering is deterministic across recomputation.
+    the numbering is deterministic across recomputation; a null group is a
+    group of its own.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -36,7 +37,10 @@ def ordered_position(df: DataFrame, group_col: str, order: Sequence[Column],
     before = (Window.partitionBy(group_col).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    joined = ranged.join(stats.select("_pid", group_col, "_off", "_first"),
-                         on=["_pid", group_col], how="inner")
+    s = stats.select(F.col("_pid").alias("_spid"), F.col(group_col).alias("_sgrp"),
+                     "_off", "_first")
+    # null-safe on the group, so a null group is numbered like any other
+    joined = ranged.join(s, (ranged["_pid"] == s["_spid"])
+                         & ranged[group_col].eqNullSafe(s["_sgrp"]), "inner")
     return (joined.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint"))
-            .drop("_pid", "_mid", "_off", "_first"))
+            .drop("_pid", "_mid", "_off", "_first", "_spid", "_sgrp"))

@@ -115,3 +115,10 @@ def test_per_column_stages_equal_multi_column(spark):
     b = ours.select("rid", vector_to_array("features").alias("v"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     text.unpersist()
+
+
+def test_ordered_position_null_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 5), (None, 2)], "g string, k int")
+    got = sorted((r["g"] or "", r["k"], r["pos"]) for r in
+                 ordered_position(df, "g", [F.col("k").asc()], num_partitions=3).collect())
+    assert got == [("", 1, 0), ("", 2, 1), ("", 3, 2), ("a", 2, 0), ("a", 5, 1)]
