@@ -39,17 +39,22 @@ def _field(text: Column, pattern: str) -> Column:
     return F.when(v == "", F.lit(None).cast("string")).otherwise(v)
 
 
-def manifest_catalog(spark: SparkSession, root: str, file_glob: str = "MLmodel") -> DataFrame:
+def manifest_catalog(spark: SparkSession, root: str, file_glob: str = "MLmodel",
+                     dir_name: str | None = None) -> DataFrame:
     """``(artifact_dir, path, mtime, loader_module, python_version,
     model_size_bytes, run_id, utc_time_created)`` for every manifest.
 
-    A field that is absent reads as null (the reference's loader lookup
-    returns None on any error).
+    Manifests are found at any depth under ``root``; ``dir_name`` (e.g.
+    ``"artifacts"``) keeps only those whose folder has that name.  ``mtime``
+    is the manifest file's modification time.  A field that is absent reads
+    as null (a failed loader lookup gives no loader either).
     """
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
              .option("pathGlobFilter", file_glob)
              .load(root))
+    if dir_name is not None:
+        files = files.where(F.col("path").endswith(f"/{dir_name}/" + file_glob))
     text = F.col("content").cast("string")
     return files.select(
         F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("artifact_dir"),

@@ -91,8 +91,10 @@ SELECT event_id,
   TRY_CAST(json_extract_string(rec, '$.k') AS DOUBLE) AS k,
   CASE WHEN json_extract_string(rec, '$.k') IS NULL THEN 'missing k'
        WHEN TRY_CAST(json_extract_string(rec, '$.k') AS DOUBLE) IS NULL THEN 'not a number: k'
+       WHEN NOT isfinite(TRY_CAST(json_extract_string(rec, '$.k') AS DOUBLE))
+         THEN 'not a finite number: k'
   END AS error,
-  TRY_CAST(json_extract_string(rec, '$.k') AS DOUBLE) IS NOT NULL AS valid
+  coalesce(isfinite(TRY_CAST(json_extract_string(rec, '$.k') AS DOUBLE)), false) AS valid
 FROM r""")
 def json_record_validate(spark, sf_dir):
     """Required fields read as text, typed with try_cast, bad rows flagged."""

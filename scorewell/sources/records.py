@@ -35,11 +35,20 @@ def validate_records(df: DataFrame, json_col: str, fields: Sequence[str],
 
 
 def validate_fields(df: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """S7 on text columns (records read with ``text_schema``)."""
+    """S7 on text columns (records read with ``text_schema``).
+
+    NaN and infinities parse as doubles but cannot become a score (the
+    integer conversion fails), so they are rejected as well.
+    """
     typed = [F.col(f"`{f}`").try_cast("double").alias(f) for f in fields]
+
+    def finite(v):
+        return ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+
     checks = F.coalesce(*[
         F.when(F.col(f"`{f}`").isNull(), F.lit(f"missing {f}"))
          .when(F.col(f"`{f}`").try_cast("double").isNull(), F.lit(f"not a number: {f}"))
+         .when(~finite(F.col(f"`{f}`").try_cast("double")), F.lit(f"not a finite number: {f}"))
         for f in fields])
     return df.select(*keep, *typed, checks.alias("error")).withColumn(
         "valid", F.col("error").isNull())

@@ -45,10 +45,12 @@ def test_first_readable_and_none(spark):
 
 def test_validate_records(spark):
     df = spark.createDataFrame([('{"a": 1, "b": "2.5"}',), ('{"a": 1}',), ('{"a": "x", "b": 3}',),
-                                ("not json",)], "rec string")
+                                ("not json",), ('{"a": "NaN", "b": 1}',), ('{"a": 1, "b": "-inf"}',)],
+                               "rec string")
     got = validate_records(df, "rec", ["a", "b"]).collect()
-    assert [r["valid"] for r in got] == [True, False, False, False]
-    assert [r["error"] for r in got] == [None, "missing b", "not a number: a", "missing a"]
+    assert [r["valid"] for r in got] == [True, False, False, False, False, False]
+    assert [r["error"] for r in got] == [None, "missing b", "not a number: a", "missing a",
+                                         "not a finite number: a", "not a finite number: b"]
     assert got[0]["b"] == 2.5
 
 
@@ -102,7 +104,11 @@ def test_manifest_catalog_rank_and_readiness(spark, tmp_path):
         body += f"model_size_bytes: {mtime}\nrun_id: {name}\n"
         (d / "MLmodel").write_text(body)
         os.utime(d / "MLmodel", (mtime, mtime))
-    cat = C.manifest_catalog(spark, str(root))
+    stray = root / "e" / "notes"
+    stray.mkdir(parents=True)
+    (stray / "MLmodel").write_text("run_id: e\n")
+    assert C.manifest_catalog(spark, str(root)).count() == 5
+    cat = C.manifest_catalog(spark, str(root), dir_name="artifacts")
     assert cat.count() == 4
     spark_order = [r["run_id"] for r in C.rank_artifacts(cat, True).orderBy("position").collect()]
     assert spark_order == ["a", "d", "c"]  # sklearn dropped; others newest first
