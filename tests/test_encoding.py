@@ -122,3 +122,19 @@ def test_ordered_position_null_group(spark):
     got = sorted((r["g"] or "", r["k"], r["pos"]) for r in
                  ordered_position(df, "g", [F.col("k").asc()], num_partitions=3).collect())
     assert got == [("", 1, 0), ("", 2, 1), ("", 3, 2), ("a", 2, 0), ("a", 5, 1)]
+
+
+def test_apply_label_table_shuffle_path_with_hot_key(spark, monkeypatch):
+    import scorewell.operators.encoding as enc
+    # a third of the rows share one value (hot key), the rest spread out
+    df = spark.range(0, 30000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise((F.col("id") % 997).cast("string")).alias("c"))
+    f = Feature("c", "category")
+    labels = label_table(df.where(F.col("id") < 20000), [f])
+    broadcast = apply_label_table(df, labels, f).select("id", index_col("c"))
+    monkeypatch.setattr(enc, "BROADCAST_LABELS", 0)  # force the shuffle join
+    shuffled = apply_label_table(df, labels, f).select("id", index_col("c"))
+    assert broadcast.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(broadcast).count() == 0
+    hot_idx = labels.where("value = 'hot'").first()["idx"]
+    assert hot_idx == 0  # the most frequent label gets index 0
