@@ -7,6 +7,13 @@ partition, number rows with ``monotonically_increasing_id`` and add the
 count of rows of the same group held by earlier partitions.  The only
 small-side data is one row per (partition, group) pair, at most
 ``partitions + groups`` rows.
+
+The range shuffle is sized by AQE (small inputs are coalesced to a few
+partitions instead of ``spark.sql.shuffle.partitions`` mostly empty ones),
+and the numbered rows are checkpointed to the shared checkpoint folder
+before the offsets are joined back: partition ids and row ids are frozen,
+so the two reads agree whatever coalescing happened, and a lost executor
+re-reads the checkpoint instead of re-deriving ids.
 """
 
 from __future__ import annotations
@@ -16,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorewell.session import cut_lineage
+
 
 def ordered_position(df: DataFrame, group_col: str, order: Sequence[Column],
                      name: str = "pos", num_partitions: int | None = None) -> DataFrame:
@@ -25,13 +34,12 @@ def ordered_position(df: DataFrame, group_col: str, order: Sequence[Column],
     the numbering is deterministic across recomputation; a null group is a
     group of its own.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(group_col).asc_nulls_first(), *order]
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    shuffled = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+                else df.repartitionByRange(*keys))
+    ranged = cut_lineage(shuffled.sortWithinPartitions(*keys)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
     stats = ranged.groupBy("_pid", group_col).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = (Window.partitionBy(group_col).orderBy("_pid")
