@@ -11,7 +11,8 @@ array.  The terms are added in feature order and the intercept last, the
 order the model's sparse dot product uses, so the result is the same
 double.  The whole chain stays in one whole-stage-codegen projection (no
 opaque ML UDFs); it is used only when every feature has at most
-``MAX_INLINE_LABELS`` labels, otherwise callers keep the ML transform.
+``MAX_INLINE_LABELS`` labels and all inlined literals stay under
+``MAX_INLINE_TOTAL``, otherwise callers keep the ML transform.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from pyspark.sql import functions as F
 from scorewell.operators.encoding import indexer_of, preprocessor_features
 
 MAX_INLINE_LABELS = 256
+# Bound on all inlined literals (labels + coefficients) so the plan that is
+# serialised to every task stays small.
+MAX_INLINE_TOTAL = 20_000
 
 
 def can_compile(prep: PipelineModel, model) -> bool:
@@ -33,7 +37,8 @@ def can_compile(prep: PipelineModel, model) -> bool:
         labels = indexer_of(prep).labelsArray
     except StopIteration:
         return False
-    return all(len(lab) <= MAX_INLINE_LABELS for lab in labels)
+    total = sum(2 * len(lab) + 1 for lab in labels)
+    return all(len(lab) <= MAX_INLINE_LABELS for lab in labels) and total <= MAX_INLINE_TOTAL
 
 
 def index_expressions(prep: PipelineModel) -> list[tuple[str, Column, int]]:
