@@ -35,6 +35,7 @@ class TrainParams:
     target: str
     source_format: str = "parquet"
     source_options: dict = field(default_factory=dict)
+    source_schema: object = None  # StructType or DDL text; skips CSV inference
     test_size: float = 0.2
     seed: int = 42
     split: str = "random"  # "random" (randomSplit) or "hash:<key column>"
@@ -65,7 +66,7 @@ def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
     first and fits the preprocessor on the training part only.
     """
     raw = spread(ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
-                                     **p.source_options))
+                                     schema=p.source_schema, **p.source_options))
     feats = as_features(p.features)
     clean = drop_null_rows(raw, [p.target])
 

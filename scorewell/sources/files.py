@@ -75,11 +75,12 @@ def ingest(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def first_readable(spark: SparkSession, candidates: Sequence[str], fmt: str = "parquet",
-                   **options) -> tuple[str, DataFrame]:
+                   schema=None, **options) -> tuple[str, DataFrame]:
     """The first candidate path that exists and opens; error if none.
 
-    Opening resolves the schema only (no full scan).  Nothing is written
-    when no candidate works.
+    Opening resolves the schema only: no scan for Parquet or when ``schema``
+    is given; CSV with ``inferSchema`` costs one inference pass, so pass a
+    schema for large text inputs.  Nothing is written when no candidate works.
     """
     errors = []
     for path in candidates:
@@ -87,7 +88,10 @@ def first_readable(spark: SparkSession, candidates: Sequence[str], fmt: str = "p
             errors.append(f"{path}: missing or empty")
             continue
         try:
-            df = spark.read.options(**options).format(fmt).load(path)
+            reader = spark.read.options(**options).format(fmt)
+            if schema is not None:
+                reader = reader.schema(schema)
+            df = reader.load(path)
             df.schema  # noqa: B018 - resolves the source now
             return path, df
         except Exception as exc:  # a broken candidate: try the next one
@@ -96,9 +100,9 @@ def first_readable(spark: SparkSession, candidates: Sequence[str], fmt: str = "p
 
 
 def ingest_first_source(spark: SparkSession, candidates: Sequence[str], path: str,
-                        fmt: str = "parquet", **options) -> DataFrame:
+                        fmt: str = "parquet", schema=None, **options) -> DataFrame:
     """S4 + S5: skip when ``path`` has data, else ingest the first readable source."""
     if path_has_data(spark, path):
         return spark.read.parquet(path)
-    _, df = first_readable(spark, candidates, fmt, **options)
+    _, df = first_readable(spark, candidates, fmt, schema=schema, **options)
     return ingest(spark, df, path)

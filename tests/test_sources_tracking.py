@@ -166,3 +166,12 @@ def test_column_profile_approx_close(spark):
     approx = {r["col_name"]: r["n_distinct"] for r in R.column_profile(li, exact=False).collect()}
     for c, n in exact.items():
         assert abs(approx[c] - n) <= max(2, 0.05 * n), (c, n, approx[c])
+
+
+def test_first_readable_with_schema_skips_inference(spark):
+    out = scratch_path(spark, "t_csv_schema")
+    SRC.write_csv(table(spark, SF_SMALL, "orders").select("o_orderkey", "o_totalprice"), out)
+    path, df = SRC.first_readable(spark, [scratch_path(spark, "t_no"), out], fmt="csv",
+                                  schema="o_orderkey bigint, o_totalprice double", header="true")
+    assert path == out and dict(df.dtypes) == {"o_orderkey": "bigint", "o_totalprice": "double"}
+    assert df.count() == table(spark, SF_SMALL, "orders").count()
