@@ -31,3 +31,12 @@ def test_entry_smoke(spark):
     assert all(r["calibrated"] for r in rows)
     assert set(e.oracle_sql()) <= set(e.queries())
     assert SF_SMALL in e.SMOKE_DIR
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_reads_the_given_tables(spark, name, tmp_path):
+    """With an empty data folder every query fails: none runs on fixed input alone."""
+    empty = tmp_path / "no_tables"
+    empty.mkdir()
+    with pytest.raises(Exception):
+        queries()[name](spark, str(empty)).collect()
