@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.llm.packing import pack_documents
+from scorewell.llm.pii import replace_entities
 from scorewell.llm.token_files import read_token_files, write_token_files
 from scorewell.llm.tokens import load_spec
 from scorewell.session import scratch_path, table
@@ -28,6 +29,16 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+#: Key of the surrogates in the registered query; a deployment passes its own secret.
+SURROGATE_KEY = "scorewell-demo-key"
+
+
+@query("op6_surrogates")
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY).select(
+        "doc_id", "n_entities", "text")
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = load_spec(public_tokenizers.path("word_bpe_49k.json"))
