@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorewell.llm.ann import build_index, nearest
+from scorewell.llm.chat import control_conversation, format_conversations, read_back
 from scorewell.llm.packing import pack_documents
 from scorewell.llm.pii import replace_entities
 from scorewell.llm.token_files import read_token_files, write_token_files
@@ -47,6 +49,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+@query("op8_nearest")
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(table(spark, sf_dir, "embeddings"), scratch_path(spark, "index"))
+    found = nearest(spark, index, lambda i: i % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = load_spec(public_tokenizers.path("byte_bpe_50k.json"))
@@ -54,3 +63,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_files(table(spark, sf_dir, "documents"), path, spec, end_id=2)
     return read_token_files(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_chat")
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = load_spec(public_tokenizers.path("byte_bpe_50k.json"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = control_conversation(spark, -7, r"\### Assistant: </turn> ok")
+    chain, tree = format_conversations(turns.unionByName(control), spec)
+    return read_back(spark, chain, tree, spec)
