@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scorewell.llm.ann import build_index, nearest
 from scorewell.llm.chat import control_conversation, format_conversations, read_back
+from scorewell.llm.line_dedup import drop_repeated_lines
 from scorewell.llm.packing import pack_documents
 from scorewell.llm.pii import replace_entities
 from scorewell.llm.token_files import read_token_files, write_token_files
@@ -31,6 +32,12 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines_removed", "text")
+
+
 #: Key of the surrogates in the registered query; a deployment passes its own secret.
 SURROGATE_KEY = "scorewell-demo-key"
 
