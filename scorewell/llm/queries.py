@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scorewell.llm.ann import build_index, nearest
 from scorewell.llm.chat import control_conversation, format_conversations, read_back
+from scorewell.llm.decontaminate import find_benchmark
 from scorewell.llm.line_dedup import drop_repeated_lines
 from scorewell.llm.packing import pack_documents
 from scorewell.llm.pii import replace_entities
@@ -32,6 +33,11 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_line_dedup")
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
