@@ -12,6 +12,7 @@ from scorewell.llm.ann import build_index, nearest
 from scorewell.llm.chat import control_conversation, format_conversations, read_back
 from scorewell.llm.decontaminate import find_benchmark
 from scorewell.llm.line_dedup import drop_repeated_lines
+from scorewell.llm.lm_scoring import score_documents
 from scorewell.llm.ngram_join import ngram_components
 from scorewell.llm.packing import pack_documents
 from scorewell.llm.pii import replace_entities
@@ -39,6 +40,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+@query("op2_lm_score")
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op3_decontaminate")
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
