@@ -16,6 +16,7 @@ from scorewell.llm.lm_scoring import score_documents
 from scorewell.llm.ngram_join import ngram_components
 from scorewell.llm.packing import pack_documents
 from scorewell.llm.pii import replace_entities
+from scorewell.llm.quality import judge_documents
 from scorewell.llm.token_files import read_token_files, write_token_files
 from scorewell.llm.tokens import load_spec
 from scorewell.session import scratch_path, table
@@ -56,6 +57,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines_removed", "text")
 
 
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: Key of the surrogates in the registered query; a deployment passes its own secret.
 SURROGATE_KEY = "scorewell-demo-key"
 
