@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,3 +104,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = control_conversation(spark, -7, r"\### Assistant: </turn> ok")
     chain, tree = format_conversations(turns.unionByName(control), spec)
     return read_back(spark, chain, tree, spec)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
