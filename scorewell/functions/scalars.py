@@ -141,11 +141,11 @@ def json_field(doc: Column | str, path: str, default: Column | None = None) -> C
     return v if default is None else F.coalesce(v, default)
 
 
-def stable_bucket(key: Column | str, buckets: int = 100) -> Column:
-    """Bucket in [0, buckets) from the first 32 bits of md5(key as text).
+def stable_hash32(*keys: Column | str) -> Column:
+    """First 32 bits of md5 over the keys' text; a null counts as empty text.
 
-    Depends only on the key, so it does not move when data is repartitioned,
+    Depends only on the keys, so it does not move when data is repartitioned,
     and it can be written identically in other SQL engines.
     """
-    h = F.conv(F.substring(F.md5(_c(key).cast("string")), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, F.lit(buckets))
+    text = F.concat_ws("\x1f", *[F.coalesce(_c(k).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")

@@ -34,6 +34,10 @@ def write_manifests(df: DataFrame, root: str, dir_col: str = "run_id",
     return root
 
 
+# loader_module of the python_function flavor only, quotes dropped
+_LOADER = r"""(?m)^  python_function:[ \t]*\n(?:    .*\n)*?    loader_module:[ \t]*['"]?([^\s'"]+)"""
+
+
 def _field(text: Column, pattern: str) -> Column:
     v = F.regexp_extract(text, pattern, 1)
     return F.when(v == "", F.lit(None).cast("string")).otherwise(v)
@@ -60,7 +64,7 @@ def manifest_catalog(spark: SparkSession, root: str, file_glob: str = "MLmodel",
         F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("artifact_dir"),
         "path",
         F.col("modificationTime").alias("mtime"),
-        _field(text, r"(?m)^\s+loader_module:\s*(\S+)\s*$").alias("loader_module"),
+        _field(text, _LOADER).alias("loader_module"),
         _field(text, r"(?m)^\s+python_version:\s*(\S+)\s*$").alias("python_version"),
         _field(text, r"(?m)^model_size_bytes:\s*(\d+)\s*$").cast("bigint").alias("model_size_bytes"),
         _field(text, r"(?m)^run_id:\s*(\S+)\s*$").alias("run_id"),
@@ -115,27 +119,19 @@ def resolve_model(registry_latest: DataFrame, model_dirs: DataFrame, ranked: Dat
         "source_rank", "position").limit(1)
 
 
-def load_first(candidates: DataFrame, loader, page: int = 20):
+def load_first(candidates: DataFrame, loader):
     """Try candidates in order, return ``(row, model)`` of the first that
     loads, or ``(None, None)`` when none does.
 
-    Candidates reach the driver one ordered page at a time (top-``page``,
-    then the next page after every failure), so every candidate can be
-    tried while the driver holds at most ``page`` rows; loading a model is
-    a driver action anyway.
+    Candidates are sorted once and reach the driver a partition at a time;
+    loading a model is a driver action anyway.
     """
-    ordered = candidates.orderBy("source_rank", "position", "path")
-    start = 0
-    while True:
-        rows = ordered.offset(start).limit(page).collect() if start else ordered.limit(page).collect()
-        for row in rows:
-            try:
-                return row, loader(row["path"])
-            except Exception:  # a broken artifact: fall through to the next one
-                continue
-        if len(rows) < page:
-            return None, None
-        start += page
+    for row in candidates.orderBy("source_rank", "position", "path").toLocalIterator():
+        try:
+            return row, loader(row["path"])
+        except Exception:  # a broken artifact: fall through to the next one
+            continue
+    return None, None
 
 
 def readiness(catalog: DataFrame, preprocessor_present: Column | None = None) -> DataFrame:

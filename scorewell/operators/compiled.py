@@ -10,9 +10,8 @@ index, missing/null -> numLabels) and the coefficient a lookup in a literal
 array.  The terms are added in feature order and the intercept last, the
 order the model's sparse dot product uses, so the result is the same
 double.  The whole chain stays in one whole-stage-codegen projection (no
-opaque ML UDFs); it is used only when every feature has at most
-``MAX_INLINE_LABELS`` labels and all inlined literals stay under
-``MAX_INLINE_TOTAL``, otherwise callers keep the ML transform.
+opaque ML UDFs).  Callers ask for it where label sets are small: a lookup
+walks the literal map, and the literals are part of the plan.
 """
 
 from __future__ import annotations
@@ -24,21 +23,14 @@ from pyspark.sql import functions as F
 
 from scorewell.operators.encoding import indexer_of, preprocessor_features
 
-MAX_INLINE_LABELS = 256
-# Bound on all inlined literals (labels + coefficients) so the plan that is
-# serialised to every task stays small.
-MAX_INLINE_TOTAL = 20_000
-
-
 def can_compile(prep: PipelineModel, model) -> bool:
     if not isinstance(model, LinearRegressionModel):
         return False
     try:
-        labels = indexer_of(prep).labelsArray
+        indexer_of(prep)
     except StopIteration:
         return False
-    total = sum(2 * len(lab) + 1 for lab in labels)
-    return all(len(lab) <= MAX_INLINE_LABELS for lab in labels) and total <= MAX_INLINE_TOTAL
+    return True
 
 
 def index_expressions(prep: PipelineModel) -> list[tuple[str, Column, int]]:

@@ -7,12 +7,12 @@ Design
   cast to text as they are.  The coercion is a ``SQLTransformer`` stage, so
   the fitted pipeline carries it and batch, stream and reloaded scoring all
   apply the same rule.
-* Index labels are fitted with one distributed aggregation over all feature
-  columns at once (unpivot -> ``groupBy(column, value)`` with map-side
-  combine), then ranked ``count desc, value asc`` per column with
-  ``ordered_position`` so no single task sees a whole column's domain.  The
-  result is the relational **label table**; ``StringIndexerModel`` is built
-  from it, and the same table can be joined for very large domains.
+* Models use Spark's multi-column ``StringIndexer``.  For domains too large
+  for a model's memory the relational **label table** holds the same order:
+  one aggregation over all features (unpivot -> ``groupBy(column, value)``
+  with map-side combine), ranked ``count desc, value asc`` per column with
+  ``ordered_position`` so no single task sees a whole column's domain, and
+  joined to the rows.
 * Unseen and null values go to index ``numLabels`` (``handleInvalid=keep``);
   the one-hot block of a feature then has ``numLabels + 1`` slots and the
   unseen slot is a real slot (K3, K4).
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer,
                                 StringIndexerModel, VectorAssembler)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewell.operators.ranking import ordered_position
@@ -35,11 +35,6 @@ CAT_SUFFIX = "__cat"
 INDEX_SUFFIX = "_indexed"
 VECTOR_SUFFIX = "_vec"
 FEATURES = "features"
-# Label tables above this many rows are not turned into an in-memory
-# StringIndexerModel; apply them with ``apply_label_table`` instead.
-MAX_MODEL_LABELS = 2_000_000
-# Label tables up to this many rows of one column are broadcast for joins.
-BROADCAST_LABELS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -99,55 +94,6 @@ def label_table(df: DataFrame, features: Sequence[Feature | str]) -> DataFrame:
                             name="idx")
 
 
-def label_arrays(counts: DataFrame, features: Sequence[Feature]) -> list[list[str]]:
-    """Ordered labels per feature (count desc, value asc) for an indexer model.
-
-    ``counts`` is ``label_counts`` (or ``label_table``) output: one row per
-    distinct value, already combined map-side.  At most ``MAX_MODEL_LABELS``
-    rows are collected -- a model holds its labels on the driver, which is
-    right for score-like domains; larger domains raise and should use the
-    relational ``label_table`` + ``apply_label_table`` path.
-    """
-    rows = counts.select("feature", "value", "n").limit(MAX_MODEL_LABELS + 1).collect()
-    if len(rows) > MAX_MODEL_LABELS:
-        raise ValueError(
-            f"more than {MAX_MODEL_LABELS} labels; use apply_label_table for this domain")
-    by_col: dict[str, list[tuple[int, str]]] = {f.name: [] for f in features}
-    for r in rows:
-        by_col[r["feature"]].append((-r["n"], r["value"]))
-    return [[v for _, v in sorted(by_col[f.name])] for f in features]
-
-
-def _ragged_string_arrays(spark: SparkSession, arrays: list[list[str]]):
-    """``Array[Array[String]]`` with rows of their own length.
-
-    (``from_arrays_of_labels`` pads short rows with nulls, which would add
-    null labels to every shorter feature.)
-    """
-    gw = spark.sparkContext._gateway
-    string = gw.jvm.java.lang.String
-    outer = gw.new_array(string, len(arrays), 0)
-    for i, labels in enumerate(arrays):
-        inner = gw.new_array(string, len(labels))
-        for j, v in enumerate(labels):
-            inner[j] = v
-        outer[i] = inner
-    return outer
-
-
-def indexer_from_counts(counts: DataFrame, features: Sequence[Feature]) -> StringIndexerModel:
-    """Multi-column ``StringIndexerModel`` from label counts."""
-    spark = counts.sparkSession
-    arrays = label_arrays(counts, features)
-    jmodel = spark.sparkContext._jvm.org.apache.spark.ml.feature.StringIndexerModel(
-        _ragged_string_arrays(spark, arrays))
-    model = StringIndexerModel(jmodel)
-    model._resetUid(jmodel.uid())
-    model._transfer_params_from_java()
-    return model.setInputCols([cat_col(f.name) for f in features]).setOutputCols(
-        [index_col(f.name) for f in features]).setHandleInvalid("keep")
-
-
 def encoder_stages(features: Sequence[Feature]) -> list:
     """M3 + M4: multi-column one-hot (keep, dropLast) and assembly."""
     enc = OneHotEncoder(inputCols=[index_col(f.name) for f in features],
@@ -157,8 +103,8 @@ def encoder_stages(features: Sequence[Feature]) -> list:
     return [enc, asm]
 
 
-def builtin_preprocessor(features: Sequence[Feature | str]) -> Pipeline:
-    """Unfitted pipeline using Spark's own multi-column ``StringIndexer`` fit."""
+def preprocessor(features: Sequence[Feature | str]) -> Pipeline:
+    """Unfitted pipeline: coercion, one multi-column ``StringIndexer``, one-hot, assembly."""
     feats = as_features(features)
     indexer = StringIndexer(inputCols=[cat_col(f.name) for f in feats],
                             outputCols=[index_col(f.name) for f in feats],
@@ -166,22 +112,19 @@ def builtin_preprocessor(features: Sequence[Feature | str]) -> Pipeline:
     return Pipeline(stages=[coercion_stage(feats), indexer, *encoder_stages(feats)])
 
 
-def fit_preprocessor(df: DataFrame, features: Sequence[Feature | str],
-                     method: str = "counts") -> PipelineModel:
+def fit_preprocessor(df: DataFrame, features: Sequence[Feature | str]) -> PipelineModel:
     """M1-M5: fit coercion + index + one-hot + assembly on ``df``.
 
-    ``method="counts"`` fits labels with one ``groupBy(column, value)`` over
-    all features (shuffle of distinct values only); ``"builtin"`` uses
-    ``StringIndexer.fit`` (same labels; its per-partition maps are merged in
-    one final task).
+    The fitted model holds its labels in memory, as any ``StringIndexer``
+    model does; for larger domains use ``label_table`` and
+    ``apply_label_table``.  A feature without any label (all null or not
+    numeric under its kind) is an error.
     """
-    feats = as_features(features)
-    if method == "builtin":
-        return builtin_preprocessor(feats).fit(df)
-    if method != "counts":
-        raise ValueError(method)
-    indexer = indexer_from_counts(label_counts(df, feats), feats)
-    return Pipeline(stages=[coercion_stage(feats), indexer, *encoder_stages(feats)]).fit(df)
+    model = preprocessor(features).fit(df)
+    dead = [name for name, n in num_labels(model).items() if not n]
+    if dead and not df.isEmpty():
+        raise ValueError(f"no labels in features {dead}; check their kind (score or category)")
+    return model
 
 
 def preprocessor_features(model: PipelineModel) -> list[Feature]:
@@ -200,15 +143,6 @@ def indexer_of(model: PipelineModel) -> StringIndexerModel:
     return next(s for s in model.stages if isinstance(s, StringIndexerModel))
 
 
-def labels_of(model: PipelineModel) -> DataFrame:
-    """Label table ``(feature, value, idx)`` of a fitted preprocessor (small)."""
-    idx = indexer_of(model)
-    feats = preprocessor_features(model)
-    rows = [(f.name, v, i) for f, labels in zip(feats, idx.labelsArray) for i, v in enumerate(labels)]
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, "feature string, value string, idx bigint")
-
-
 def num_labels(model: PipelineModel) -> dict[str, int]:
     idx = indexer_of(model)
     feats = preprocessor_features(model)
@@ -234,16 +168,17 @@ def apply_label_table(df: DataFrame, labels: DataFrame, feature: Feature,
                       out: str | None = None) -> DataFrame:
     """M2, relational: join ``df`` to the label table of one feature.
 
-    Unseen/null -> numLabels.  The label side is broadcast only when its
-    row count is at most ``BROADCAST_LABELS`` (counted on the small,
-    aggregated table); otherwise a shuffle join, where AQE splits a hot key.
+    Unseen/null -> numLabels.  Null keys stay out of the join, so they do not
+    meet in one task; Spark chooses the join by the size of the label side,
+    and AQE splits a hot key of a shuffle join.
     """
     out = out or index_col(feature.name)
     mine = labels.where(F.col("feature") == feature.name).select(
         F.col("value").alias("_v"), F.col("idx").alias("_i"))
-    n = mine.count()
-    side = F.broadcast(mine) if n <= BROADCAST_LABELS else mine
+    unseen = mine.agg(F.count(F.lit(1))).scalar()
     keyed = df.withColumn("_k", F.expr(feature.coerce_sql()))
-    joined = keyed.join(side, keyed["_k"] == side["_v"], "left")
-    return (joined.withColumn(out, F.coalesce(F.col("_i"), F.lit(n)).cast("double"))
-            .drop("_k", "_v", "_i"))
+    known = keyed.where(F.col("_k").isNotNull())
+    joined = known.join(mine, known["_k"] == mine["_v"], "left").drop("_v")
+    null = keyed.where(F.col("_k").isNull()).withColumn("_i", F.lit(None).cast("bigint"))
+    return (joined.unionByName(null).withColumn(out, F.coalesce(F.col("_i"), unseen).cast("double"))
+            .drop("_k", "_i"))

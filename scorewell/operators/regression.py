@@ -32,16 +32,13 @@ def linear_regression(features_col: str = FEATURES, label_col: str = "label",
 
 
 def fit_linear(df: DataFrame, features_col: str = FEATURES, label_col: str = "label",
-               persist: bool = True, **params) -> LinearRegressionModel:
+               persist: bool = False, **params) -> LinearRegressionModel:
     """M6: fit on ``df``; only the needed columns are read.
 
     The fit reads its input several times (feature statistics, normal
-    equations), so by default the two-column training frame is persisted
-    (memory, spilling to disk; lost blocks are recomputed from lineage)
-    for the duration of the fit and released afterwards.  With
-    ``persist=False`` every pass re-reads the pruned input columns instead,
-    the better trade when the materialised vectors would outgrow the
-    cluster's memory and local disk.
+    equations), by default the pruned input columns each time.  With
+    ``persist=True`` the two-column training frame is kept (memory, spilling
+    to local disk; lost blocks are recomputed) for the duration of the fit.
     """
     data = df.select(features_col, label_col)
     if not persist:
@@ -63,15 +60,15 @@ def regression_metrics(df: DataFrame, label_col: str = "label",
                        group_cols: Sequence[str] = ()) -> DataFrame:
     """M9 + M10: ``n, sse, rmse, r2`` in one pass, per group if given.
 
-    ``r2`` is ``1 - sse / sst`` with ``throughOrigin=false``; a constant label
+    Rows without a label or a prediction count nowhere.  ``r2`` is ``1 - sse / sst`` with ``throughOrigin=false``; a constant label
     (``sst = 0``) gives null instead of a division error.
     """
     y = F.col(label_col).cast("double")
     p = F.col(prediction_col).cast("double")
     aggs = [
-        F.count(F.lit(1)).alias("n"),
+        F.count(y - p).alias("n"),
         F.sum((y - p) * (y - p)).alias("sse"),
-        F.var_pop(y).alias("_var"),
+        F.var_pop(F.when(p.isNotNull(), y)).alias("_var"),
     ]
     g = df.groupBy(*group_cols) if group_cols else df.groupBy()
     out = g.agg(*aggs)
@@ -79,11 +76,3 @@ def regression_metrics(df: DataFrame, label_col: str = "label",
     return (out.withColumn("rmse", F.sqrt(F.col("sse") / F.col("n")))
             .withColumn("r2", F.when(sst > 0, 1.0 - F.col("sse") / sst))
             .drop("_var"))
-
-
-def numeric_fit_table(model: LinearRegressionModel, metrics: DataFrame) -> DataFrame:
-    """Coefficients of a one-feature model next to its metrics row."""
-    return metrics.select(
-        F.lit(float(model.coefficients[0])).alias("slope"),
-        F.lit(float(model.intercept)).alias("intercept"),
-        "r2", "rmse", "n")

@@ -11,8 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.functions.scalars import stable_bucket
-from scorewell.session import spread
+from scorewell.functions.scalars import stable_hash32
+
+
+def _named(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
@@ -20,12 +24,6 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(subset))
 
 
-def select_excluding(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
-    """R2: every column except the named ones, order kept."""
-    drop = set(exclude)
-    return df.select(*[c for c in df.columns if c not in drop])
-
-
 def feature_columns(df: DataFrame, target: str, id_cols: Sequence[str] = ("id",)) -> list[str]:
     """R2: feature names by exclusion of the target and id columns."""
     drop = {target, *id_cols}
@@ -72,15 +70,15 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None,
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     aggs = []
     for i, c in enumerate(cols):
-        aggs.append((F.count(F.lit(1)) - F.count(F.col(c))).alias(f"n{i}"))
-        distinct = (F.count_distinct(F.col(c)) if exact
-                    else F.approx_count_distinct(F.col(c), rsd))
+        aggs.append((F.count(F.lit(1)) - F.count(_named(c))).alias(f"n{i}"))
+        distinct = (F.count_distinct(_named(c)) if exact
+                    else F.approx_count_distinct(_named(c), rsd))
         aggs.append(distinct.alias(f"d{i}"))
-    wide = spread(df.select(*cols)).agg(*aggs)
-    stack = ", ".join(
-        f"{i}, '{c}', '{types[c]}', n{i}, d{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(
-        f"stack({len(cols)}, {stack}) as (position, col_name, data_type, n_null, n_distinct)")
+    wide = df.select(*[_named(c) for c in cols]).agg(*aggs)
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("col_name"), F.lit(types[c]).alias("data_type"),
+                 F.col(f"n{i}").alias("n_null"), F.col(f"d{i}").alias("n_distinct"))
+        for i, c in enumerate(cols)])).alias("r")).select("r.*")
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -106,17 +104,24 @@ def random_split(df: DataFrame, test_fraction: float, seed: int) -> tuple[DataFr
     return tuple(df.randomSplit([1.0 - test_fraction, test_fraction], seed=seed))
 
 
-def hash_split(df: DataFrame, key: str, test_fraction: float,
-               buckets: int = 100) -> tuple[DataFrame, DataFrame]:
-    """Key-hash split, stable under repartition and across engines."""
-    cut = int(round((1.0 - test_fraction) * buckets))
-    b = stable_bucket(key, buckets)
-    return df.filter(b < cut), df.filter(b >= cut)
+def in_test(keys: Sequence[str], test_fraction: float) -> Column:
+    """Whether a row goes to the test part, by the hash of its keys.
+
+    Never null (a null key hashes as empty text), any fraction works to 32
+    bits, and the answer depends on nothing but the keys.
+    """
+    return stable_hash32(*[_named(k) for k in keys]) >= F.lit((1.0 - test_fraction) * 2.0**32)
+
+
+def hash_split(df: DataFrame, keys: str | Sequence[str],
+               test_fraction: float) -> tuple[DataFrame, DataFrame]:
+    """(train, test) by key hash, stable under repartition and across engines."""
+    test = in_test([keys] if isinstance(keys, str) else keys, test_fraction)
+    return df.filter(~test), df.filter(test)
 
 
-def with_split_flag(df: DataFrame, key: str, test_fraction: float,
-                    buckets: int = 100, name: str = "split") -> DataFrame:
+def with_split_flag(df: DataFrame, keys: str | Sequence[str], test_fraction: float,
+                    name: str = "split") -> DataFrame:
     """Tag rows 'train'/'test' by key hash without separating them."""
-    cut = int(round((1.0 - test_fraction) * buckets))
-    return df.withColumn(
-        name, F.when(stable_bucket(key, buckets) < cut, F.lit("train")).otherwise(F.lit("test")))
+    test = in_test([keys] if isinstance(keys, str) else keys, test_fraction)
+    return df.withColumn(name, F.when(test, F.lit("test")).otherwise(F.lit("train")))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel, Transformer
@@ -27,7 +28,7 @@ from scorewell.operators.compiled import (can_compile, prediction_expression,
 from scorewell.operators.encoding import (Feature, as_features, preprocessor_features,
                                           unseen_count)
 from scorewell.operators.regression import PREDICTION
-from scorewell.session import ship_package, spread
+from scorewell.session import ship_package
 
 
 # Largest pickled Python model that is broadcast to executors.
@@ -47,12 +48,12 @@ def _finish(df: DataFrame, keep: Sequence[str], raw: str, status: str, n_unseen)
 
 
 def score(df: DataFrame, preprocessor: PipelineModel | None, model: Transformer | None,
-          keep: Sequence[str] = (), compiled: bool = True) -> DataFrame:
+          keep: Sequence[str] = (), compiled: bool = False) -> DataFrame:
     """Coerce -> preprocess -> predict -> normalise -> round -> band.
 
-    A linear model over small label sets is evaluated as inlined Catalyst
-    expressions (``operators.compiled``, same doubles as the ML transform);
-    any other model runs ``preprocessor.transform`` then ``model.transform``.
+    ``preprocessor.transform`` then ``model.transform``; with ``compiled`` a
+    linear model is evaluated as inlined Catalyst expressions instead
+    (``operators.compiled``, same doubles), which suits small label sets.
 
     No model -> fallback rows (P3).  A model without its preprocessor is an
     error raised before any job runs (K11).
@@ -68,8 +69,6 @@ def score(df: DataFrame, preprocessor: PipelineModel | None, model: Transformer
     if compiled and can_compile(preprocessor, model):
         scored = df.withColumn(PREDICTION, prediction_expression(preprocessor, model))
         return _finish(scored, keep, PREDICTION, STATUS_SUCCESS, unseen_expression(preprocessor))
-    if not df.isStreaming:
-        df = spread(df)
     scored = model.transform(preprocessor.transform(df))
     return _finish(scored, keep, PREDICTION, STATUS_SUCCESS, unseen_count(preprocessor))
 
@@ -110,7 +109,9 @@ def score_python_model(df: DataFrame, model, features: Sequence[Feature | str],
         for pdf in batches:
             preds = m.predict(pdf[names])
             if hasattr(preds, "__len__"):
-                values = pd.Series(preds, index=pdf.index, dtype="float64")
+                values = np.asarray(preds, dtype="float64").reshape(-1)  # by place, not by index
+                if len(values) != len(pdf):
+                    raise ValueError(f"{len(values)} predictions for {len(pdf)} rows")
             else:
                 values = pd.Series(float(preds), index=pdf.index, dtype="float64")
             out = pdf[list(keep)].copy()
@@ -154,7 +155,8 @@ class GroupMeanModel:
 
 
 def sample_record(spark, preprocessor: PipelineModel, value: float = 5.0) -> DataFrame:
-    """P5: one record with every feature set to ``value`` (text, as served)."""
+    """P5: one record with every feature set to ``value``, rounded half-even to
+    integer text as served (a category fitted on integers knows no ``5.0``)."""
     feats = preprocessor_features(preprocessor)
     schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in feats])
-    return spark.createDataFrame([[str(value)] * len(feats)], schema)
+    return spark.createDataFrame([[str(int(round(value)))] * len(feats)], schema)

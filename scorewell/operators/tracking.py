@@ -3,7 +3,8 @@
 Tables (Parquet, append-only, under a root folder on shared storage):
 
 * ``runs``         experiment, run_id, run_name, start_time, artifact_path
-* ``run_metrics``  run_id, key, value
+* ``run_metrics``  run_id, key, value, logged_at
+* ``metric_info``  key, evaluator_class, labelCol, metricName, predictionCol, throughOrigin
 * ``run_params``   run_id, stage, name, value
 * ``model_versions`` name, version, run_id, path
 
@@ -22,6 +23,7 @@ from scorewell.operators.ranking import ordered_position
 RUNS = "runs"
 METRICS = "run_metrics"
 PARAMS = "run_params"
+INFO = "metric_info"
 VERSIONS = "model_versions"
 
 
@@ -39,6 +41,16 @@ def param_rows(spark: SparkSession, model, run_id: str | None = None) -> DataFra
     return df if run_id is None else df.select(F.lit(run_id).alias("run_id"), "*")
 
 
+def metric_definitions(spark: SparkSession) -> DataFrame:
+    """How the logged metrics are defined."""
+    evaluator = "org.apache.spark.ml.evaluation.RegressionEvaluator"
+    return spark.createDataFrame(
+        [("test_r2", evaluator, "label", "r2", "prediction", False),
+         ("test_rmse", evaluator, "label", "rmse", "prediction", None)],
+        "key string, evaluator_class string, labelCol string, metricName string, "
+        "predictionCol string, throughOrigin boolean")
+
+
 def run_id_of(*parts) -> F.Column:
     """Deterministic run id: md5 of the experiment and run name."""
     return F.md5(F.concat_ws("/", *parts))
@@ -82,7 +94,8 @@ def log_runs(root: str, runs: DataFrame, metrics: DataFrame,
     """Append runs, metrics and params (one Parquet folder each)."""
     runs.select("experiment", "run_id", "run_name", "start_time", "artifact_path") \
         .write.mode("append").parquet(f"{root}/{RUNS}")
-    metrics.select("run_id", "key", "value").write.mode("append").parquet(f"{root}/{METRICS}")
+    at = F.col("logged_at") if "logged_at" in metrics.columns else F.current_timestamp()
+    metrics.select("run_id", "key", "value", at.alias("logged_at")).write.mode("append").parquet(f"{root}/{METRICS}")
     if params is not None:
         params.select("run_id", "stage", "name", "value").write.mode("append").parquet(
             f"{root}/{PARAMS}")
@@ -94,10 +107,22 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def runs_with_metric(runs: DataFrame, metrics: DataFrame, key: str) -> DataFrame:
     """Runs left-joined to one metric (missing metric -> null value)."""
-    m = metrics.where(F.col("key") == key).select("run_id", F.col("value").alias("metric"))
+    m = metrics.where(F.col("key") == key)
+    # a metric logged again counts as logged last; tables without a time take the largest
+    order = F.struct("logged_at", "value") if "logged_at" in m.columns else F.struct("value")
+    m = m.groupBy("run_id").agg(F.max_by("value", order).alias("metric"))
     return runs.join(m, "run_id", "left")
 
 
+def _run_order() -> list[F.Column]:
+    """Best first: a number before NaN and null, largest first, newest first
+    (unknown start times last), run id; every part ascends."""
+    none = F.col("metric").isNull() | F.isnan("metric")
+    return [none.alias("_none"), F.when(~none, -F.col("metric")).alias("_neg"),
+            F.col("start_time").isNull().alias("_undated"),
+            (-F.unix_micros("start_time")).alias("_age"), F.col("run_id")]
+
+
 def best_run(runs: DataFrame, metrics: DataFrame, experiment: str,
              key: str = "test_r2") -> DataFrame:
     """Best run of one experiment (metric desc, newest, run_id).
@@ -105,24 +130,18 @@ def best_run(runs: DataFrame, metrics: DataFrame, experiment: str,
     Empty result when the experiment is unknown or has no runs.
     """
     r = runs_with_metric(runs.where(F.col("experiment") == experiment), metrics, key)
-    return r.orderBy(F.col("metric").desc_nulls_last(), F.col("start_time").desc(),
-                     F.col("run_id").asc()).limit(1)
+    return r.orderBy(*_run_order()).limit(1)
 
 
 def best_run_per_experiment(runs: DataFrame, metrics: DataFrame,
                             key: str = "test_r2") -> DataFrame:
     """T3 per group: ``min(struct(order keys, payload))`` per experiment.
 
-    The struct is ordered (null metric last, metric desc, newest first,
-    run_id asc) so one partial aggregate picks the winner; a hot experiment
+    The struct is ordered as ``best_run`` orders, so one partial aggregate picks the winner; a hot experiment
     is combined map-side instead of being sorted in one task.
     """
     r = runs_with_metric(runs, metrics, key)
-    pick = F.struct(
-        F.col("metric").isNull().alias("_nul"),
-        (-F.col("metric")).alias("_neg"),
-        (-F.unix_micros("start_time")).alias("_age"),
-        F.col("run_id"), F.col("run_name"), F.col("metric"), F.col("artifact_path"))
+    pick = F.struct(*_run_order(), F.col("run_name"), F.col("metric"), F.col("artifact_path"))
     best = r.groupBy("experiment").agg(F.min(pick).alias("b"))
     return best.select("experiment", "b.run_id", "b.run_name", "b.metric", "b.artifact_path")
 
@@ -142,7 +161,8 @@ def register_versions(candidates: DataFrame, name: F.Column,
                                 name="_pos")
     if existing is not None:
         base = existing.groupBy("name").agg(F.max("version").alias("_base"))
-        numbered = numbered.join(base, "name", "left")
+        base = base.withColumnRenamed("name", "_name")
+        numbered = numbered.join(base, F.col("name").eqNullSafe(F.col("_name")), "left").drop("_name")
     else:
         numbered = numbered.withColumn("_base", F.lit(None).cast("int"))
     return numbered.select(

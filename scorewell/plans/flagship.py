@@ -18,33 +18,31 @@ from scorewell.operators.encoding import (Feature, as_features, cat_col, fit_pre
                                           preprocessor_features)
 from scorewell.operators.regression import PREDICTION, fit_linear
 from scorewell.operators.rows import drop_null_rows
-from scorewell.session import spread
 
 
-def fit_and_predict(df: DataFrame, features: Sequence[Feature | str], target: str,
-                    method: str = "counts", **lr_params):
+def fit_and_predict(df: DataFrame, features: Sequence[Feature | str], target: str, **lr_params):
     """Fit preprocessor + regression on ``df`` and return (prep, lr, predictions)."""
     feats = as_features(features)
-    clean = spread(drop_null_rows(df, [target]))
-    prep = fit_preprocessor(clean, feats, method=method)
+    clean = drop_null_rows(df, [target])
+    prep = fit_preprocessor(clean, feats)
     prepared = prep.transform(clean).withColumn("label", F.col(target).cast("double"))
     lr = fit_linear(prepared, label_col="label", **lr_params)
     return prep, lr, predictions(clean, prep, lr, target)
 
 
-def predictions(df: DataFrame, prep, lr, target: str) -> DataFrame:
+def predictions(df: DataFrame, prep, lr, target: str, compiled: bool = True) -> DataFrame:
     """``df`` + canonical text columns + ``label`` + ``prediction``.
 
-    Inlined expressions when the model compiles (same doubles, one codegen
-    stage), else the ML transforms.
+    Inlined expressions (same doubles, one codegen stage) unless the caller
+    passes ``compiled=False``, as for large label sets: then the ML transforms.
     """
     feats = preprocessor_features(prep)
-    if can_compile(prep, lr):
+    if compiled and can_compile(prep, lr):
         return df.select(
             "*", *[F.expr(f.coerce_sql()).alias(cat_col(f.name)) for f in feats],
             F.col(target).cast("double").alias("label"),
             prediction_expression(prep, lr).alias(PREDICTION))
-    return lr.transform(prep.transform(spread(df)).withColumn("label", F.col(target).cast("double")))
+    return lr.transform(prep.transform(df).withColumn("label", F.col(target).cast("double")))
 
 
 # Relative gap allowed between a level's mean prediction and mean label;

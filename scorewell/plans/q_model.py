@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from scorewell.operators.encoding import (Feature, apply_label_table, fit_preprocessor,
-                                          index_col, label_table, vector_col, vector_width)
+from scorewell.functions.scalars import stable_hash32
+from scorewell.operators.encoding import (Feature, apply_label_table, cat_col, fit_preprocessor,
+                                          index_col, label_table, num_labels, vector_col, vector_width)
 from scorewell.operators.regression import fit_linear, linear_regression, regression_metrics
-from scorewell.operators.tracking import param_rows
+from scorewell.operators.tracking import metric_definitions, param_rows
 from scorewell.plans.flagship import fit_and_predict, level_calibration, predictions
 from scorewell.plans.registry import memo, query
 from scorewell.session import scratch_path, table
@@ -59,17 +59,17 @@ def _line_predictions(spark, sf_dir):
     return predictions(table(spark, sf_dir, "lineitem"), prep, lr, "l_extendedprice")
 
 
-def _calibration_query(feature: Feature):
-    def run(spark, sf_dir):
-        cal = level_calibration(_line_predictions(spark, sf_dir), LINE_FEATURES)
-        return cal.where(F.col("feature") == feature.name)
-    return run
-
-
-for _f in LINE_FEATURES:
-    query(f"lr_calibration_{_f.name}",
-          _calibration_sql("lineitem", "l_extendedprice", [(_f.name, _f.kind)]))(
-        _calibration_query(_f))
+@query("lr_calibration", "\nUNION ALL\n".join(
+    f"SELECT '{f.name}' AS feature, CAST({f.name} AS VARCHAR) AS level, count(*) AS n, "
+    f"round(avg(l_extendedprice), 0) AS avg_prediction FROM lineitem GROUP BY {f.name}" for f in LINE_FEATURES))
+def lr_calibration(spark, sf_dir):
+    """M6/M7: five features; the mean prediction of every level is its mean label."""
+    pred = _line_predictions(spark, sf_dir)
+    long = pred.select(*[F.col(cat_col(f.name)).alias(f.name) for f in LINE_FEATURES], "prediction").unpivot(
+        ids=["prediction"], values=[f.name for f in LINE_FEATURES],
+        variableColumnName="feature", valueColumnName="level")
+    return long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"),
+                                                F.round(F.avg("prediction"), 0).alias("avg_prediction"))
 
 
 ONE_FEATURE = [Feature("l_linenumber", "score")]
@@ -284,31 +284,46 @@ SELECT stage, name, value FROM (VALUES
  ('LinearRegression', 'regParam', '0.0'),
  ('LinearRegression', 'solver', 'auto'),
  ('LinearRegression', 'standardization', 'true'),
- ('LinearRegression', 'tol', '1e-06')) AS t(stage, name, value)""")
+ ('LinearRegression', 'tol', '1e-06')) AS t(stage, name, value)
+UNION ALL SELECT 'StringIndexer', 'numLabels.l_linenumber', CAST(count(DISTINCT l_linenumber) AS VARCHAR) FROM lineitem
+UNION ALL SELECT 'metric', 'test_r2.throughOrigin', 'false'
+UNION ALL SELECT 'metric', 'test_r2.metricName', 'r2'
+UNION ALL SELECT 'metric', 'test_rmse.metricName', 'rmse'""")
 def tracking_params(spark, sf_dir):
-    """Parameters of the fitted model as rows (autolog equivalent)."""
-    _, lr = _one_feature_model(spark, sf_dir)
-    return param_rows(spark, lr)
+    """Parameters of the fitted model, its label counts and the metric
+    definitions as rows (autolog equivalent)."""
+    prep, lr = _one_feature_model(spark, sf_dir)
+    labels = [("StringIndexer", f"numLabels.{f}", str(n)) for f, n in num_labels(prep).items()]
+    info = metric_definitions(spark).select(F.lit("metric").alias("stage"), F.explode(F.map_filter(
+        F.create_map(F.concat("key", F.lit(".metricName")), "metricName",
+                     F.concat("key", F.lit(".throughOrigin")), F.col("throughOrigin").cast("string")),
+        lambda k, v: v.isNotNull())).alias("name", "value"))
+    return param_rows(spark, lr).unionByName(
+        spark.createDataFrame(labels, "stage string, name string, value string")).unionByName(info)
+
 
+_FOLD = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT % 5"
 
-@query("cv_r2")
+
+@query("cv_r2", f"""
+WITH t AS (SELECT l_linenumber AS g, l_extendedprice AS y, {_FOLD} AS f FROM lineitem),
+s AS (SELECT g, f, sum(y) AS sy, count(*) AS n FROM t GROUP BY g, f),
+m AS (SELECT a.g, a.f, (SELECT sum(sy) / sum(n) FROM s b WHERE b.g = a.g AND b.f <> a.f) AS mu FROM s a),
+r AS (SELECT t.f, 1 - sum((y - mu) * (y - mu)) / (var_pop(y) * count(*)) AS r2
+      FROM t JOIN m ON t.g = m.g AND t.f = m.f GROUP BY t.f)
+SELECT CAST(count(*) AS INTEGER) AS folds, round(avg(r2), 6) AS avg_r2 FROM r""")
 def cv_r2(spark, sf_dir):
-    """Declared ``cv: 5, scoring: r2``: 5-fold cross-validated R2 (rows only)."""
+    """Declared ``cv: 5, scoring: r2``: cross-validated R2 over folds by key hash."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     li = table(spark, sf_dir, "lineitem")
     prep, _ = _one_feature_model(spark, sf_dir)
-    data = (prep.transform(li).select("features", F.col("l_extendedprice").alias("label"))
-            .persist(StorageLevel.MEMORY_AND_DISK))  # 5 folds x several passes each
-    try:
-        lr = linear_regression()
-        cv = CrossValidator(estimator=lr, estimatorParamMaps=ParamGridBuilder().build(),
-                            evaluator=RegressionEvaluator(metricName="r2"), numFolds=5, seed=42)
-        model = cv.fit(data)
-    finally:
-        data.unpersist()
-    return spark.createDataFrame([(5, float(model.avgMetrics[0]))], "folds int, avg_r2 double")
-
+    data = prep.transform(li).select("features", F.col("l_extendedprice").alias("label"),
+                                     (stable_hash32("l_orderkey") % 5).cast("int").alias("fold"))
+    cv = CrossValidator(estimator=linear_regression(), estimatorParamMaps=ParamGridBuilder().build(),
+                        evaluator=RegressionEvaluator(metricName="r2"), numFolds=5, foldCol="fold")
+    model = cv.fit(data)
+    return spark.createDataFrame([(5, round(float(model.avgMetrics[0]), 6))], "folds int, avg_r2 double")
 
 
 # ---------------------------------------------------------------- persistence + pipeline
@@ -330,7 +345,7 @@ def model_reload(spark, sf_dir):
     return level_calibration(predictions(part, prep2, lr2, "p_retailprice"), PART_FEATURES)
 
 
-_HASH_TRAIN = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT % 100 < 80"
+_HASH_TRAIN = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT < 0.8 * 4294967296"
 
 
 @query("train_register_run", f"""

@@ -15,7 +15,11 @@ from scorewell.operators.scoring import (GroupMeanModel, sample_record, score, s
                                          score_python_model)
 from scorewell.plans.flagship import fit_and_predict
 from scorewell.plans.registry import memo, query
+from scorewell.plans.serving import score_from_registry
+from scorewell.plans.training import TrainParams, register_run, run_pipeline
 from scorewell.session import scratch_path, table
+from scorewell.sources.files import path_has_data
+from scorewell.sources.models import save_model
 from scorewell.streaming.scoring import read_stream, start_record_scoring, start_scoring
 
 # ---------------------------------------------------------------- tracking
@@ -176,14 +180,19 @@ def artifact_rank(spark, sf_dir):
                     "position")
 
 
+def _model_dirs(cat):
+    return cat.where(F.col("loader_module") == C.SPARK_FLAVOR).select(
+        "run_id", F.col("artifact_dir").alias("path"), F.col("utc_time_created").alias("mtime"))
+
+
 @query("resolve_model", _RANK_SQL + """
-SELECT 'artifact' AS source, run_id, position FROM ranked WHERE position = 0""")
+SELECT 'model_dir' AS source, run_id, CAST(0 AS BIGINT) AS position FROM cat
+WHERE loader_module = 'mlflow.spark' ORDER BY ord DESC, run_id LIMIT 1""")
 def resolve_model(spark, sf_dir):
-    """Registry (none for this name) -> model folders (none) -> ranked artifacts."""
-    r = _ranked(spark, sf_dir)
-    empty_reg = TR.latest_versions(_registry(spark, sf_dir)).where(F.lit(False))
-    no_dirs = r.select("run_id", F.col("artifact_dir").alias("path"), "mtime").where(F.lit(False))
-    best = C.resolve_model(empty_reg, no_dirs, r, "model_flag_A")
+    """A name the registry does not hold falls to the newest model folder."""
+    latest = TR.latest_versions(_registry(spark, sf_dir))
+    dirs = _model_dirs(_catalog(spark, sf_dir))
+    best = C.resolve_model(latest, dirs, _ranked(spark, sf_dir), "model_flag_unknown")
     return best.select("source", "run_id", "position")
 
 
@@ -203,9 +212,7 @@ def model_candidates_q(spark, sf_dir):
     """Every candidate in load order -- registry latest, newest Spark
     model folder, then ranked artifacts; ``load_order`` 0 is tried first."""
     ranked = _ranked(spark, sf_dir)
-    cat = _catalog(spark, sf_dir)
-    model_dirs = cat.where(F.col("loader_module") == C.SPARK_FLAVOR).select(
-        "run_id", F.col("artifact_dir").alias("path"), F.col("utc_time_created").alias("mtime"))
+    model_dirs = _model_dirs(_catalog(spark, sf_dir))
     latest = TR.latest_versions(_registry(spark, sf_dir))
     cands = C.model_candidates(latest, model_dirs, ranked, "model_flag_N").withColumn("_all", F.lit(0))
     ordered = ordered_position(cands, "_all", [F.col("source_rank").asc(), F.col("position").asc()],
@@ -218,8 +225,11 @@ WITH {_RUNS_CTE}
 SELECT count(*) AS n_artifacts, bool_or({_FLAVOR_SQL} = 'mlflow.spark') AS spark_artifacts_present,
        true AS preprocessor_present, 'spark' AS model_type, true AS model_loaded FROM runs""")
 def readiness(spark, sf_dir):
-    """Readiness summary of the catalog."""
-    return C.readiness(_catalog(spark, sf_dir), F.lit(True))
+    """Readiness summary of the catalog; the preprocessor is looked for on disk."""
+    prep, _ = _event_model(spark, sf_dir)
+    path = scratch_path(spark, "readiness_preprocessor")
+    save_model(prep, path)
+    return C.readiness(_catalog(spark, sf_dir), F.lit(path_has_data(spark, path)))
 
 
 # ---------------------------------------------------------------- scoring
@@ -256,7 +266,84 @@ _SCORE_COLS = ["event_id", "probability", "status", "band", "n_unseen"]
 def score_batch(spark, sf_dir):
     """Batch scoring; one narrow stage after the (small) model fit."""
     prep, lr = _event_model(spark, sf_dir)
-    return score(_events(spark, sf_dir), prep, lr, keep=["event_id"]).select(*_SCORE_COLS)
+    return score(_events(spark, sf_dir), prep, lr, keep=["event_id"], compiled=True).select(*_SCORE_COLS)
+
+
+_GAPS = "CASE event_id % 10 WHEN 3 THEN NULL WHEN 7 THEN 99 ELSE least(floor(value / 10), 10) END"
+
+
+@query("score_unseen", f"""
+WITH e AS (SELECT event_id, value, least(floor(value / 10), 10) AS s FROM events),
+m AS (SELECT s, avg(value) AS mu FROM e GROUP BY s),
+g AS (SELECT event_id, {_GAPS} AS s FROM events)
+SELECT g.event_id, CAST(m.s IS NULL AS INTEGER) AS n_unseen,
+       CASE WHEN m.s IS NOT NULL THEN round(greatest(0.0, least(1.0, CASE WHEN mu > 1 AND mu <= 100
+         THEN mu / 100 ELSE mu END)), 4) END AS probability
+FROM g LEFT JOIN m ON g.s = m.s""")
+def score_unseen(spark, sf_dir):
+    """Null and unseen features are counted; they take the intercept, whose
+    split from the coefficients is not unique, so only its count is shown."""
+    prep, lr = _event_model(spark, sf_dir)
+    ev = _events(spark, sf_dir).withColumn("risk_score", F.expr(
+        "CASE event_id % 10 WHEN 3 THEN NULL WHEN 7 THEN 99 ELSE risk_score END"))
+    out = score(ev, prep, lr, keep=["event_id"])
+    return out.select("event_id", "n_unseen", F.when(F.col("n_unseen") == 0, F.col("probability")).alias(
+        "probability"))
+
+
+@query("score_registry", """
+WITH t AS (SELECT l_linenumber, l_extendedprice AS y,
+                  ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT < 0.8 * 4294967296 AS is_train
+           FROM lineitem),
+m AS (SELECT l_linenumber, avg(y) AS mu FROM t WHERE is_train GROUP BY l_linenumber)
+SELECT t.l_linenumber, count(*) AS n, round(any_value(mu), 0) AS avg_prediction, 'run' AS source
+FROM t JOIN m ON t.l_linenumber = m.l_linenumber GROUP BY t.l_linenumber""")
+def score_registry(spark, sf_dir):
+    """T8 + P1: the registry's latest version has a broken path, so the newest
+    run's artifact is loaded and scores the whole table."""
+    root = scratch_path(spark, "score_registry")
+    res = run_pipeline(spark, TrainParams(
+        sources=[os.path.join(sf_dir, "lineitem.parquet")], root=root, features=[Feature("l_linenumber")],
+        target="l_extendedprice", split="hash:l_orderkey", experiment="lineitem", model_name="price"))
+    broken = {"run_id": res["run_id"], "artifact_path": f"{root}/artifacts/lost/model"}
+    register_run(spark, root, broken, "price")
+    source, scored = score_from_registry(spark, root, table(spark, sf_dir, "lineitem"), "price",
+                                         keep=["l_linenumber"])
+    return scored.groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 0).alias("avg_prediction")
+    ).withColumn("source", F.lit(source))
+
+
+@query("registry_by_name", f"""
+WITH {_RUNS_CTE},
+best AS (SELECT run_id FROM runs WHERE experiment = 'flag_A' ORDER BY r2 DESC NULLS LAST, ord DESC, run_id LIMIT 1)
+SELECT v.name, CAST(v.version AS INTEGER) AS version, best.run_id
+FROM best, (VALUES ('first', 1), ('first', 2), ('second', 1)) AS v(name, version)""")
+def registry_by_name(spark, sf_dir):
+    """T4: every registration is a new version of its name, whatever other names hold."""
+    root = scratch_path(spark, "registry_by_name")
+    runs, metrics = _logged_runs(spark, sf_dir)
+    best = TR.best_run(runs, metrics, "flag_A").first()
+    for name in ("first", "second", "first"):
+        register_run(spark, root, best, name)
+    return TR.read_table(spark, root, TR.VERSIONS).select("name", "version", "run_id")
+
+
+@query("best_run_edges", f"""
+WITH {_RUNS_CTE},
+x AS (SELECT experiment, run_id, CASE WHEN ord % 3 = 0 THEN NULL WHEN ord % 3 = 1 THEN r2 END AS v, ord FROM runs)
+SELECT experiment, run_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY v DESC NULLS LAST, ord DESC, run_id) AS rk
+  FROM x) t WHERE rk = 1""")
+def best_run_edges(spark, sf_dir):
+    """NaN and missing metrics come last, a metric logged again counts once, as logged last."""
+    runs, metrics = _logged_runs(spark, sf_dir)
+    m = metrics.where("key = 'test_r2'").join(runs.select("run_id", F.substring("run_name", 6, 9).cast(
+        "int").alias("ord")), "run_id").where("ord % 3 <> 0")
+    again = m.withColumn("logged_at", F.lit("2000-01-01").cast("timestamp")).withColumn("value", F.lit(9.0))
+    m = m.withColumn("value", F.when(F.col("ord") % 3 == 2, F.lit(float("nan"))).otherwise(F.col("value")))
+    best = TR.best_run_per_experiment(runs, again.unionByName(m).drop("ord"))
+    return best.select("experiment", "run_id")
 
 
 @query("score_pandas", _SCORE_SQL.format(unseen="CAST(NULL AS INTEGER)"))

@@ -162,26 +162,51 @@ def preview_topn(spark, sf_dir):
     return R.preview(o, 5, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
 
 
-@query("split_hash", """
-SELECT CASE WHEN ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 100 < 80
-            THEN 'train' ELSE 'test' END AS split,
+_SPLIT_KEY = "coalesce(CAST(nullif(o_orderkey % 50, 7) * 1000 + o_orderkey AS VARCHAR), '')"
+_SPLIT_SQL = f"('0x' || substr(md5({_SPLIT_KEY}), 1, 8))::BIGINT >= 0.8 * 4294967296"
+
+
+def _split_orders(spark, sf_dir):
+    """``orders`` with a key that is null in every fiftieth row or so."""
+    return table(spark, sf_dir, "orders").withColumn("k", F.expr(
+        "nullif(o_orderkey % 50, 7) * 1000 + o_orderkey"))
+
+
+@query("split_hash", f"""
+SELECT CASE WHEN {_SPLIT_SQL} THEN 'test' ELSE 'train' END AS split,
        count(*) AS n, round(sum(o_totalprice), 2) AS sum_totalprice
 FROM orders GROUP BY 1""")
 def split_hash(spark, sf_dir):
-    """Key-hash split; sizes and sums per part."""
-    o = R.with_split_flag(table(spark, sf_dir, "orders"), "o_orderkey", 0.2)
-    return o.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
-                                  F.round(F.sum("o_totalprice"), 2).alias("sum_totalprice"))
+    """Key-hash split, null keys included; sizes and sums of the two parts."""
+    train, test = R.hash_split(_split_orders(spark, sf_dir), "k", 0.2)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                     F.round(F.sum("o_totalprice"), 2).alias("sum_totalprice"))
 
 
-@query("split_random_sizes")
+@query("split_flag", f"""
+SELECT o_orderkey, CASE WHEN {_SPLIT_SQL} THEN 'test' ELSE 'train' END AS split FROM orders""")
+def split_flag(spark, sf_dir):
+    """The same split as a flag on every row."""
+    return R.with_split_flag(_split_orders(spark, sf_dir), "k", 0.2).select("o_orderkey", "split")
+
+
+@query("split_random_sizes", """
+SELECT count(*) AS n_total, CAST(0 AS BIGINT) AS n_in_both, CAST(0 AS BIGINT) AS n_in_none,
+       true AS near_fraction FROM orders""")
 def split_random_sizes(spark, sf_dir):
-    """Seeded ``randomSplit`` part sizes (layout dependent: rows only)."""
-    o = table(spark, sf_dir, "orders")
+    """Seeded ``randomSplit``: what holds on every layout.  Its parts add up
+    to the table, share no key and are near the asked sizes."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
     train, test = R.random_split(o, 0.2, 42)
-    return (train.select(F.lit("train").alias("split")).unionByName(
-        test.select(F.lit("test").alias("split")))
-        .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+    sides = train.withColumn("t", F.lit(0)).unionByName(test.withColumn("t", F.lit(1)))
+    per = o.withColumn("t", F.lit(None).cast("int")).unionByName(sides).groupBy("o_orderkey").agg(
+        F.count("t").alias("parts"), F.sum("t").alias("tests"))
+    spread = F.abs(F.avg("tests") - 0.2) < F.lit(6 * 0.4) / F.sqrt(F.count(F.lit(1)))
+    return per.agg(F.count(F.lit(1)).alias("n_total"),
+                   F.count(F.when(F.col("parts") > 1, 1)).alias("n_in_both"),
+                   F.count(F.when(F.col("parts") == 0, 1)).alias("n_in_none"),
+                   spread.alias("near_fraction"))
 
 
 # ---------------------------------------------------------------- scalars
@@ -245,15 +270,22 @@ def label_from_name(spark, sf_dir):
     return c.select("conv_id", "turn", S.label_from_name("text").alias("label"))
 
 
-@query("retryable_errors", """
-SELECT doc_id, (contains(lower(text), 'no active or default spark session')
-  OR contains(lower(text), 'spark session') OR contains(lower(text), 'connection refused')
-  OR contains(lower(text), 'errno 111') OR contains(lower(text), 'jvm is not running')) AS retryable
-FROM documents""")
+_MESSAGES = ", ".join(f"'{p.title()}'" for p in S.RETRYABLE_PHRASES)
+_RETRY_SQL = " OR ".join(f"contains(lower(m), '{p}')" for p in S.RETRYABLE_PHRASES)
+
+
+@query("retryable_errors", f"""
+SELECT doc_id, ({_RETRY_SQL}) AS retryable FROM (
+  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ': ' || ([{_MESSAGES}])[doc_id % {len(S.RETRYABLE_PHRASES)} + 1]
+         || ' ' || text ELSE text END AS m FROM documents) t""")
 def retryable_errors(spark, sf_dir):
-    """retryable-error predicate over whole message texts."""
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", S.is_retryable_error("text").alias("retryable"))
+    """retryable-error predicate over whole texts; every third one has a
+    phrase in mixed case spliced in."""
+    phrases = F.array(*[F.lit(p.title()) for p in S.RETRYABLE_PHRASES])
+    phrase = F.get(phrases, (F.col("doc_id") % len(S.RETRYABLE_PHRASES)).cast("int"))
+    m = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(": "), phrase, F.lit(" "), "text")).otherwise(
+        F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", S.is_retryable_error(m).alias("retryable"))
 
 
 @query("domain_check", """

@@ -12,18 +12,15 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.operators.encoding import Feature, as_features, fit_preprocessor
 from scorewell.operators.regression import fit_linear, regression_metrics
 from scorewell.operators.rows import drop_null_rows, hash_split, random_split
-from scorewell.operators.tracking import (METRICS, RUNS, VERSIONS, latest_versions,
-                                          log_runs, param_rows, read_table,
-                                          register_versions)
-from scorewell.sources.files import ingest_first_source, path_has_data
-from scorewell.session import spread
+from scorewell.operators.tracking import (INFO, METRICS, RUNS, VERSIONS, best_run, log_runs,
+                                          metric_definitions, param_rows, read_table)
+from scorewell.sources.files import ingest_first_source, path_has_data, write_parquet
 from scorewell.sources.models import save_model
 
 
@@ -38,63 +35,52 @@ class TrainParams:
     source_schema: object = None  # StructType or DDL text; skips CSV inference
     test_size: float = 0.2
     seed: int = 42
-    split: str = "random"  # "random" (randomSplit) or "hash:<key column>"
+    split: str = "hash"    # "hash" (of the whole row), "hash:<key column>" or "random" (layout dependent)
     fit_on: str = "all"    # "all" (reference: labels from every row) or "train"
     experiment: str = "default"
     run_name: str = "linear_regression"
     model_name: str = "model"
 
 
-def _split(df: DataFrame, p: TrainParams):
-    if p.split == "random":
-        return random_split(df, p.test_size, p.seed)
+def _split_keys(df: DataFrame, p: TrainParams) -> list[str]:
+    if p.split == "hash":
+        return df.columns
     if p.split.startswith("hash:"):
-        return hash_split(df, p.split[5:], p.test_size)
+        return [p.split[5:]]
     raise ValueError(p.split)
 
 
-def _split_key(p: TrainParams) -> list[str]:
-    return [p.split[5:]] if p.split.startswith("hash:") else []
+def _split(df: DataFrame, p: TrainParams) -> tuple[DataFrame, DataFrame]:
+    if p.split == "random":
+        return random_split(df, p.test_size, p.seed)
+    return hash_split(df, _split_keys(df, p), p.test_size)
 
 
 def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
     """The four reference steps as one job chain; returns a summary.
 
     As in the reference, the preprocessor is fitted on every clean row
-    (``fit_on="all"``) and the split is taken on the processed
-    ``(features, label)`` frame; ``fit_on="train"`` splits the raw rows
-    first and fits the preprocessor on the training part only.
+    (``fit_on="all"``); ``fit_on="train"`` fits it on the training part only.
+    The processed ``(features, label)`` parts are written under ``root`` as
+    Parquet and read back, the best run of the experiment is registered, and
+    each registration is a new version of the model name.
     """
-    raw = spread(ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
-                                     schema=p.source_schema, **p.source_options))
+    raw = ingest_first_source(spark, p.sources, f"{p.root}/raw", p.source_format,
+                              schema=p.source_schema, **p.source_options)
     feats = as_features(p.features)
     clean = drop_null_rows(raw, [p.target])
-
-    def processed(d: DataFrame) -> DataFrame:
-        return prep.transform(d).select(
-            *_split_key(p), "features", F.col(p.target).cast("double").alias("label"))
-
-    if p.fit_on == "train":
-        train_raw, test_raw = _split(clean, p)
-        prep = fit_preprocessor(train_raw, feats)
-        data = None
-        train, test = processed(train_raw), processed(test_raw)
-    else:
-        prep = fit_preprocessor(clean, feats)
-        # the processed frame feeds the fit (several passes) and the
-        # held-out evaluation: materialise it once, spilling to disk
-        data = processed(clean).persist(StorageLevel.MEMORY_AND_DISK)
-        train, test = _split(data, p)
-    try:
-        run_id = uuid.uuid4().hex
-        run_dir = f"{p.root}/artifacts/{run_id}"
-        save_model(prep, f"{run_dir}/preprocessor")
-        lr = fit_linear(train, persist=data is None)
-        save_model(lr, f"{run_dir}/model")
-        metrics = regression_metrics(lr.transform(test)).first()
-    finally:
-        if data is not None:
-            data.unpersist()
+    parts = _split(clean, p)
+    prep = fit_preprocessor(clean if p.fit_on == "all" else parts[0], feats)
+    run_id = uuid.uuid4().hex
+    run_dir = f"{p.root}/artifacts/{run_id}"
+    save_model(prep, f"{run_dir}/preprocessor")
+    for name, part in zip(("train", "test"), parts):
+        write_parquet(prep.transform(part).select(
+            "features", F.col(p.target).cast("double").alias("label")), f"{p.root}/processed/{run_id}/{name}")
+    train, test = (spark.read.parquet(f"{p.root}/processed/{run_id}/{name}") for name in ("train", "test"))
+    lr = fit_linear(train)
+    save_model(lr, f"{run_dir}/model")
+    metrics = regression_metrics(lr.transform(test)).first()
 
     runs = spark.createDataFrame(
         [(p.experiment, run_id, p.run_name, f"{run_dir}/model")],
@@ -103,23 +89,27 @@ def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
     mrows = spark.createDataFrame(
         [(run_id, "test_r2", metrics["r2"]), (run_id, "test_rmse", metrics["rmse"])],
         "run_id string, key string, value double")
-    log_runs(p.root, runs, mrows, param_rows(spark, lr, run_id))
-
-    existing = (read_table(spark, p.root, VERSIONS)
-                if path_has_data(spark, f"{p.root}/{VERSIONS}") else None)
-    best = (read_table(spark, p.root, RUNS)
-            .join(read_table(spark, p.root, METRICS).where(F.col("key") == "test_r2"), "run_id")
-            .where(F.col("experiment") == p.experiment)
-            .orderBy(F.col("value").desc_nulls_last(), F.col("start_time").desc(), "run_id")
-            .limit(1))
-    if existing is not None:
-        best = best.join(existing.select("run_id"), "run_id", "left_anti")
-    new = register_versions(best, F.lit(p.model_name), existing)
-    new.write.mode("append").parquet(f"{p.root}/{VERSIONS}")
-    latest = latest_versions(read_table(spark, p.root, VERSIONS)).where(
-        F.col("name") == p.model_name).first()
+    params = param_rows(spark, lr, run_id)
+    for stage in prep.stages:
+        params = params.unionByName(param_rows(spark, stage, run_id))
+    log_runs(p.root, runs, mrows, params)
+    metric_definitions(spark).write.mode("overwrite").parquet(f"{p.root}/{INFO}")
+
+    best = best_run(read_table(spark, p.root, RUNS), read_table(spark, p.root, METRICS), p.experiment)
+    version = register_run(spark, p.root, best.first(), p.model_name)
     return {"run_id": run_id, "r2": metrics["r2"], "rmse": metrics["rmse"],
             "n_test": metrics["n"], "preprocessor": f"{run_dir}/preprocessor",
-            "model": f"{run_dir}/model",
-            "latest_version": None if latest is None else latest["version"],
-            "latest_path": None if latest is None else latest["path"]}
+            "model": f"{run_dir}/model", "latest_version": version["version"],
+            "latest_path": version["path"]}
+
+
+def register_run(spark: SparkSession, root: str, run, model_name: str) -> dict:
+    """T4 for one run: the next version of ``model_name`` (single writer per name)."""
+    last = 0
+    if path_has_data(spark, f"{root}/{VERSIONS}"):
+        last = read_table(spark, root, VERSIONS).where(F.col("name") == model_name).agg(
+            F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    row = {"name": model_name, "version": last + 1, "run_id": run["run_id"], "path": run["artifact_path"]}
+    spark.createDataFrame([row], "name string, version int, run_id string, path string").write.mode(
+        "append").parquet(f"{root}/{VERSIONS}")
+    return row

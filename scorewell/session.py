@@ -105,21 +105,6 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows when a scan yields fewer partitions than cores.
-
-    A file with one row group is read by one task, and every narrow step
-    after it (coercion, index, one-hot, model) would run on one core.  Used
-    before per-row-heavy or multi-pass work (fits, ML transforms, profiles);
-    large inputs have far more splits than cores, so there it is a no-op.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables (a plain Parquet scan)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -60,7 +60,8 @@ def path_has_data(spark: SparkSession, path: str) -> bool:
     status = fs.getFileStatus(hpath)
     if status.isFile():
         return status.getLen() > 0
-    return len(fs.listStatus(hpath)) > 0
+    # names with a leading _ or . are not data: a failed write leaves _temporary
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hpath))
 
 
 def ingest(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:

@@ -10,11 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: A decimal number (or a name of NaN and the infinities, which are rejected
+#: as not finite); Java's suffixes and hexadecimal floats are not numbers here.
+NUMBER = r"^(?i)[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|nan|inf|infinity)$"
+
+
 def text_schema(fields: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
 
@@ -40,15 +45,18 @@ def validate_fields(df: DataFrame, fields: Sequence[str], keep: Sequence[str] =
     NaN and infinities parse as doubles but cannot become a score (the
     integer conversion fails), so they are rejected as well.
     """
-    typed = [F.col(f"`{f}`").try_cast("double").alias(f) for f in fields]
+    def number(f):
+        text = F.trim(F.col(f"`{f}`"))
+        return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
     def finite(v):
         return ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
 
+    typed = [number(f).alias(f) for f in fields]
     checks = F.coalesce(*[
         F.when(F.col(f"`{f}`").isNull(), F.lit(f"missing {f}"))
-         .when(F.col(f"`{f}`").try_cast("double").isNull(), F.lit(f"not a number: {f}"))
-         .when(~finite(F.col(f"`{f}`").try_cast("double")), F.lit(f"not a finite number: {f}"))
+         .when(number(f).isNull(), F.lit(f"not a number: {f}"))
+         .when(~finite(number(f)), F.lit(f"not a finite number: {f}"))
         for f in fields])
     return df.select(*keep, *typed, checks.alias("error")).withColumn(
         "valid", F.col("error").isNull())
@@ -61,18 +69,8 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, rejects
 
 
-def read_records(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
-    """JSON-lines files with an explicit all-text schema (no inference)."""
-    return spark.read.schema(text_schema(fields)).json(path)
-
-
 def records_to_frame(df: DataFrame, json_col: str, schema: T.StructType,
                      keep: Sequence[str] = ()) -> DataFrame:
     """JSON record text -> typed columns of ``schema`` (JVM-side parse)."""
     parsed = df.select(*keep, F.from_json(F.col(json_col), schema).alias("_r"))
     return parsed.select(*keep, *[F.col(f"_r.`{f.name}`").alias(f.name) for f in schema.fields])
-
-
-def record_frame(spark: SparkSession, record: dict, schema: T.StructType) -> DataFrame:
-    """One in-memory record -> typed one-row frame (tests, samples)."""
-    return spark.createDataFrame([[record.get(f.name) for f in schema.fields]], schema)

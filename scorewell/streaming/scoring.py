@@ -58,25 +58,24 @@ def score_files(spark: SparkSession, path: str, schema: T.StructType,
 def start_record_scoring(spark: SparkSession, path: str, keep: Sequence[str],
                          fields: Sequence[str], preprocessor: PipelineModel | None,
                          model: Transformer | None, out_path: str, rejects_path: str,
-                         checkpoint: str, available_now: bool = True):
+                         checkpoint: str, available_now: bool = True,
+                         max_files: int = 1000):
     """P4 + S7: JSON-lines records -> validate -> score valid, keep rejects.
 
     Records are read with an all-text schema (no inference).  Each
     micro-batch is split into valid rows (scored) and rejects (with the
     reason) and both are written under ``batch=<id>`` with overwrite, so a
     replayed batch after a failure rewrites the same folders (idempotent).
+    ``max_files`` bounds a micro-batch.
     """
-    stream = spark.readStream.schema(text_schema([*keep, *fields])).json(path)
+    stream = (spark.readStream.schema(text_schema([*keep, *fields]))
+              .option("maxFilesPerTrigger", max_files).json(path))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            valid, rejects = split_valid(validate_fields(batch, fields, keep))
-            scored = score(valid, preprocessor, model, keep=keep)
-            scored.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        valid, rejects = split_valid(validate_fields(batch, fields, keep))
+        scored = score(valid, preprocessor, model, keep=keep)
+        scored.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -36,7 +36,7 @@ def test_scan_pushes_filters_and_prunes_columns(spark):
 def test_compiled_scoring_is_one_narrow_jvm_stage(spark):
     ev = _events(spark)
     prep, lr, _ = fit_and_predict(ev, [Feature("risk_score", "score")], "value")
-    plan = _plan(score(ev, prep, lr, keep=["event_id"]))
+    plan = _plan(score(ev, prep, lr, keep=["event_id"], compiled=True))
     assert "Exchange" not in plan                    # no shuffle at all
     assert "EvalPython" not in plan and "PythonUDF" not in plan
     assert "UDF(" not in plan                        # no opaque ML UDFs either

@@ -1,6 +1,6 @@
-"""Session helpers: shared scratch space, sizing, spreading."""
+"""Session helpers: shared scratch space, sizinging."""
 
-from scorewell.session import checkpoint_dir, cluster_conf, scratch_path, spread
+from scorewell.session import checkpoint_dir, cluster_conf, scratch_path
 
 
 def test_checkpoint_dir_follows_session_setting(spark):
@@ -20,11 +20,3 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_conf(1 << 20, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
-
-
-def test_spread_only_when_under_split(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(many) is many

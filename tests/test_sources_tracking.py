@@ -1,5 +1,6 @@
 """Sources/sinks, row operators, tracking tables and the manifest catalog."""
 
+import dataclasses
 import os
 
 import pytest
@@ -9,6 +10,8 @@ from conftest import SF_CHECK, SF_SMALL
 from scorewell.operators import catalog as C
 from scorewell.operators import rows as R
 from scorewell.operators import tracking as TR
+from scorewell.operators.encoding import Feature
+from scorewell.plans.serving import score_from_registry
 from scorewell.plans.training import TrainParams, run_pipeline
 from scorewell.session import scratch_path, table
 from scorewell.sources import files as SRC
@@ -59,6 +62,15 @@ def test_hash_split_stable_under_repartition(spark):
     a, _ = R.hash_split(o, "o_orderkey", 0.2)
     b, _ = R.hash_split(o.repartition(7), "o_orderkey", 0.2)
     assert a.select("o_orderkey").exceptAll(b.select("o_orderkey")).count() == 0
+    nulls = o.withColumn("k", F.expr("nullif(o_orderkey % 3, 1)"))
+    for fraction in (0.004, 0.5, 0.0, 1.0):
+        c, d = R.hash_split(nulls, ["k", "o_orderkey"], fraction)
+        assert c.count() + d.count() == o.count()
+        flagged = R.with_split_flag(nulls, ["k", "o_orderkey"], fraction).where("split = 'test'")
+        assert d.count() == flagged.count()
+        assert abs(d.count() / o.count() - fraction) < 0.03
+    null_key, _ = R.hash_split(nulls.where("k is null"), "k", 0.2)
+    assert null_key.count() in (0, nulls.where("k is null").count())
     tr, te = R.random_split(o, 0.2, 42)
     assert tr.count() + te.count() == o.count()
     assert tr.join(te, "o_orderkey").count() == 0
@@ -122,13 +134,22 @@ def test_train_register_run(spark):
     root = scratch_path(spark, "t_pipeline")
     p = TrainParams(sources=[scratch_path(spark, "t_absent"),
                              os.path.join(SF_SMALL, "lineitem.parquet")],
-                    root=root, features=["l_returnflag", "l_linenumber"],
+                    root=root, features=[Feature("l_returnflag", "category"), "l_linenumber"],
                     target="l_extendedprice", experiment="t", model_name="tm")
     first = run_pipeline(spark, p)
     second = run_pipeline(spark, p)
-    assert first["latest_version"] == 1
-    assert second["latest_version"] in (1, 2)
-    assert spark.read.parquet(f"{root}/runs").count() == 2
+    assert (first["latest_version"], second["latest_version"]) == (1, 2)
+    assert first["n_test"] == second["n_test"] and first["r2"] == pytest.approx(second["r2"])
+    other = run_pipeline(spark, dataclasses.replace(p, model_name="other"))
+    assert other["latest_version"] == 1 and other["latest_path"]
+    assert spark.read.parquet(f"{root}/runs").count() == 3
+    train, test = (spark.read.parquet(f"{root}/processed/{first['run_id']}/{x}") for x in ("train", "test"))
+    assert train.columns == ["features", "label"]
+    assert train.count() + test.count() == table(spark, SF_SMALL, "lineitem").count()
+    assert {r.key for r in spark.read.parquet(f"{root}/metric_info").collect()} == {"test_r2", "test_rmse"}
+    assert spark.read.parquet(f"{root}/run_params").where("stage = 'StringIndexer'").count() > 0
+    source, rows = score_from_registry(spark, root, table(spark, SF_SMALL, "lineitem"), "tm")
+    assert source == "registry" and rows.where("status = 'success'").count() == train.count() + test.count()
 
 
 def test_load_first_falls_through(spark):
@@ -148,7 +169,7 @@ def test_load_first_falls_through(spark):
     many = spark.range(0, 45).selectExpr(
         "2 AS source_rank", "'artifact' AS source", "CAST(id AS STRING) AS run_id",
         "CASE WHEN id = 44 THEN '/ok/44' ELSE concat('/nope/', id) END AS path", "id AS position")
-    row, model = C.load_first(many, loader, page=10)
+    row, model = C.load_first(many, loader)
     assert row["run_id"] == "44" and model == "model@/ok/44"
 
 
