@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorewell.llm.common import quoted
-from scorewell.llm.tokens import TextEncoder
+from scorewell.llm.tokens import text_encoder
 from scorewell.session import scratch_path, ship_package
 
 # Fixed values of the template.
@@ -118,7 +118,7 @@ def turn_chain(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
-    enc = TextEncoder(spec)
+    enc = text_encoder(spec)
     for b in batches:
         for lo in range(0, b.num_rows, 512):
             rows = b.slice(lo, 512).to_pylist()

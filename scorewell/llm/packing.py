@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from scorewell.llm.common import two_columns
-from scorewell.llm.tokens import TextEncoder
+from scorewell.llm.tokens import text_encoder
 from scorewell.session import ship_package
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
@@ -140,7 +140,7 @@ def _by_powers(pieces: list[tuple], capacity: int) -> Iterator[list[tuple]]:
 
 def _pack(batches: Iterator[pa.RecordBatch], spec: str, end_id: int, capacity: int,
           pool_ids: int) -> Iterator[pa.RecordBatch]:
-    enc, end = TextEncoder(spec), np.array([end_id], "<u4").tobytes()
+    enc, end = text_encoder(spec), np.array([end_id], "<u4").tobytes()
     packer = Packer(capacity, pool_ids)
     seq = TaskContext.get().partitionId() << 40  # 2**40 sequences a task
     rows: list[tuple] = []

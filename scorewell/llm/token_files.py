@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from scorewell.llm import simple8b
 from scorewell.llm.common import two_columns
-from scorewell.llm.tokens import TextEncoder
+from scorewell.llm.tokens import text_encoder
 from scorewell.session import ship_package
 
 BLOCK_SCHEMA = ("shard long, block long, ids_before long, n_ids long, doc_ids array<long>, "
@@ -32,7 +32,7 @@ BLOCK_SCHEMA = ("shard long, block long, ids_before long, n_ids long, doc_ids ar
 
 def _encode(batches: Iterator[pa.RecordBatch], spec: str, end_id: int,
             block_ids: int) -> Iterator[pa.RecordBatch]:
-    enc, end = TextEncoder(spec), np.array([end_id], "<u4").tobytes()
+    enc, end = text_encoder(spec), np.array([end_id], "<u4").tobytes()
     shard, block, before = TaskContext.get().partitionId(), 0, 0
     keys: list = []
     parts: list[bytes] = []

@@ -20,6 +20,7 @@ import json
 import os
 import re
 from array import array
+from functools import lru_cache
 
 #: Unicode white space, as the library's patterns know it.
 _WS = "\t-\r \x85\xa0  -     　"
@@ -47,45 +48,89 @@ def chunking(spec: dict) -> str:
     return "whole"
 
 
+_LETTERS = {"lead": re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+"),
+            "drop": re.compile("[a-zß-öø-ÿ]+")}
+
+
+def _byte_letters() -> dict[int, str]:
+    """The library's printable stand-in for each byte of a two-byte character or less."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    out: dict[int, str] = {}
+    for c in map(chr, range(0x20, 0x800)):
+        out.update(zip(c.encode(), level.pre_tokenize_str(c)[0][0]))
+    return out
+
+
+class _Known(dict):
+    """Chunk -> ids as bytes; asks the library about a chunk not met before.
+
+    A chunk of Latin letters is one piece as it stands, so the library's
+    model is asked directly.  A piece never reaches from a letter over to a
+    stop, so a chunk's final stops are looked up apart from the rest.
+    """
+
+    def __init__(self, tok, mode: str):
+        super().__init__()
+        self.encode, self.tokenize = tok.encode, tok.model.tokenize
+        self.as_bytes = mode == "drop"
+        self.letters, self.stand_in = _LETTERS[mode], _byte_letters()
+        self.stops = b".,;:!?" if self.as_bytes else ".,;:!?"
+
+    def __missing__(self, chunk):
+        core = chunk.rstrip(self.stops)
+        last = core[-1:]
+        if len(core) < len(chunk) and last.isalpha() and last.isascii():
+            ids = self[core] + self[chunk[len(core):]]
+        else:
+            text = chunk.decode() if self.as_bytes else chunk
+            if self.letters.fullmatch(text):
+                piece = text.encode().decode("latin-1").translate(self.stand_in)
+                found = [t.id for t in self.tokenize(piece)]
+            else:
+                found = self.encode(text, add_special_tokens=False).ids
+            ids = array("I", found).tobytes()
+        self[chunk] = ids
+        return ids
+
+
 class TextEncoder:
     """Texts to ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, spec: str, keep: int = 300_000):
+    def __init__(self, spec: str, keep: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        rules = json.loads(spec)
         self.tok = Tokenizer.from_str(spec)
-        self.mode = chunking(json.loads(spec))
-        self.known: dict = {}
+        self.mode = chunking(rules)
+        self.special = [t["content"].encode().lower() for t in rules.get("added_tokens") or []]
         self.keep = keep
+        self.known = _Known(self.tok, self.mode) if self.mode != "whole" else {}
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes()
-                for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
-    def _cut(self, text: str | None) -> list:
-        if not text:
-            return []
-        return text.encode().split() if self.mode == "drop" else _LEAD.findall(text)
+    def _cut(self, text: str) -> list:
+        if self.mode == "lead":
+            return _LEAD.findall(text)
+        raw = text.encode()
+        low = raw.lower()  # A-Z; the vocabulary's own normaliser lower-cases everything
+        return (raw if any(s in low for s in self.special) else low).split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null is an empty text."""
         if self.mode == "whole":
-            return self._ask([t or "" for t in texts])
-        out: list[bytes] = []
-        for at in range(0, len(texts), 256):
-            cut = [self._cut(t) for t in texts[at:at + 256]]
-            met = set().union(*cut)
-            if len(self.known) > self.keep:
-                self.known = {}
-            new = [c for c in met if c not in self.known]
-            for lo in range(0, len(new), 4096):
-                part = new[lo:lo + 4096]
-                self.known.update(zip(part, self._ask(
-                    [c.decode() for c in part] if self.mode == "drop" else part)))
-            ids = self.known.__getitem__
-            out += [b"".join(map(ids, c)) for c in cut]
-        return out
+            return [array("I", e.ids).tobytes() for e in self.tok.encode_batch(
+                [t or "" for t in texts], add_special_tokens=False)]
+        if len(self.known) > self.keep:
+            self.known.clear()
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, self._cut(t))) if t else b"" for t in texts]
+
+
+@lru_cache(maxsize=2)
+def text_encoder(spec: str) -> TextEncoder:
+    """The worker's encoder, which later tasks of the worker find warm."""
+    return TextEncoder(spec)
 
 
 def load_spec(path: str) -> str:

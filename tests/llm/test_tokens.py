@@ -19,7 +19,8 @@ SF = "/root/testdata/sf0.001"
 NAMES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 ODD = ["", None, " ", "a", "it's  we'll\n\n x", " a \n\nb   c", "é ́x",
        "a<|endoftext|>b <|startoftext|>", "\t\x1c\x1dq\x85z", "日本語 テスト", "x" * 5000,
-       "  lead and trail  ", "ÀÉÎ İstanbul ǅ", "12 345,6", "\U0001f600 ok\r\nnew"]
+       "  lead and trail  ", "ÀÉÎ İstanbul ǅ", "12 345,6", "\U0001f600 ok\r\nnew",
+       "straße Élan, ÿ. Œuvre ñandú!? naïve; Ωμέγα: ÀB don't l'été e\u0301te\u0301"]
 
 
 @pytest.mark.parametrize("name", NAMES)
