@@ -6,12 +6,15 @@ documents link when the Jaccard similarity of their sets reaches t.
 
 1. Documents with equal sets are one class.  A class whose set is so rich in
    shingles that no other class has that too few are left for any partner
-   (fewer than ceil(t * size)) has no link and goes no further.  Shingles are
-   judged over all documents, those below a fixed hash value only, which
-   errs to keeping a class.
-2. Grouped prefix join: in hash order, two sets that link share one of their
-   first size - ceil(t * size) + 1 shingles.  Classes with the same prefix
-   and size are one group; groups that share a prefix shingle are candidates.
+   (fewer than ceil(t * size)) has no link and goes no further.  That is
+   judged twice: over all documents by the shingles below a fixed hash value,
+   which errs to keeping a class, then over the classes left by all shingles.
+2. Grouped prefix join: with shingles ordered by rarity, two sets that link
+   share one of their first size - ceil(t * size) + 1.  Classes with the same
+   prefix (but for shingles of their own) and size are one group; groups of
+   like sizes that share a prefix shingle are candidates.  Rarity comes from
+   sharded counts: blocks of sets send their distinct shingles, cut by hash
+   range, to shards and get the totals back.
 3. Candidate groups are gathered into their connected components, and the
    members of a component meet in one task, each set once.  A large component
    is dealt into blocks and each pair of blocks meets in a task of its own,
@@ -32,6 +35,7 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -101,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, t: Fraction, limit: int) ->
             s = shingle_set(text, n)
             sizes.append(len(s))
             ids.append(class_id(s) if len(s) else None)
-            low.append(s[:max(np.searchsorted(s, limit), len(s) - least(t, len(s)) + 1)])
+            low.append(s[:np.searchsorted(s, limit)])
         offsets = np.cumsum([0, *map(len, low)])
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
@@ -112,17 +116,65 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, t: Fraction, limit: int) ->
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        part, keys, own, raw = [], [], [], []
-        for r in zip(*(c.to_pylist() for c in b.columns)):
-            s = shingle_set(r[3], n)
-            if len(s) and class_id(s) == r[2]:  # rows that only share the id drop out
-                part.append(r[0])
-                keys.append(r[1])
-                own.append(r[2])
+        own, sizes, raw = [], [], []
+        for c, text in zip(*(c.to_pylist() for c in b.columns)):
+            s = shingle_set(text, n)
+            if len(s) and class_id(s) == c:  # rows that only share the id drop out
+                own.append(c)
+                sizes.append(len(s))
                 raw.append(s.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.int64()), pa.array(keys, pa.string()), pa.array(own, pa.int64()),
-             pa.array(raw, pa.binary())], names=["unit", "part", "class", "shingles"])
+            [pa.array(own, pa.int64()), pa.array(sizes, pa.int64()), pa.array(raw, pa.binary())],
+            names=["class", "n", "shingles"])
+
+
+def _tokens(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, distinct shingles, places of all shingles among them, and counts."""
+    sets = [np.frombuffer(x, np.int64) for x in raw]
+    keys, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    return np.array([len(s) for s in sets]), keys, place, count
+
+
+def _ask(table: pa.Table, shards: int) -> pa.Table:
+    _, keys, _, count = _tokens(table.column("shingles").to_pylist())
+    edges = np.array([(i << 63) // shards for i in range(shards)], np.int64)
+    cut = [*np.searchsorted(keys, edges), len(keys)]
+    rows = [(s, lo, hi) for s, (lo, hi) in enumerate(zip(cut, cut[1:])) if lo < hi]
+    return pa.table({
+        "shard": pa.array([s for s, _, _ in rows], pa.int64()),
+        "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int64()),
+        "keys": pa.array([keys[lo:hi].tobytes() for _, lo, hi in rows], pa.binary()),
+        "counts": pa.array([count[lo:hi].astype("<u4").tobytes() for _, lo, hi in rows], pa.binary())})
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    keys = [np.frombuffer(x, "<i8") for x in table.column("keys").to_pylist()]
+    counts = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()])
+    _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(place, weights=counts).astype("<u4")
+    ends = np.cumsum([len(k) for k in keys])
+    return pa.table({
+        "block": table.column("block"), "shard": table.column("shard"),
+        "totals": pa.array([total[place[e - len(k):e]].tobytes() for k, e in zip(keys, ends)], pa.binary())})
+
+
+def _prefixes(sets: pa.Table, answers: pa.Table, t: Fraction) -> pa.Table:
+    """Live classes with the shared shingles of their prefixes, rarest first."""
+    sizes, keys, place, _ = _tokens(sets.column("shingles").to_pylist())
+    df = np.concatenate([np.frombuffer(x, "<u4") for x in answers.sort_by("shard").column("totals").to_pylist()])
+    own, size, prefix = [], [], []
+    ends = np.cumsum(sizes)
+    for c, n, e in zip(sets.column("class").to_pylist(), sizes.tolist(), ends.tolist()):
+        mine = place[e - n:e]
+        often = df[mine]
+        alone = int((often == 1).sum())
+        if n - alone >= least(t, n):
+            first = mine[np.lexsort((mine, often))][alone:n - least(t, n) + 1]
+            own.append(c)
+            size.append(n)
+            prefix.append(keys[first].tolist())
+    return pa.table({"class": pa.array(own, pa.int64()), "n": pa.array(size, pa.int64()),
+                     "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
 
 def span(ids: list[int], sets: list[np.ndarray], t: Fraction) -> Iterator[tuple[int, int]]:
@@ -190,37 +242,48 @@ def ngram_components(df: DataFrame, n: int = 3, threshold: float = 0.9, id_col:
     docs = two_columns(df, id_col, text_col)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # enough shingles below the limit to see that a class is too much on its own
-    limit = min(int(float(1 - t) * 1.8 * 2**63), 2**63 - 1)
+    limit = min(int(float(1 - t) * 1.4 * 2**63), 2**63 - 1)
     docs.mapInArrow(lambda it: _sign(it, n, t, limit),
                     "doc_id long, n long, class long, low array<long>").write.parquet(f"{root}/signed")
     signed = spark.read.parquet(f"{root}/signed")
     full = signed.where("n > 0")
-    tokens = full.select("class", F.explode("low").alias("token")).where(F.col("token") < limit)
+    tokens = full.select("class", F.explode("low").alias("token"))
     alone = (tokens.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b"))
              .where("a = b").groupBy(F.col("a").alias("class")).agg(F.count(F.lit(1)).alias("own")))
-    # min_by would carry the arrays; the prefix is fetched for live classes only
     classes = full.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     live = (classes.join(alone, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
             .where(F.col("n") - F.col("own") >= _least(t, F.col("n"))))
-    prefix = F.slice("low", F.lit(1), (F.col("n") - _least(t, F.col("n")) + 1).cast("int"))
-    live = (full.select("class", "doc_id", prefix.alias("prefix")).join(
-        live.select("class", "n", F.col("doc_id").alias("rep")), "class")
-        .where(F.col("doc_id").eqNullSafe(F.col("rep")))
-        .select("class", "doc_id", "n", "prefix", F.xxhash64("n", "prefix").alias("grp")).distinct())
-    live.write.parquet(f"{root}/live")
+    live = live.withColumnRenamed("doc_id", "rep")
+    texts = live.join(docs, live["rep"].eqNullSafe(docs["doc_id"])).select("class", "text")
+    texts.mapInArrow(lambda it: _sets(it, n), "class long, n long, shingles binary").write.parquet(f"{root}/sets")
+    sets = spark.read.parquet(f"{root}/sets")
+    weight = sets.agg(F.sum("n")).first()[0] or 0
+    shards = max(1, -(-weight // unit_shingles))
+    dealt = sets.withColumn("block", F.pmod(F.xxhash64("class"), F.lit(shards)))
+    (dealt.groupBy("block").applyInArrow(lambda tab: _ask(tab, shards),
+                                         "shard long, block long, keys binary, counts binary")
+     .groupBy("shard").applyInArrow(_answer, "block long, shard long, totals binary")
+     .write.parquet(f"{root}/answers"))
+    answers = spark.read.parquet(f"{root}/answers")
+    (dealt.groupBy("block").cogroup(answers.groupBy("block"))
+     .applyInArrow(lambda a, b: _prefixes(a, b, t), "class long, n long, prefix array<long>")
+     .distinct().withColumn("grp", F.xxhash64("n", "prefix")).write.parquet(f"{root}/live"))
     live = spark.read.parquet(f"{root}/live")
-    posts = live.select("grp", "n", F.explode("prefix").alias("token")).distinct()
-    heads = posts.groupBy("token").agg(F.min("grp").alias("v"), F.max("grp").alias("w")).where("v <> w")
-    near = components(posts.join(heads, "token").select(F.col("grp").alias("u"), "v"))
+    # sizes of a linked pair differ by a factor of t at most: the same step of sizes or the next
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(t) if t < 1 else 1e-9) + 1e-6)
+    posts = live.select("grp", step.alias("step"), F.explode("prefix").alias("token")).distinct()
+    posts = posts.select("grp", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"), "token")
+    heads = (posts.groupBy("token", "step").agg(F.min("grp").alias("v"), F.max("grp").alias("w"))
+             .where("v <> w"))
+    near = components(posts.join(heads, ["token", "step"]).select(F.col("grp").alias("u"), "v"))
     member = (live.join(near.select(F.col("node").alias("grp"), "root"), "grp", "left")
-              .withColumn("root", F.coalesce("root", "grp")).select("class", "doc_id", "n", "root"))
+              .withColumn("root", F.coalesce("root", "grp")).select("class", "n", "root"))
     size = member.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight"))
     size = size.where("members > 1").withColumn("blocks", F.greatest(
         F.ceil(F.col("members") / block), F.ceil(F.col("weight") / unit_shingles)).cast("int"))
     size.write.parquet(f"{root}/size")
     size = spark.read.parquet(f"{root}/size")
-    weight = size.agg(F.sum("weight")).first()[0] or 0
-    units = max(1, -(-weight // unit_shingles))
+    units = max(1, -(-(size.agg(F.sum("weight")).first()[0] or 0) // unit_shingles))
     member = member.join(size, "root")
     own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     # one block: the component shares a task with others; more: one task for each pair of blocks
@@ -228,10 +291,8 @@ def ngram_components(df: DataFrame, n: int = 3, threshold: float = 0.9, id_col:
     name = F.concat_ws("-", F.col("root"), F.least(own, F.col("o")), F.greatest(own, F.col("o")))
     placed = member.withColumn("o", F.explode(other)).select(
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(units))).otherwise(
-            F.xxhash64(name)).alias("unit"), name.alias("part"), "class", "doc_id")
-    texts = placed.join(docs, placed["doc_id"].eqNullSafe(docs["doc_id"])).select(
-        "unit", "part", "class", "text")
-    links = (texts.mapInArrow(lambda it: _sets(it, n), "unit long, part string, class long, shingles binary")
+            F.xxhash64(name)).alias("unit"), name.alias("part"), "class")
+    links = (placed.join(sets.select("class", "shingles"), "class")
              .groupBy("unit").applyInArrow(lambda tab: _verify(tab, t), "u long, v long"))
     links.write.parquet(f"{root}/links")
     joined = components(spark.read.parquet(f"{root}/links"))
