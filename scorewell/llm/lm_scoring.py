@@ -53,7 +53,7 @@ WORDS, PAIRS, STATS = 0, 1, 2
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -118,13 +118,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
     """Blocks of a partition; rows of one block follow each other."""
     at, ids, texts = None, [], []
     for b in batches:
-        for block, i, text in zip(*(c.to_pylist() for c in b.columns)):
-            if block != at and ids:
-                yield at, Block(ids, texts)
-                ids, texts = [], []
-            at = block
-            ids.append(i)
-            texts.append(text)
+        for lo in range(0, b.num_rows, 256):
+            for block, i, text in zip(*(c.to_pylist() for c in b.slice(lo, 256).columns)):
+                if block != at and ids:
+                    yield at, Block(ids, texts)
+                    ids, texts = [], []
+                at = block
+                ids.append(i)
+                texts.append(text)
     if ids:
         yield at, Block(ids, texts)
 
@@ -179,7 +180,7 @@ def _score(docs: pa.Table, answers: pa.Table, stats: dict) -> pa.Table:
 
 
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    block_rows: int = 4096, shard_chars: int = 12 << 20) -> DataFrame:
+                    block_rows: int = 1024, shard_chars: int = 12 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
     (log10 probability of the whole text) per row.
 
