@@ -24,7 +24,9 @@ from functools import lru_cache
 
 #: Unicode white space, as the library's patterns know it.
 _WS = "\t-\r \x85\xa0  -     　"
-_LEAD = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: A word before a stop is a chunk of its own, as no piece reaches over there.
+_LEAD = re.compile(f"[{_WS}]*[{_LATIN}]++(?=[.,;:!?])|[{_WS}]*[^{_WS}]+|[{_WS}]+")
 
 
 def chunking(spec: dict) -> str:
@@ -48,7 +50,7 @@ def chunking(spec: dict) -> str:
     return "whole"
 
 
-_LETTERS = {"lead": re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+"),
+_LETTERS = {"lead": re.compile(f" ?[{_LATIN}]+"),
             "drop": re.compile("[a-zß-öø-ÿ]+")}
 
 
@@ -98,7 +100,7 @@ class _Known(dict):
 class TextEncoder:
     """Texts to ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, spec: str, keep: int = 1_000_000):
+    def __init__(self, spec: str, keep: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
