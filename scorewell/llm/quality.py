@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import SPACE_CLASS, quoted
+from scorewell.llm.common import SPACE_CLASS, numbered, place, whole_rows
 from scorewell.session import scratch_path, ship_package
 
 ORDER = 5
@@ -180,7 +180,7 @@ def fit(texts: DataFrame, shards: int = 8) -> Model | None:
 class _Measurer:
     """Measures of texts; words met before keep theirs."""
 
-    def __init__(self, models: tuple[Model, Model | None], keep: int = 400_000):
+    def __init__(self, models: tuple[Model, Model | None], keep: int = 800_000):
         self.models, self.keep = models, keep
         self._clear()
 
@@ -214,6 +214,16 @@ class _Measurer:
         return out
 
 
+#: The worker's last models and their measurer, which later tasks find warm.
+_WARM: list = []
+
+
+def _measurer(models: tuple) -> _Measurer:
+    if not _WARM or _WARM[0] is not models:
+        _WARM[:] = [models, _Measurer(models)]
+    return _WARM[1]
+
+
 def _words(text: str | None) -> list[str]:
     """Words of a text, white space being ASCII white space."""
     return [w.decode() for w in text.encode().split()] if text else []
@@ -221,7 +231,7 @@ def _words(text: str | None) -> list[str]:
 
 def _measure(batches: Iterator[pa.RecordBatch], models, text_at: int,
              keep: list[int]) -> Iterator[pa.RecordBatch]:
-    measurer = _Measurer(models.value)
+    measurer = _measurer(models.value)
     for b in batches:
         for lo in range(0, b.num_rows, 1024):
             cut = b.slice(lo, 1024)
@@ -277,10 +287,13 @@ def fit_classifier(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """The classifier and the measures of all rows: doc_id, lang and both measures."""
     spark = df.sparkSession
     ship_package(spark)
-    docs = df.select(quoted(id_col).cast("long").alias("doc_id"), quoted(lang_col).cast("string").alias("lang"),
-                     quoted(text_col).alias("text"))
-    marks = labels.select(quoted(label_id).cast("long").alias("id"), quoted(quality_col).alias("q"),
-                          quoted(toxic_col).alias("t")).where("id IS NOT NULL").groupBy("id").agg(
+    def column(of: DataFrame, name: str):
+        return F.col(f"c{place(of, name)}")
+    docs = numbered(df).select(column(df, id_col).cast("long").alias("doc_id"),
+                               column(df, lang_col).cast("string").alias("lang"),
+                               column(df, text_col).alias("text"))
+    marks = numbered(labels).select(column(labels, label_id).cast("long").alias("id"),
+                                    column(labels, quality_col).alias("q"), column(labels, toxic_col).alias("t")).where("id IS NOT NULL").groupBy("id").agg(
         F.min("q").alias("q"), F.max("t").alias("t"))
     trusted = marks.where("q = 1 AND t = 0").select("id")
 
@@ -316,8 +329,8 @@ def keep_good(df: DataFrame, labels: DataFrame, text_col: str = "text", lang_col
     model, _ = fit_classifier(df, labels, text_col=text_col, lang_col=lang_col, **options)
     if model is None:
         return df
-    rows = df.select(F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("row"),
-                     quoted(lang_col).cast("string").alias("lang"), quoted(text_col).alias("text"))
+    rows = numbered(df).select(whole_rows(df).alias("row"), F.col(f"c{place(df, lang_col)}").cast("string").alias("lang"),
+                               F.col(f"c{place(df, text_col)}").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     judged = model.judged(model.measured(rows, 2, [0, 1], f"row {kind}, lang string"))
     return judged.where(~F.col("rejected")).select(
