@@ -28,13 +28,34 @@ def byte_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def quoted(name: str) -> Column:
-    """The column of exactly this name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns as c0, c1, ...: whatever the input calls them, and if it
+    does so twice or in another case, they never meet an operator's own."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place(df: DataFrame, name: str) -> int:
+    """Which column of ``df`` is meant: the first of exactly this name, else
+    the first of this name in any case."""
+    if name in df.columns:
+        return df.columns.index(name)
+    return [c.lower() for c in df.columns].index(name.lower())
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores put after it while a column is called so."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
 
 
 def two_columns(df: DataFrame, id_col: str, text_col: str,
                 names: tuple[str, str] = ("doc_id", "text")) -> DataFrame:
-    """Only the key and the text, under fixed names: other columns of the
-    input, whatever they are called, never meet an operator's own."""
-    return df.select(quoted(id_col).alias(names[0]), quoted(text_col).alias(names[1]))
+    """Only the key and the text, under fixed names."""
+    return numbered(df).select(*[F.col(f"c{place(df, c)}").alias(n)
+                                 for c, n in zip((id_col, text_col), names)])
+
+
+def whole_rows(df: DataFrame) -> Column:
+    """A struct of all columns of ``numbered(df)``."""
+    return F.struct(*[F.col(f"c{i}") for i in range(len(df.columns))])

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import quoted
+from scorewell.llm.common import free_name, numbered, place, whole_rows
 from scorewell.session import scratch_path
 
 _EMAIL = r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}"
@@ -210,16 +210,14 @@ def _fill(kind: Column, m: Column, body: Column, new: Column) -> Column:
 
 def replace_entities(df: DataFrame, key: str, text_col: str = "text",
                      count_col: str = "n_entities") -> DataFrame:
-    """``df`` with ``text_col`` rewritten and ``count_col`` (mentions replaced) added.
+    """``df`` with ``text_col`` rewritten and ``count_col`` (mentions replaced) added,
+    with underscores after its name where that is taken.
 
     ``key`` makes surrogates reproducible and unguessable; the same key maps
     an entity to the same surrogate in every document of the table.
     """
-    if count_col in df.columns:
-        raise ValueError(f"the input has a column {count_col}; name another")
-    row = F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
-    at = df.columns.index(text_col)
-    rows = df.select(row.alias("row"), quoted(text_col).alias("t"))
+    at = place(df, text_col)
+    rows = numbered(df).select(whole_rows(df).alias("row"), F.col(f"c{at}").alias("t"))
     maybe = F.coalesce(F.col("t").rlike(_MAYBE), F.lit(False))
     rows = rows.withColumn("found", F.when(maybe, F.regexp_extract_all("t", F.lit(MENTION), 0)))
     rows = rows.withColumn("sha", F.when(F.size("found") > 0, F.sha2("t", 256)))
@@ -249,4 +247,4 @@ def replace_entities(df: DataFrame, key: str, text_col: str = "text",
     both = hit.unionByName(rest)
     out = [F.col("t").alias(c) if i == at else F.col(f"row.c{i}").alias(c)
            for i, c in enumerate(df.columns)]
-    return both.select(*out, F.col("n").alias(count_col))
+    return both.select(*out, F.col("n").alias(free_name(count_col, df.columns)))

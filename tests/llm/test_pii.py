@@ -79,3 +79,11 @@ def test_empty_table(spark):
 def test_other_key_other_surrogates(spark):
     df = spark.createDataFrame([(1, "a@b.example.com")], "doc_id long, text string")
     assert replace_entities(df, "k1").first().text != replace_entities(df, "k2").first().text
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "call 555-010-1234", 5, "x")], "doc_id long, text string, n_entities int, Text string")
+    out = replace_entities(df, "k")
+    assert out.columns == [*df.columns, "n_entities_"]
+    row = tuple(out.first())
+    assert row[0::2] == (1, 5, 1) and row[3] == "x" and "555-010-1234" not in row[1]
