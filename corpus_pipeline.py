@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorewell.llm.common import free_name
 from scorewell.llm.decontaminate import find_benchmark
 from scorewell.llm.line_dedup import drop_repeated_lines
 from scorewell.llm.ngram_join import ngram_components
@@ -30,11 +31,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that match an earlier one; a document of which no
     word is left goes, as all it said is said before."""
-    out = drop_repeated_lines(docs, removed_col="n_lines_removed")
+    removed = free_name("n_lines_removed", docs.columns)
+    out = drop_repeated_lines(docs, removed_col=removed)
     some = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    out = out.where(some | (F.col("n_lines_removed") == 0))
+    out = out.where(some | (F.col(removed) == 0))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_lines_removed") == 0, F.col("n_chars")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.col(removed) == 0, F.col("n_chars")).otherwise(
             F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
@@ -44,9 +46,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id: five-word shingles, similarity 0.8 or more.  Texts without words are
     no copies of each other.  Rows are told apart by their place in the files
     read, so a repeated id does no harm."""
-    key = "row"
-    while key in docs.columns:
-        key += "_"
+    key = free_name("row", docs.columns)
     rows = docs.withColumn(key, F.monotonically_increasing_id())
     found = ngram_components(rows, n=5, threshold=0.8, id_col=key).where("n_shingles > 0").select(
         F.col("doc_id").alias("at"), F.col("component_id").alias("group"))

@@ -8,13 +8,13 @@ it, whether or not that one is itself removed.
 1. Equal lines (same text but for letter case) meet by hash; the first of
    them stands for all from here on.
 2. Tokens are ordered by rarity: the most frequent tokens, a list of bounded
-   size counted over all lines, come last in classes of frequency; before
-   them longer words precede shorter ones, as they are rarer.  Any fixed
-   order gives the same matches; this one keeps posting lists short.
+   size counted over all lines, come last; before and among them longer words
+   precede shorter ones, as they are rarer.  Any fixed order gives the same
+   matches; this one keeps posting lists short.
 3. Prefix filter: two matching sets share a token among the first
    n - ceil(t * n) + 1 of each.  Only tokens of two lines or more go on.
-4. Length and positional filters drop pairs that cannot reach the overlap
-   which the threshold asks for.
+4. Length and positional filters, and 64 parities of each token set, drop
+   pairs that cannot reach the overlap which the threshold asks for.
 5. Each line is verified first against the earliest line of its posting
    lists, which settles most of a large group of near copies; only lines
    still there are joined with the other earlier lines of their lists.
@@ -34,16 +34,21 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import SPACE_CLASS, ascii_lower, quoted, two_columns
+from scorewell.llm.common import LOWER, UPPER, free_name, numbered, place, two_columns, whole_rows
 from scorewell.session import scratch_path
 
-#: Sizes of the classes of the most frequent tokens, most frequent first.
-FREQUENT = (32, 224, 768)
+#: How many tokens count as frequent.
+FREQUENT = 1024
 
 
-def _tokens(line: Column) -> Column:
-    words = F.split(ascii_lower(line), SPACE_CLASS)
-    return F.array_distinct(F.filter(words, lambda w: w != F.lit("")))
+def _low(line: Column) -> Column:
+    """A-Z lower-cased, every white space a blank."""
+    return F.translate(line, UPPER + "\t\x0b\x0c\r\n", LOWER + " " * 5)
+
+
+def _tokens(low: Column) -> Column:
+    """Distinct words of a text that is lowered already."""
+    return F.array_remove(F.array_distinct(F.split(low, " ")), "")
 
 
 def _least(t: Fraction, n: Column) -> Column:
@@ -57,33 +62,22 @@ def _overlap(t: Fraction, a: Column, b: Column) -> Column:
     return (((a + b) * up + (down - 1)) / down).cast("long")
 
 
-def frequent_tokens(lines: DataFrame, sizes: tuple[int, ...] = FREQUENT) -> list[list[int]]:
-    """Hashes of the most frequent words, in classes; at most ``sum(sizes)`` in all."""
-    word = F.explode(F.split(ascii_lower("line"), SPACE_CLASS))
-    rows = lines.select(word.alias("w")).select(F.xxhash64("w").alias("w"))
-    rows = rows.agg(F.expr(f"approx_top_k(w, {sum(sizes)}, {8 * sum(sizes)})").alias("t")).first()
-    found = [r["item"] for r in rows["t"] or []]
-    out, at = [], 0
-    for n in sizes:
-        out.append(found[at:at + n])
-        at += n
-    return out
+def frequent_tokens(lines: DataFrame, limit: int = FREQUENT) -> list[int]:
+    """Hashes of the most frequent words, at most ``limit``, from a bounded sketch of all lines."""
+    words = lines.select(F.explode(F.split("low", " ")).alias("w")).select(F.xxhash64("w").alias("w"))
+    top = words.agg(F.expr(f"approx_top_k(w, {limit}, {8 * limit})").alias("t")).first()["t"]
+    return [r["item"] for r in top or []]
 
 
-def _order_key(word: Column, frequent: list[list[int]]) -> Column:
-    """One long per token that sorts by rarity: class, length, hash."""
+def _order_key(word: Column, frequent: list[int]) -> Column:
+    """One long per token that sorts by rarity: frequent or not, length, hash."""
     h = F.xxhash64(word)
-    rank = F.lit(0).cast("long")
-    for c, items in reversed(list(enumerate(frequent))):
-        if items:
-            rank = F.when(h.isin(items), F.lit(len(frequent) - c).cast("long")).otherwise(rank)
-    short = F.lit(31).cast("long") - F.least(F.length(word), F.lit(31)).cast("long")
-    return (F.shiftleft(rank, 61).bitwiseOR(F.shiftleft(short, 56))
-            .bitwiseOR(F.shiftrightunsigned(h, 8)))
+    short = F.lit(31) - F.least(F.length(word), F.lit(31))
+    high = F.when(h.isin(frequent), short + 32).otherwise(short) if frequent else short
+    return F.shiftleft(high.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
 
-def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int = 5,
-                    classes: tuple[int, ...] = FREQUENT) -> DataFrame:
+def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int = 5) -> DataFrame:
     """(doc_id, line_no) of every line that an earlier one matches.
 
     ``lines``: doc_id long, line_no int, line string.
@@ -91,74 +85,73 @@ def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int =
     t = Fraction(str(threshold))
     spark = lines.sparkSession
     root = scratch_path(spark, "line_dedup")
-    low = F.lower("line")
-    same = [F.xxhash64(low).alias("f1"), F.xxhash64(low, F.lit(1)).alias("f2")]
-    frequent = frequent_tokens(lines, classes)
-    keyed = lines.select("doc_id", "line_no", *same, _tokens(F.col("line")).alias("tokens"))
+    lines = lines.select("doc_id", "line_no", _low(F.col("line")).alias("low"))
+    same = [F.xxhash64("low").alias("f1"), F.xxhash64("low", F.lit(1)).alias("f2")]
+    frequent = frequent_tokens(lines)
+    keyed = lines.select("doc_id", "line_no", *same, _tokens(F.col("low")).alias("tokens"))
     keyed = keyed.where(F.size("tokens") >= min_tokens).withColumn("n", F.size("tokens"))
     keys = F.sort_array(F.transform("tokens", lambda w: _order_key(w, frequent)))
-    keyed = keyed.select("doc_id", "line_no", "f1", "f2", "n", F.slice(
-        keys, F.lit(1), (F.col("n") - _least(t, F.col("n")) + 1).cast("int")).alias("prefix"))
-    first = keyed.groupBy("f1", "f2").agg(
-        F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("x"))
-    posts = first.select(F.struct("x.doc_id", "x.line_no").alias("at"), F.col("x.n").alias("n"),
-                         F.posexplode("x.prefix").alias("i", "token"))
-    shared = (posts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-              .where("df > 1").select("token"))
-    posts.join(shared, "token").write.parquet(f"{root}/posts")
-    posts = spark.read.parquet(f"{root}/posts")
+    keyed = keyed.select(F.struct("doc_id", "line_no").alias("at"), "f1", "f2", "n", keys.alias("keys"))
+    keyed = keyed.select("at", "f1", "f2", "n", _bits(F.col("keys")).alias("bits"), F.slice(
+        "keys", F.lit(1), (F.col("n") - _least(t, F.col("n")) + 1).cast("int")).alias("prefix"))
+    first = keyed.groupBy("f1", "f2").agg(F.min(F.struct("at", "n", "bits", "prefix")).alias("x"),
+                                          F.count(F.lit(1)).alias("copies"))
+    first.select("f1", "f2", "x.at", "x.n", "x.bits", "x.prefix", "copies").write.parquet(f"{root}/first")
+    first = spark.read.parquet(f"{root}/first")
+
+    def posts(lines_left: DataFrame) -> DataFrame:
+        return lines_left.select("at", "n", "bits", F.posexplode("prefix").alias("i", "token"))
     # earliest line of each list, and its place in that line's order
-    heads = posts.groupBy("token").agg(F.min(F.struct("at", "n", "i")).alias("h"))
-    near = posts.join(heads, "token").where(F.col("h.at") < F.col("at")).select(
-        "at", "n", "i", F.col("h.at").alias("at2"), F.col("h.n").alias("n2"), F.col("h.i").alias("i2"))
-    by_head = _verified(_filtered(near, t), lines, t).select("at").distinct()
+    heads = (posts(first).groupBy("token").agg(F.min(F.struct("at", "n", "i", "bits")).alias("h"),
+                                               F.count(F.lit(1)).alias("df")).where("df > 1")
+             .select("token", *[F.col(f"h.{c}").alias(c + "2") for c in ("at", "n", "i", "bits")]))
+    near = posts(first).join(heads, "token").where((F.col("at2") < F.col("at")) & _possible(t))
+    by_head = _verified(near.select("at", "at2").distinct(), lines, t).select("at").distinct()
     by_head.write.parquet(f"{root}/by_head")
     by_head = spark.read.parquet(f"{root}/by_head")
-    rest = posts.join(by_head, "at", "left_anti")
-    other = posts.select("token", F.col("at").alias("at2"), F.col("n").alias("n2"),
-                         F.col("i").alias("i2"))
-    pairs = rest.join(other, (rest["token"] == other["token"]) & (other["at2"] < rest["at"])
-                      & (other["n2"] * t.denominator >= rest["n"] * t.numerator)
-                      & (rest["n"] * t.denominator >= other["n2"] * t.numerator)
-                      & _can_reach(rest, other, t))
-    by_other = _verified(pairs.select("at", "at2", rest["n"], other["n2"]).distinct(), lines, t)
+    other = posts(first).select("token", *[F.col(c).alias(c + "2") for c in ("at", "n", "i", "bits")])
+    rest = posts(first.join(by_head, "at", "left_anti"))
+    pairs = rest.join(other, "token").where((F.col("at2") < F.col("at")) & _possible(t))
+    by_other = _verified(pairs.select("at", "at2").distinct(), lines, t)
     gone = by_head.unionByName(by_other.select("at").distinct())
     gone.write.parquet(f"{root}/gone")
     gone = spark.read.parquet(f"{root}/gone")
     # back to all lines: those equal to an earlier one, and first ones that are matched
-    lined = lines.select("doc_id", "line_no", *same).where(
-        F.size(_tokens(F.col("line"))) >= min_tokens)
-    firsts = lined.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"),
-                                           F.count(F.lit(1)).alias("copies"))
-    marked = firsts.join(gone.select(F.col("at").alias("first"), F.lit(True).alias("gone")),
-                         "first", "left").where("gone or copies > 1")
-    return (lined.join(marked, ["f1", "f2"])
+    marked = (first.select("f1", "f2", F.col("at").alias("first"), "copies")
+              .join(gone.select(F.col("at").alias("first"), F.lit(True).alias("gone")), "first", "left")
+              .where("gone or copies > 1"))
+    return (lines.select("doc_id", "line_no", *same).join(marked, ["f1", "f2"])
             .where("gone or not (struct(doc_id, line_no) <=> first)").select("doc_id", "line_no"))
 
 
-def _can_reach(a: DataFrame, b: DataFrame, t: Fraction) -> Column:
-    """Positional filter: the shared token and all later ones are enough.
+def _bits(keys: Column) -> Column:
+    """64 parities of the token set: sets differ in as many tokens at least as
+    their parities differ in bits."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(
+        F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
 
-    Earlier tokens may be shared too, at most as many as the smaller place."""
-    later = F.least(a["n"] - a["i"], b["n2"] - b["i2"])
-    return later + F.least(a["i"], b["i2"]) >= _overlap(t, a["n"], b["n2"])
 
+def _possible(t: Fraction) -> Column:
+    """Length, positional and parity filter on two lines (n, i, bits and n2,
+    i2, bits2) that share a token at the places i and i2.
 
-def _filtered(near: DataFrame, t: Fraction) -> DataFrame:
-    return near.where(
-        (F.col("n2") * t.denominator >= F.col("n") * t.numerator)
-        & (F.col("n") * t.denominator >= F.col("n2") * t.numerator)
-        & _can_reach(near, near, t)).select("at", "at2", "n", "n2").distinct()
+    The token, all later ones and at most as many earlier ones as the smaller
+    place may be shared."""
+    n, n2, i, i2 = (F.col(c) for c in ("n", "n2", "i", "i2"))
+    need = _overlap(t, n, n2)
+    return ((n2 * t.denominator >= n * t.numerator) & (n * t.denominator >= n2 * t.numerator)
+            & (F.least(n - i, n2 - i2) + F.least(i, i2) >= need)
+            & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits2"))) <= n + n2 - 2 * need))
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:
     """Pairs whose token sets reach the threshold."""
     asked = pairs.select(F.explode(F.array("at", "at2")).alias("at")).distinct()
-    words = (lines.select(F.struct("doc_id", "line_no").alias("at"), "line")
-             .join(asked, "at", "left_semi").distinct()
-             .select("at", _tokens(F.col("line")).alias("w")))
-    got = (pairs.join(words, "at")
-           .join(words.select(F.col("at").alias("at2"), F.col("w").alias("w2")), "at2"))
+    words = (lines.select(F.struct("doc_id", "line_no").alias("at"), "low")
+             .join(asked, "at", "left_semi").distinct())
+    got = (pairs.join(words, "at").join(words.select(F.col("at").alias("at2"), F.col("low").alias("low2")), "at2")
+           .select("at", "at2", _tokens(F.col("low")).alias("w"), _tokens(F.col("low2")).alias("w2")))
     both = F.size(F.array_intersect("w", "w2"))
     return got.where(both * t.denominator >= (F.size("w") + F.size("w2") - both) * t.numerator)
 
@@ -167,22 +160,23 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                         threshold: float = 0.8, min_tokens: int = 5,
                         removed_col: str = "n_lines_removed") -> DataFrame:
     """``df`` with later matching lines taken out of ``text_col`` and
-    ``removed_col`` (how many of the row's lines) added."""
-    if removed_col in df.columns:
-        raise ValueError(f"the input has a column {removed_col}; name another")
+    ``removed_col`` (how many of the row's lines) added, with underscores
+    after its name where that is taken."""
     two = two_columns(df, id_col, text_col)
     lines = two.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(
         F.split("text", "\n")).alias("line_no", "line"))
     gone = (duplicate_lines(lines, threshold, min_tokens).groupBy("doc_id")
             .agg(F.collect_set("line_no").alias("gone")))
-    rows = df.select(F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("row"),
-                     quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("t"))
+    at = place(df, text_col)
+    rows = numbered(df).select(whole_rows(df).alias("row"), F.col(f"c{place(df, id_col)}").cast("long").alias("id"),
+                               F.col(f"c{at}").alias("t"))
     both = rows.join(gone, rows["id"].eqNullSafe(gone["doc_id"]), "left")
     split = F.split("t", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "gone")
     text = F.when(F.col("gone").isNull() | F.col("t").isNull(), F.col("t")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(split, i)), "\n"))
-    return both.select(*[text.alias(c) if c == text_col else F.col(f"row.c{i}").alias(c)
+    return both.select(*[text.alias(c) if i == at else F.col(f"row.c{i}").alias(c)
                          for i, c in enumerate(df.columns)],
                        F.when(F.col("t").isNull(), 0).otherwise(
-                           F.coalesce(F.size(F.col("gone")), F.lit(0))).alias(removed_col))
+                           F.coalesce(F.size(F.col("gone")), F.lit(0))).alias(
+                               free_name(removed_col, df.columns)))

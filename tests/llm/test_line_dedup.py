@@ -3,8 +3,6 @@
 import random
 import re
 
-import pytest
-
 from scorewell.llm.line_dedup import drop_repeated_lines, duplicate_lines
 from pyspark.sql import functions as F
 
@@ -97,8 +95,14 @@ def test_other_thresholds(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert drop_repeated_lines(df).count() == 0
-    with pytest.raises(ValueError):
-        drop_repeated_lines(df.withColumn("n_lines_removed", F.lit(1)))
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c d e", 7, "k", "l"), (2, "a b c d e", 8, "m", "n")],
+                               "doc_id long, text string, n_lines_removed int, TEXT string, text string")
+    out = drop_repeated_lines(df)
+    assert out.columns == [*df.columns, "n_lines_removed_"]
+    assert sorted(map(tuple, out.collect())) == [(1, "a b c d e", 7, "k", "l", 0), (2, "", 8, "m", "n", 1)]
 
 
 def test_op4_over_the_whole_table(spark):
