@@ -8,12 +8,14 @@ role also before ``:``.  Unescaping drops it again; the first unescaped
 
 Tree: a node is a turn together with all turns before it, named by a chained
 SHA-256, so conversations that share initial turns share nodes.  Each node's
-tokens are made and emitted once.  Sorting the nodes by the chain of names
-from the root puts the forest depth-first; a running sum of token counts
-over that order gives each node its place in the emitted stream.  Position
-ids count along the path from the root, not along the stream, and a token
-attends to its own node up to itself and to the stream intervals of its
-ancestors.
+tokens are made and emitted once.  Sorting the nodes by the names of their
+ancestors that have siblings, then by depth, puts the forest depth-first; a
+running sum of token counts over that order gives each node its place in the
+emitted stream.  Position ids count along the path from the root, not along
+the stream, and a token attends to its own node up to itself and to the
+stream intervals of its ancestors, adjoining ones as one.  A node's names and
+intervals are worked out along one conversation that holds it, so a long
+conversation costs its length, not the square of it.
 
 The loss mask covers the text of assistant turns.
 
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import quoted
+from scorewell.llm.common import numbered, place
 from scorewell.llm.tokens import text_encoder
 from scorewell.session import scratch_path, ship_package
 
@@ -51,7 +53,7 @@ _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
 _TURN = re.compile(r"### ((?:[^\\:]|\\(?:\\|###|</turn>|:))*): "
                    r"((?:[^\\<]|<(?!/turn>)|\\(?:\\|###|</turn>))*) </turn>\n")
 
-NODE_SCHEMA = ("node string, parent string, depth int, path string, ids binary, n_ids long, "
+NODE_SCHEMA = ("node string, parent string, depth int, owner long, ids binary, n_ids long, "
                "loss_start long, loss_end long")
 
 
@@ -84,12 +86,11 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: list[tuple] = []
         for conv, turns in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            parent, path = "", ""
+            parent = ""
             for depth, t in enumerate(turns):
                 part = "".join(f"{len(x.encode())}:{x}" for x in (t["role"], t["text"]))
                 node = hashlib.sha256(f"{parent}\n{part}".encode()).hexdigest()
-                path += node[:16]
-                out.append((conv, depth, node, parent or None, path, t["role"], t["text"]))
+                out.append((conv, depth, node, parent or None, t["role"], t["text"]))
                 parent = node
                 if len(out) >= 5000:
                     yield _batch(out)
@@ -99,22 +100,23 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), *[pa.string()] * 5)
+    kinds = (pa.int64(), pa.int32(), *[pa.string()] * 4)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-        names=["conv_id", "depth", "node", "parent", "path", "role", "text"])
+        names=["conv_id", "depth", "node", "parent", "role", "text"])
 
 
 def turn_chain(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """conv_id, depth, node, parent, path, role, text: each turn and its tree node."""
+    """conv_id, depth, node, parent, role, text: each turn and its tree node."""
     ship_package(df.sparkSession)
-    role, text = (F.coalesce(quoted(c).cast("string"), F.lit("")) for c in (role_col, text_col))
-    turns = df.select(quoted(conv_col).cast("long").alias("conv_id"), F.struct(
-        quoted(turn_col).cast("long").alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
+    conv, turn, role, text = (F.col(f"c{place(df, c)}") for c in (conv_col, turn_col, role_col, text_col))
+    role, text = (F.coalesce(c.cast("string"), F.lit("")) for c in (role, text))
+    turns = numbered(df).select(conv.cast("long").alias("conv_id"), F.struct(
+        turn.cast("long").alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
     talks = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     return talks.mapInArrow(_chain, "conv_id long, depth int, node string, parent string, "
-                                    "path string, role string, text string")
+                                    "role string, text string")
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
@@ -133,10 +135,10 @@ def _tokens(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in rows], t) for c, t in (
                     ("node", pa.string()), ("parent", pa.string()), ("depth", pa.int32()),
-                    ("path", pa.string()))]
+                    ("owner", pa.int64()))]
                 + [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
                    pa.array(start, pa.int64()), pa.array(end, pa.int64())],
-                names=["node", "parent", "depth", "path", "ids", "n_ids", "loss_start", "loss_end"])
+                names=["node", "parent", "depth", "owner", "ids", "n_ids", "loss_start", "loss_end"])
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,49 +152,89 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = int(ends[-1]) if len(ends) else at
 
 
+def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sort keys of the nodes a conversation owns."""
+    for b in batches:
+        out = []
+        for conv, turns in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            path = ""
+            for t in turns:
+                path += t["node"][:16] if t["branch"] else ""
+                if t["owner"] == conv:
+                    out.append((t["node"], path, t["depth"], t["n_ids"]))
+        cols = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.int64()))],
+            names=["node", "path", "depth", "n_ids"])
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Position and attended intervals of the nodes a conversation owns."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for b in batches:
+        out = []
+        for conv, turns in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            above: list[dict] = []
+            position = 0
+            for t in turns:
+                if t["owner"] == conv:
+                    out.append((t["node"], t["start"], position, [dict(x) for x in above]))
+                end = t["start"] + t["n_ids"]
+                if above and above[-1]["end"] == t["start"]:
+                    above[-1]["end"] = end
+                else:
+                    above.append({"start": t["start"], "end": end})
+                position += t["n_ids"]
+        cols = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64(), kind))],
+            names=["node", "start", "position", "attends"])
+
+
 def prefix_tree(chain: DataFrame, path: str, spec: str) -> DataFrame:
     """The forest of ``chain`` written to ``path`` and read back, one row per node:
 
-    node, parent, depth, path, ids (little-endian unsigned 32-bit), n_ids,
-    loss_start and loss_end (in the node's ids), start (place of its first id
-    in the depth-first stream), position (position id of its first id) and
-    attends (stream intervals [start, end) of its ancestors, root first).
+    node, parent, depth, owner (smallest conv_id that holds it), ids
+    (little-endian unsigned 32-bit), n_ids, loss_start and loss_end (in the
+    node's ids), start (place of its first id in the depth-first stream),
+    position (position id of its first id) and attends (stream intervals
+    [start, end) of its ancestors, in order).
     """
     spark = chain.sparkSession
-    # path has 64 bits of each name and decides the order only; names are whole
-    one = chain.groupBy("node").agg(*[F.min(c).alias(c) for c in (
-        "parent", "depth", "path", "role", "text")])
-    one.select("node", "parent", "depth", "path", "role", "text").mapInArrow(
+    one = chain.groupBy("node").agg(*[F.min(c).alias(c) for c in ("parent", "depth", "role", "text")],
+                                    F.min("conv_id").alias("owner"))
+    one.select("node", "parent", "depth", "owner", "role", "text").mapInArrow(
         lambda it: _tokens(it, spec), NODE_SCHEMA).write.parquet(f"{path}/tokens")
     nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/tokens")
-    order = (nodes.select("node", "path", "n_ids").repartitionByRange("path", "node")
-             .sortWithinPartitions("path", "node").withColumn("part", F.spark_partition_id()))
-    order.select("node", "path", "n_ids", "part").mapInArrow(
-        _running, "node string, path string, n_ids long, part int, before long").write.parquet(
-        f"{path}/order")
+    forks = nodes.where("parent IS NOT NULL").groupBy("parent").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    info = nodes.select("node", "owner", "n_ids", "parent").join(
+        forks.select("parent", F.lit(True).alias("fork")), "parent", "left").select(
+        "node", "owner", "n_ids", (F.col("parent").isNull() | F.coalesce("fork", F.lit(False))).alias("branch"))
+    turns = chain.select("conv_id", "depth", "node")
+
+    def along(columns: DataFrame) -> DataFrame:
+        """Each conversation with its nodes in order; null conversations own nodes of null owners."""
+        rows = turns.join(columns, "node").withColumn("owner", F.coalesce("owner", "conv_id"))
+        names = ["depth", *[c for c in rows.columns if c not in ("depth", "conv_id")]]
+        return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("turns"))
+    along(info).mapInArrow(_paths, "node string, path string, depth int, n_ids long").write.parquet(
+        f"{path}/paths")
+    keyed = spark.read.parquet(f"{path}/paths").dropDuplicates(["node"])
+    order = (keyed.repartitionByRange("path", "depth").sortWithinPartitions("path", "depth")
+             .select("node", "n_ids", F.spark_partition_id().alias("part")))
+    order.mapInArrow(_running, "node string, n_ids long, part int, before long").write.parquet(f"{path}/order")
     order = spark.read.parquet(f"{path}/order")
     # one row per write task of the line above, so no more rows than it had partitions
     parts = order.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(
         F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("base"))
     placed = order.join(F.broadcast(parts), "part").select(
-        "node", (F.col("base") + F.col("before")).alias("start"), "n_ids", "path")
-    # ancestors of a node: every proper prefix of its chain of names
-    above = (nodes.select("node", F.explode(F.transform(
-        F.sequence(F.lit(1), F.col("depth")), lambda i: F.substr("path", F.lit(1), i * 16))).alias("up"))
-        .where(F.col("up").isNotNull() & (F.length("up") > 0)))
-    above = above.join(nodes.where("depth > 0").select("node"), "node", "left_semi")
-    spans = (above.join(placed.select(F.col("path").alias("up"), "start", "n_ids"), "up")
-             .groupBy("node").agg(F.sort_array(F.collect_list(F.struct(
-                 F.length("up").alias("at"), "start", (F.col("start") + F.col("n_ids")).alias("end"))))
-                 .alias("s")))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    tree = (nodes.join(placed.select("node", "start"), "node").join(spans, "node", "left")
-            .withColumn("attends", F.coalesce(F.transform("s", lambda x: F.struct(
-                x["start"].alias("start"), x["end"].alias("end"))), none))
-            .withColumn("position", F.aggregate("attends", F.lit(0).cast("long"),
-                                                lambda a, x: a + x["end"] - x["start"])))
-    tree.drop("s").write.parquet(f"{path}/tree")
+        "node", "n_ids", (F.col("base") + F.col("before")).alias("start"))
+    placed = placed.join(nodes.select("node", "owner"), "node")
+    along(placed).mapInArrow(
+        _spans, "node string, start long, position long, attends array<struct<start:bigint,end:bigint>>"
+    ).dropDuplicates(["node"]).write.parquet(f"{path}/spans")
+    nodes.join(spark.read.parquet(f"{path}/spans"), "node").write.parquet(f"{path}/tree")
     return spark.read.parquet(f"{path}/tree")
 
 
