@@ -43,7 +43,8 @@ _PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,
 _CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 _IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 _KEY = r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)"
-_VALUE = (r"(?<!\w)(?:api[_-]?key|secret|token|password|passwd|pwd)\s{0,3}[=:]\s{0,3}[\"']?"
+# In any case, with more of a name before (stays in the gap) or after: DB_PASSWORD, secretKey, TOKEN-2.
+_VALUE = (r"(?=[apstAPST])(?i:api[_-]?key|secret|token|password|passwd|pwd)[\w-]*+\s{0,3}[=:]\s{0,3}[\"']?"
           r"[A-Za-z0-9+/_-]{8,}")
 _TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин"),
            "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "госпожа")}

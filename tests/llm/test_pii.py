@@ -87,3 +87,17 @@ def test_clashing_columns(spark):
     assert out.columns == [*df.columns, "n_entities_"]
     row = tuple(out.first())
     assert row[0::2] == (1, 5, 1) and row[3] == "x" and "555-010-1234" not in row[1]
+
+
+def test_secrets_in_any_case_and_longer_names(spark):
+    value = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    line = f'ERAN!! A,!! TOKEN = "{value}"!! TIINST!! HEING,!! THE!! THND!! THAT!! ERENTI!! AND.'  # doc 2514 of sf0.1
+    front = ["TOKEN=", "API_KEY: ", "PASSWORD = '", "Secret=", "SECRET_KEY = ", "db_password=", "MY-PWD-2: ",
+             "accessToken=", "passwords: ", "x.passwd="]
+    rows = [(0, line), (1, "\n".join(f"{f}{value} end" for f in front)), (2, "TOKEN = short; password, none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in replace_entities(df, "k").collect()}
+    assert not any(value in r.text for r in got.values())
+    assert [got[i].n_entities for i in range(3)] == [1, len(front), 0] and got[2].text == rows[2][1]
+    new = re.search(r'TOKEN = "(\w+)"', got[0].text)[1]
+    assert new != value and [got[i].text for i in (0, 1)] == [t.replace(value, new) for _, t in rows[:2]]
