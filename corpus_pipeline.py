@@ -32,7 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that match an earlier one; a document of which no
     word is left goes, as all it said is said before."""
     removed = free_name("n_lines_removed", docs.columns)
-    out = drop_repeated_lines(docs, removed_col=removed)
+    out = drop_repeated_lines(docs, min_tokens=1, removed_col=removed)
     some = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     out = out.where(some | (F.col(removed) == 0))
     if "n_chars" in docs.columns:

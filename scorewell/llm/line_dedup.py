@@ -21,10 +21,11 @@ it, whether or not that one is itself removed.
 6. Verification compares the words themselves, so hashes decide nothing.
 
 Edge cases: null and empty texts pass unchanged; lines of fewer than
-``min_tokens`` tokens are neither removed nor matched; rows with one doc_id
-are the same document and are treated alike (null is an id of its own, the
-first in order); an empty table gives no rows; all columns of the input
-pass, whatever their names.
+``min_tokens`` tokens are neither removed nor matched (1 leaves out lines
+without words only, and is what the query and the pipeline ask for); rows with
+one doc_id are the same document and are treated alike (null is an id of its
+own, the first in order); an empty table gives no rows; all columns of the
+input pass, whatever their names.
 """
 
 from __future__ import annotations

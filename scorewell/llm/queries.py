@@ -54,7 +54,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_line_dedup")
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+    return drop_repeated_lines(table(spark, sf_dir, "documents"), min_tokens=1).select(
         "doc_id", "n_lines_removed", "text")
 
 

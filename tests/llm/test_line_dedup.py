@@ -119,3 +119,18 @@ def test_main_path_is_native(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
     assert duplicate_lines(df.select("doc_id", F.lit(0).alias("line_no"), F.col("text").alias(
         "line"))).collect() == [(2, 0)]
+
+
+def test_short_lines_and_lines_without_blanks(spark, tmp_path):
+    import corpus_pipeline
+    from scorewell.llm.queries import QUERIES
+    rows = [(1, "All rights reserved.\nx\n\n你好世界你好世界"), (2, "ALL rights  reserved.\n\nreserved. all rights\nX\ny"),
+            (3, "a b c d\nalpha\n你好世界你好世界"), (4, "a b c d e\n \nd c b a\nalpha beta\nall rights"), (5, "y\n\t\ny"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = expected(rows, brute(rows, least=1))
+    assert sum(n for _, _, n in want) == 8
+    got = QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect()
+    same([(r.doc_id, r.text, r.n_lines_removed) for r in got], want)
+    got = corpus_pipeline.line_dedup(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), "").collect()
+    same([tuple(r) for r in got], [(i, t) for i, t, n in want if not n or t.split()])
