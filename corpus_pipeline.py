@@ -30,9 +30,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that match an earlier one; a document of which no
-    word is left goes, as all it said is said before."""
-    removed = free_name("n_lines_removed", docs.columns)
-    out = drop_repeated_lines(docs, min_tokens=1, removed_col=removed)
+    word is left goes, as all it said is said before.  Rows are told apart by
+    their place in the files read."""
+    removed, key = free_name("n_lines_removed", docs.columns), free_name("row", docs.columns)
+    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    out = drop_repeated_lines(rows, min_tokens=1, removed_col=removed, row_col=key)
     some = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     out = out.where(some | (F.col(removed) == 0))
     if "n_chars" in docs.columns:
@@ -58,10 +60,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark; rows with one id are one document."""
-    held = find_benchmark(docs, table(spark, sf_dir, "benchmark")).select(
-        F.col("doc_id").alias("held")).distinct()
-    return docs.join(held, docs["doc_id"].eqNullSafe(held["held"]), "left_anti")
+    """Documents that hold no item of the benchmark; each row is judged on its
+    own, told apart by its place in the files read."""
+    key = free_name("row", docs.columns)
+    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    held = find_benchmark(rows, table(spark, sf_dir, "benchmark"), id_col=key).select(
+        F.col("doc_id").alias(key)).distinct()
+    return rows.join(held, key, "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

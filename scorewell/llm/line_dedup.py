@@ -24,7 +24,9 @@ Edge cases: null and empty texts pass unchanged; lines of fewer than
 ``min_tokens`` tokens are neither removed nor matched (1 leaves out lines
 without words only, and is what the query and the pipeline ask for); rows with
 one doc_id are the same document and are treated alike (null is an id of its
-own, the first in order); an empty table gives no rows; all columns of the
+own, the first in order) unless ``row_col`` tells rows apart, as in the query
+and the pipeline: then each row is judged on its own, those of one doc_id in
+the order of that column; an empty table gives no rows; all columns of the
 input pass, whatever their names.
 """
 
@@ -35,7 +37,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import LOWER, UPPER, free_name, numbered, place, two_columns, whole_rows
+from scorewell.llm.common import LOWER, UPPER, free_name, numbered, place, whole_rows
 from scorewell.session import scratch_path
 
 #: How many tokens count as frequent.
@@ -81,18 +83,21 @@ def _order_key(word: Column, frequent: list[int]) -> Column:
 def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int = 5) -> DataFrame:
     """(doc_id, line_no) of every line that an earlier one matches.
 
-    ``lines``: doc_id long, line_no int, line string.
+    ``lines``: doc_id long, line_no int, line string; with a column row, long
+    and not null, lines are told apart and ordered by (doc_id, row, line_no),
+    and so are those given back.
     """
     t = Fraction(str(threshold))
     spark = lines.sparkSession
     root = scratch_path(spark, "line_dedup")
-    lines = lines.select("doc_id", "line_no", _low(F.col("line")).alias("low"))
+    key = ["doc_id", *[c for c in lines.columns if c == "row"], "line_no"]
+    lines = lines.select(F.struct(*key).alias("at"), _low(F.col("line")).alias("low"))
     same = [F.xxhash64("low").alias("f1"), F.xxhash64("low", F.lit(1)).alias("f2")]
     frequent = frequent_tokens(lines)
-    keyed = lines.select("doc_id", "line_no", *same, _tokens(F.col("low")).alias("tokens"))
+    keyed = lines.select("at", *same, _tokens(F.col("low")).alias("tokens"))
     keyed = keyed.where(F.size("tokens") >= min_tokens).withColumn("n", F.size("tokens"))
     keys = F.sort_array(F.transform("tokens", lambda w: _order_key(w, frequent)))
-    keyed = keyed.select(F.struct("doc_id", "line_no").alias("at"), "f1", "f2", "n", keys.alias("keys"))
+    keyed = keyed.select("at", "f1", "f2", "n", keys.alias("keys"))
     keyed = keyed.select("at", "f1", "f2", "n", _bits(F.col("keys")).alias("bits"), F.slice(
         "keys", F.lit(1), (F.col("n") - _least(t, F.col("n")) + 1).cast("int")).alias("prefix"))
     first = keyed.groupBy("f1", "f2").agg(F.min(F.struct("at", "n", "bits", "prefix")).alias("x"),
@@ -121,8 +126,8 @@ def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int =
     marked = (first.select("f1", "f2", F.col("at").alias("first"), "copies")
               .join(gone.select(F.col("at").alias("first"), F.lit(True).alias("gone")), "first", "left")
               .where("gone or copies > 1"))
-    return (lines.select("doc_id", "line_no", *same).join(marked, ["f1", "f2"])
-            .where("gone or not (struct(doc_id, line_no) <=> first)").select("doc_id", "line_no"))
+    return (lines.select("at", *same).join(marked, ["f1", "f2"])
+            .where("gone or not (at <=> first)").select("at.*"))
 
 
 def _bits(keys: Column) -> Column:
@@ -149,8 +154,7 @@ def _possible(t: Fraction) -> Column:
 def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:
     """Pairs whose token sets reach the threshold."""
     asked = pairs.select(F.explode(F.array("at", "at2")).alias("at")).distinct()
-    words = (lines.select(F.struct("doc_id", "line_no").alias("at"), "low")
-             .join(asked, "at", "left_semi").distinct())
+    words = lines.join(asked, "at", "left_semi").distinct()
     got = (pairs.join(words, "at").join(words.select(F.col("at").alias("at2"), F.col("low").alias("low2")), "at2")
            .select("at", "at2", _tokens(F.col("low")).alias("w"), _tokens(F.col("low2")).alias("w2")))
     both = F.size(F.array_intersect("w", "w2"))
@@ -159,19 +163,20 @@ def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:
 
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         threshold: float = 0.8, min_tokens: int = 5,
-                        removed_col: str = "n_lines_removed") -> DataFrame:
+                        removed_col: str = "n_lines_removed", row_col: str | None = None) -> DataFrame:
     """``df`` with later matching lines taken out of ``text_col`` and
     ``removed_col`` (how many of the row's lines) added, with underscores
-    after its name where that is taken."""
-    two = two_columns(df, id_col, text_col)
-    lines = two.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(
-        F.split("text", "\n")).alias("line_no", "line"))
-    gone = (duplicate_lines(lines, threshold, min_tokens).groupBy("doc_id")
+    after its name where that is taken.
+
+    ``row_col``: a number of its own for each row, the same in every scan."""
+    at, own = place(df, text_col), F.col(f"c{place(df, row_col or id_col)}").cast("long")
+    lines = numbered(df).select(F.col(f"c{place(df, id_col)}").cast("long").alias("doc_id"),
+                                *([own.alias("row")] if row_col else []),
+                                F.posexplode(F.split(f"c{at}", "\n")).alias("line_no", "line"))
+    gone = (duplicate_lines(lines, threshold, min_tokens).groupBy(F.col("row" if row_col else "doc_id").alias("own"))
             .agg(F.collect_set("line_no").alias("gone")))
-    at = place(df, text_col)
-    rows = numbered(df).select(whole_rows(df).alias("row"), F.col(f"c{place(df, id_col)}").cast("long").alias("id"),
-                               F.col(f"c{at}").alias("t"))
-    both = rows.join(gone, rows["id"].eqNullSafe(gone["doc_id"]), "left")
+    rows = numbered(df).select(whole_rows(df).alias("row"), own.alias("id"), F.col(f"c{at}").alias("t"))
+    both = rows.join(gone, rows["id"] == gone["own"] if row_col else rows["id"].eqNullSafe(gone["own"]), "left")
     split = F.split("t", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "gone")
     text = F.when(F.col("gone").isNull() | F.col("t").isNull(), F.col("t")).otherwise(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scorewell.llm.ann import build_index, nearest
 from scorewell.llm.chat import control_conversation, format_conversations, read_back
+from scorewell.llm.common import free_name
 from scorewell.llm.decontaminate import find_benchmark
 from scorewell.llm.line_dedup import drop_repeated_lines
 from scorewell.llm.lm_scoring import score_documents
@@ -54,7 +55,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_line_dedup")
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf_dir, "documents"), min_tokens=1).select(
+    docs = table(spark, sf_dir, "documents")
+    key = free_name("row", docs.columns)
+    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    return drop_repeated_lines(rows, min_tokens=1, row_col=key).select(
         "doc_id", "n_lines_removed", "text")
 
 

@@ -86,3 +86,24 @@ def test_near_copies_with_repeated_and_null_ids(spark):
     for name, stage in cp.STAGES:
         empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
         assert stage(spark, empty, SF).count() == 0, name
+
+
+def test_lines_and_decontamination_with_repeated_and_null_ids(spark, tmp_path):
+    from scorewell.llm.queries import QUERIES
+    item = "which of these two rivers is the longer one and where does it end"
+    line = "one line of words that is said twice"
+    rows = [(None, f"{line}\nclean words of a null id"), (None, f"other words here\n{line}"), (7, "seven\nfirst text of seven"),
+            (7, f"eight things\n{line}\nseven"), (8, f"so {item}"), (8, "a clean text of eight"), (None, f"{item} is asked")]
+    root = str(tmp_path)
+    spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, row string").coalesce(1).write.parquet(
+        f"{root}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    want = [*rows]
+    want[1], want[3], want[4] = (None, "other words here"), (7, "eight things"), (8, "")
+    for got, kept in ((QUERIES["op4_line_dedup"](spark, root), want), (
+            cp.line_dedup(spark, docs, root), [x for x in want if x[1]])):
+        assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted((str(i), t) for i, t in kept)
+    got = cp.decontaminate(spark, docs, root)
+    assert got.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted((str(i), t) for i, t in rows if item not in t)
