@@ -19,6 +19,7 @@ from scorewell.llm.ngram_join import ngram_components
 from scorewell.llm.packing import pack_documents
 from scorewell.llm.pii import replace_entities
 from scorewell.llm.quality import judge_documents
+from scorewell.llm.simhash import simhash_components
 from scorewell.llm.token_files import read_token_files, write_token_files
 from scorewell.llm.tokens import load_spec
 from scorewell.session import scratch_path, table
@@ -110,6 +111,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, chain, tree, spec)
 
 
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
