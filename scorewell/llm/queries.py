@@ -13,6 +13,8 @@ from scorewell.llm.ann import build_index, nearest
 from scorewell.llm.chat import control_conversation, format_conversations, read_back
 from scorewell.llm.common import free_name
 from scorewell.llm.decontaminate import find_benchmark
+from scorewell.llm.divergence import ORACLE as DIVERGENCE_SQL
+from scorewell.llm.divergence import source_divergence
 from scorewell.llm.line_dedup import drop_repeated_lines
 from scorewell.llm.lm_scoring import score_documents
 from scorewell.llm.ngram_join import ngram_components
@@ -111,6 +113,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, chain, tree, spec)
 
 
+@query("op11_divergence", DIVERGENCE_SQL)
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 @query("op13_simhash")
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
