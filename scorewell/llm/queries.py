@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from scorewell.llm.ann import build_index, nearest
 from scorewell.llm.chat import control_conversation, format_conversations, read_back
+from scorewell.llm.collocations import ORACLE as COLLOCATION_SQL
+from scorewell.llm.collocations import collocations
 from scorewell.llm.common import free_name
 from scorewell.llm.decontaminate import find_benchmark
 from scorewell.llm.divergence import ORACLE as DIVERGENCE_SQL
@@ -118,6 +120,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+@query("op12_collocations", COLLOCATION_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op13_simhash")
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
