@@ -17,9 +17,10 @@ A candidate is dropped if a longer candidate that contains it occurs as often.
    A language is settled when nothing waits, or when its ``top``-th surviving
    score is above the best bound that waits (an equal one is still expanded,
    for ties).  Only open languages go on.
-3. Growth: from word to word a phrase is counted only where its first part is
-   alive (counted ``least`` times), its last word is frequent, and its own
-   rest, where that begins with a word of the round too, is alive.  Growth
+3. Growth: the corpus is written once as numbers of frequent words, in chunks
+   with the words they stand for.  From word to word a phrase is counted only
+   where its first part is alive (counted ``least`` times) and its own rest,
+   where that begins with a word of the round too, is alive.  Growth
    counts 64-bit hashes, folded in tasks; what is alive goes to the tasks as a
    bit sieve of fixed size.  Hashes and sieves let a phrase too many through,
    never one too few; then the phrases are counted as text and ``least`` is
@@ -31,8 +32,7 @@ A candidate is dropped if a longer candidate that contains it occurs as often.
    after.  Both are folded along with the count, so words that wait in the
    frontier are known to a survivor, too.
 
-Sent to the tasks: at most ``longest`` + 1 sieves of ``SIEVE_BITS`` bits a
-pass.  The driver sees sieves and the number of open languages.
+Sent to the tasks: at most ``longest`` sieves of ``SIEVE_BITS`` bits a pass.  The driver sees sieves and the number of open languages.
 
 Edge cases: null text is empty; null lang is ``und``; repeated rows count each
 time; equal scores are ranked by count, then by phrase in UTF-8 bytes; fewer
@@ -57,10 +57,11 @@ from scorewell.session import scratch_path, ship_package
 SIEVE_BITS = 1 << 25
 #: Bits of one row of a sieve's table (4 KiB, what bitmap_construct_agg makes).
 PAGE = 1 << 15
-#: Words that a task looks at together.
-CHUNK = 1 << 20
+#: Words that a task looks at together, about.
+CHUNK = 1 << 18
 
 ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+CHUNKS = "lang string, words binary, ids binary"
 PHRASES = "lang string, phrase string, size int, n long, before string, after string"
 KEY = ["lang", "phrase"]
 
@@ -68,8 +69,8 @@ KEY = ["lang", "phrase"]
 class Chunk:
     """Words of whole texts of one language as numbers; 0 ends a piece."""
 
-    def __init__(self, lang: str, words: dict[bytes, int], ids: list[int]):
-        self.lang, self.names, self.ids = lang, list(words), np.array(ids, np.int64)
+    def __init__(self, lang: str, names: list[bytes], ids: list[int] | np.ndarray):
+        self.lang, self.names, self.ids = lang, names, np.asarray(ids, np.int64)
         self.word_hash = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.names), "<u8", len(self.names))
         self.start = np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1))
 
@@ -105,9 +106,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[Ch
                     ids.append(0)
             total += len(ids) - before
             if total > size:
-                yield from (Chunk(k, *v) for k, v in held.items())
+                yield from (Chunk(k, list(words), ids) for k, (words, ids) in held.items())
                 held, total = {}, 0
-    yield from (Chunk(k, *v) for k, v in held.items())
+    yield from (Chunk(k, list(words), ids) for k, (words, ids) in held.items())
 
 
 class Sieve:
@@ -144,22 +145,42 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["lang", "phrase", "h", "n"])
 
 
-def _alive(c: Chunk, first: Sieve, frequent: Sieve, levels: list[Sieve], longest: int
-           ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _encode(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBatch]:
+    """Chunks of frequent words only; any other word ends a piece."""
+    frequent = frequent.value
+    for c in _chunks(batches):
+        stay = frequent.has(_mix(c.word_hash + c.start))
+        stay[0] = False
+        ids = np.where(stay, np.cumsum(stay), 0)[c.ids]
+        ids = ids[(ids > 0) | (np.concatenate([[1], ids[:-1]]) > 0)]
+        words = b" ".join([c.names[i] for i in np.flatnonzero(stay)])
+        if words:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c.lang], pa.string()), pa.array([words], pa.binary()),
+                 pa.array([ids.astype("<u4").tobytes()], pa.binary())], names=["lang", "words", "ids"])
+
+
+def _read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    for b in batches:
+        for lang, words, ids in zip(*b.columns):
+            yield Chunk(lang.as_py(), [b"", *words.as_py().split(b" ")], np.frombuffer(ids.as_py(), "<u4"))
+
+
+def _alive(c: Chunk, first: Sieve, levels: list[Sieve], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, places, hashes) of phrases to count: one length more than
     there are ``levels``, whose own phrases are let through by all of them."""
-    begins = ends = shorter = lower = None
+    begins = shorter = None
     for k, (h, whole) in enumerate(c.hashes(longest), 1):
         if k == 1:
-            own = _mix(c.word_hash + c.start)
-            begins, ends = first.has(own)[c.ids], frequent.has(own)[c.ids]
-            begins &= ends
-            shorter = begins & whole
+            begins = first.has(_mix(c.word_hash + c.start))[c.ids] & whole
+            if not begins.any():
+                return
+            shorter = begins
             continue
         m = len(h)
-        at = shorter[:m] & whole & ends[k - 1:]
+        at = shorter[:m] & whole
         if k > 2:  # where the rest begins with a word of the round, it is alive or there is nothing to count
-            at &= ~begins[1:m + 1] | lower[1:m + 1]
+            at &= ~begins[1:m + 1] | shorter[1:m + 1]
         at = np.flatnonzero(at)
         yield k, at, h[at]
         if k - 2 == len(levels):
@@ -167,24 +188,23 @@ def _alive(c: Chunk, first: Sieve, frequent: Sieve, levels: list[Sieve], longest
         at = at[levels[k - 2].has(h[at])]
         shorter = np.zeros(m, bool)
         shorter[at] = True
-        lower = shorter
 
 
-def _grow(batches: Iterator[pa.RecordBatch], first, frequent, levels, longest: int) -> Iterator[pa.RecordBatch]:
+def _grow(batches: Iterator[pa.RecordBatch], first, levels, longest: int) -> Iterator[pa.RecordBatch]:
     """(h, n) of the phrases that are one word longer than the last level."""
-    first, frequent, levels = first.value, frequent.value, [x.value for x in levels]
-    for c in _chunks(batches):
-        for k, _, h in _alive(c, first, frequent, levels, longest):
+    first, levels = first.value, [x.value for x in levels]
+    for c in _read_chunks(batches):
+        for k, _, h in _alive(c, first, levels, longest):
             if k == len(levels) + 2:
                 h, n = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view("<i8")), pa.array(n, pa.int64())], names=["h", "n"])
 
 
-def _read(batches: Iterator[pa.RecordBatch], first, frequent, levels, longest: int) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], first, levels, longest: int) -> Iterator[pa.RecordBatch]:
     """Phrases that are let through at every length, as text."""
-    first, frequent, levels = first.value, frequent.value, [x.value for x in levels]
-    for c in _chunks(batches):
-        for k, at, h in _alive(c, first, frequent, levels, longest):
+    first, levels = first.value, [x.value for x in levels]
+    for c in _read_chunks(batches):
+        for k, at, h in _alive(c, first, levels, longest):
             if k <= len(levels) + 1:
                 some = levels[k - 2].has(h)
                 yield _phrases(c, at[some], h[some], k)
@@ -193,7 +213,7 @@ def _read(batches: Iterator[pa.RecordBatch], first, frequent, levels, longest: i
 def _look_up(batches: Iterator[pa.RecordBatch], asked, longest: int) -> Iterator[pa.RecordBatch]:
     """All phrases that the sieve lets through, as text."""
     asked = asked.value
-    for c in _chunks(batches):
+    for c in _read_chunks(batches):
         for k, (h, whole) in enumerate(c.hashes(longest - 1), 1):
             if k > 1:
                 at = np.flatnonzero(whole)
@@ -231,9 +251,7 @@ def _phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         out = []
         for lang, phrase in zip(*(x.to_pylist() for x in b.columns)):
             words = phrase.encode().split(b" ")
-            c = Chunk(lang, {w: i for i, w in enumerate([b"", *words])}, [0])
-            c.ids = np.arange(1, len(words) + 1)
-            c.word_hash = np.array([xxhash.xxh64_intdigest(w) for w in [b"", *words]], "<u8")
+            c = Chunk(lang, [b"", *words], np.arange(1, len(words) + 1))
             out.append([h[0] for h, _ in c.hashes(len(words))][-1])
         yield pa.RecordBatch.from_arrays([pa.array(np.array(out, "<u8").view("<i8"))], names=["h"])
 
@@ -282,7 +300,7 @@ def _limits(words: DataFrame, below: DataFrame, batch: int) -> DataFrame:
 
 
 def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, top: int = 2000,
-                 longest: int = 5, batch: int = 1 << 16) -> DataFrame:
+                 longest: int = 5, batch: int = 1 << 11) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first ``top`` of each language.
 
     ``batch``: how many first words a round expands, about; each next round
@@ -304,6 +322,9 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     totals = written(words.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     words = written(words.where(F.col("n") >= least), "words")
     known = words.select("lang", "phrase", "n")
+    frequent = spark.sparkContext.broadcast(_sieve(words))
+    chunks = written(texts.mapInArrow(lambda it: _encode(it, frequent), CHUNKS), "chunks")
+    frequent.unpersist()
     best = spark.createDataFrame([], "lang string, phrase string, a long, l long, r long, n long, score long")
     below, turn = totals.select("lang", F.lit(0).cast("long").alias("low")), 0
     while True:
@@ -311,7 +332,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         if limits.isEmpty():
             return _ranked(best, top)
         first = words.join(limits, "lang").where("n > low and n <= high")
-        candidates, known = _round(spark, texts, first, words, known, least, longest, written, turn)
+        candidates, known = _round(spark, chunks, first, known, least, longest, written, turn)
         alone = (F.col("size") == longest) | ((F.col("before") == "") & (F.col("after") == ""))
         found = _scored(candidates.where(alone), known, totals)
         best = written(_ranked(best.unionByName(found), top), f"best{turn}").drop("rank")
@@ -325,34 +346,34 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         below, turn = open_.select("lang", F.col("high").alias("low")), turn + 1
 
 
-def _round(spark: SparkSession, texts: DataFrame, first: DataFrame, words: DataFrame, known: DataFrame, least: int,
-           longest: int, written: Callable, turn: int) -> tuple[DataFrame, DataFrame]:
+def _round(spark: SparkSession, chunks: DataFrame, first: DataFrame, known: DataFrame, least: int, longest: int,
+           written: Callable, turn: int) -> tuple[DataFrame, DataFrame]:
     """Candidates that begin with the words of ``first``, and all counts known
     by then, those of the candidates' parts among them."""
     send = spark.sparkContext.broadcast
-    sent = [send(_sieve(first)), send(_sieve(words))]
+    begin = send(_sieve(first))
     levels: list = []
     for _ in range(2, longest + 1):
         now = list(levels)
-        grown = (texts.mapInArrow(lambda it: _grow(it, *sent[:2], now, longest), "h long, n long")
+        grown = (chunks.mapInArrow(lambda it: _grow(it, begin, now, longest), "h long, n long")
                  .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
         level = _sieve(grown)
         if not level.bits.any():
             break
         levels.append(send(level))
-    read = texts.mapInArrow(lambda it: _read(it, *sent[:2], levels, longest), PHRASES)
+    read = chunks.mapInArrow(lambda it: _read(it, begin, levels, longest), PHRASES)
     candidates = written(_counted(read).where(F.col("n") >= least), f"candidates{turn}")
     known = known.unionByName(candidates.select("lang", "phrase", "n"))
     asked = _cuts(candidates).where("size - k > 1").select("lang", F.col("right").alias("phrase")).distinct()
     asked = written(asked.join(known, KEY, "left_anti"), f"asked{turn}")
     if not asked.isEmpty():
         sieve = send(_sieve(asked.mapInArrow(_phrase_hashes, "h long")))
-        rests = _counted(texts.mapInArrow(lambda it: _look_up(it, sieve, longest), PHRASES))
+        rests = _counted(chunks.mapInArrow(lambda it: _look_up(it, sieve, longest), PHRASES))
         rests = written(rests.join(asked, KEY, "left_semi").select("lang", "phrase", "n"), f"rests{turn}")
         # a later round may find the same phrase as a candidate of its own
         known = known.unionByName(rests).distinct()
         sieve.unpersist()
-    for x in sent + levels:
+    for x in [begin, *levels]:
         x.unpersist()
     return candidates, known
 
@@ -369,23 +390,34 @@ WITH d AS (
   SELECT coalesce(lang, 'und') AS lang,
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
   FROM documents),
-p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
-s AS (SELECT lang, ws, size::INTEGER AS size FROM w, range(1, 6) AS sizes(size) WHERE len(ws) >= size),
-f AS (
-  SELECT lang, size, phrase, count(*) AS a
-  FROM (SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase
-        FROM (SELECT lang, size, ws, unnest(range(1, len(ws) - size + 2)) AS i FROM s))
-  GROUP BY 1, 2, 3),
-totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY 1),
+p AS (
+  SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+w AS (SELECT id, lang, unnest(ws) AS w1, generate_subscripts(ws, 1) AS i FROM p),
+x AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4,
+         lead(w1, 4) OVER o AS w5
+  FROM w WINDOW o AS (PARTITION BY id ORDER BY i)),
+s AS (
+  SELECT lang, 1 AS size, w1 AS phrase FROM x
+  UNION ALL SELECT lang, 2, concat_ws(' ', w1, w2) FROM x WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, concat_ws(' ', w1, w2, w3) FROM x WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, concat_ws(' ', w1, w2, w3, w4) FROM x WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, 5, concat_ws(' ', w1, w2, w3, w4, w5) FROM x WHERE w5 IS NOT NULL),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS a FROM s GROUP BY 1, 2, 3),
+totals AS (SELECT lang, count(*)::BIGINT AS n FROM w GROUP BY 1),
 c AS (SELECT lang, size, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND a >= 100),
-cuts AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+cuts AS MATERIALIZED (
+  SELECT *, array_to_string(ws[1:k], ' ') AS first_part, array_to_string(ws[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+left_counts AS MATERIALIZED (
+  SELECT cuts.*, f.a AS l FROM cuts JOIN f ON f.lang = cuts.lang AND f.phrase = cuts.first_part),
+both_counts AS MATERIALIZED (
+  SELECT t.*, f.a AS r FROM left_counts t JOIN f ON f.lang = t.lang AND f.phrase = t.rest),
 scored AS (
-  SELECT cuts.lang, cuts.phrase, cuts.size, cuts.a, x.a AS l, y.a AS r, totals.n, cuts.k,
-         (1000::HUGEINT * cuts.a * totals.n) // (x.a::HUGEINT * y.a) AS score
-  FROM cuts JOIN totals ON totals.lang = cuts.lang
-  JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.ws[1:cuts.k], ' ')
-  JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.ws[cuts.k + 1:], ' ')),
+  SELECT t.lang, t.phrase, t.size, t.a, t.l, t.r, totals.n, t.k,
+         (1000::HUGEINT * t.a * totals.n) // (t.l::HUGEINT * t.r) AS score
+  FROM both_counts t JOIN totals ON totals.lang = t.lang),
 lowest AS (
   SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inner_parts AS (

@@ -103,13 +103,13 @@ def test_empty_table(spark):
 
 
 def test_phrases_with_one_hash_are_told_apart(monkeypatch):
-    chunk = c.Chunk("en", {b"": 0, b"a": 1, b"b": 2, b"c": 3}, [0, 1, 2, 0, 1, 3, 0, 1, 2, 0])
+    chunk = c.Chunk("en", [b"", b"a", b"b", b"c"], [0, 1, 2, 0, 1, 3, 0, 1, 2, 0])
     got = c._phrases(chunk, np.array([1, 4, 7]), np.zeros(3, np.uint64), 2)
     assert sorted(zip(*(x.to_pylist() for x in got.columns[1:4]))) == [("a b", 2, 2), ("a c", 2, 1)]
 
 
 def test_hashes_of_phrases_do_not_depend_on_the_text():
-    chunk = c.Chunk("en", {b"": 0, b"a": 1, b"b": 2}, [0, 2, 1, 2, 1, 0])
+    chunk = c.Chunk("en", [b"", b"a", b"b"], [0, 2, 1, 2, 1, 0])
     *_, (h, whole) = chunk.hashes(3)
     batch = pa.RecordBatch.from_arrays([pa.array(["en", "en"]), pa.array(["b a b", "a b a"])], names=["lang", "phrase"])
     assert next(c._phrase_hashes([batch])).column("h").to_pylist() == h.view("<i8")[1:3].tolist()
