@@ -46,6 +46,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,6 +60,8 @@ SIEVE_BITS = 1 << 25
 PAGE = 1 << 15
 #: Words that a task looks at together, about.
 CHUNK = 1 << 18
+#: Rows of phrases that a task folds together before it hands them on.
+HELD = 1 << 18
 
 ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 CHUNKS = "lang string, words binary, ids binary"
@@ -241,6 +244,29 @@ def _phrases(c: Chunk, at: np.ndarray, h: np.ndarray, k: int) -> pa.RecordBatch:
          pa.array(n, pa.int64()), *sides], names=["lang", "phrase", "size", "n", "before", "after"])
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one phrase put together, as ``_counted`` does between tasks."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) > HELD:
+            held = _fold(held)
+            if held[0].num_rows > HELD // 2:
+                yield from held
+                held = []
+    if held:
+        yield from _fold(held)
+
+
+def _fold(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    rows = pa.Table.from_batches(held).group_by(["lang", "phrase", "size"]).aggregate(
+        [("n", "sum"), *[(side, how) for side in ("before", "after") for how in ("min", "max")]])
+    sides = [pc.if_else(pc.equal(rows[f"{x}_min"], rows[f"{x}_max"]), rows[f"{x}_min"], "") for x in ("before", "after")]
+    columns = [rows["lang"], rows["phrase"], rows["size"], rows["n_sum"], *sides]
+    names = ["lang", "phrase", "size", "n", "before", "after"]
+    return [pa.RecordBatch.from_arrays([c.combine_chunks() for c in columns], names=names)]
+
+
 def _text(words: list[bytes]) -> pa.Array:
     return pa.array(words, pa.binary()).cast(pa.string())
 
@@ -300,11 +326,11 @@ def _limits(words: DataFrame, below: DataFrame, batch: int) -> DataFrame:
 
 
 def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, top: int = 2000,
-                 longest: int = 5, batch: int = 1 << 11) -> DataFrame:
+                 longest: int = 5, batch: int = 1 << 13) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first ``top`` of each language.
 
     ``batch``: how many first words a round expands, about; each next round
-    takes four times as many.
+    takes eight times as many.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -328,7 +354,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     best = spark.createDataFrame([], "lang string, phrase string, a long, l long, r long, n long, score long")
     below, turn = totals.select("lang", F.lit(0).cast("long").alias("low")), 0
     while True:
-        limits = written(_limits(words, below, batch << 2 * turn), f"limits{turn}")
+        limits = written(_limits(words, below, batch << 3 * turn), f"limits{turn}")
         if limits.isEmpty():
             return _ranked(best, top)
         first = words.join(limits, "lang").where("n > low and n <= high")
@@ -361,14 +387,14 @@ def _round(spark: SparkSession, chunks: DataFrame, first: DataFrame, known: Data
         if not level.bits.any():
             break
         levels.append(send(level))
-    read = chunks.mapInArrow(lambda it: _read(it, begin, levels, longest), PHRASES)
+    read = chunks.mapInArrow(lambda it: _folded(_read(it, begin, levels, longest)), PHRASES)
     candidates = written(_counted(read).where(F.col("n") >= least), f"candidates{turn}")
     known = known.unionByName(candidates.select("lang", "phrase", "n"))
     asked = _cuts(candidates).where("size - k > 1").select("lang", F.col("right").alias("phrase")).distinct()
     asked = written(asked.join(known, KEY, "left_anti"), f"asked{turn}")
     if not asked.isEmpty():
         sieve = send(_sieve(asked.mapInArrow(_phrase_hashes, "h long")))
-        rests = _counted(chunks.mapInArrow(lambda it: _look_up(it, sieve, longest), PHRASES))
+        rests = _counted(chunks.mapInArrow(lambda it: _folded(_look_up(it, sieve, longest)), PHRASES))
         rests = written(rests.join(asked, KEY, "left_semi").select("lang", "phrase", "n"), f"rests{turn}")
         # a later round may find the same phrase as a candidate of its own
         known = known.unionByName(rests).distinct()
