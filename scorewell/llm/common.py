@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorewell.session import scratch_path
+
 #: ASCII white space; every other character is part of a word.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -59,3 +62,28 @@ def two_columns(df: DataFrame, id_col: str, text_col: str,
 def whole_rows(df: DataFrame) -> Column:
     """A struct of all columns of ``numbered(df)``."""
     return F.struct(*[F.col(f"c{i}") for i in range(len(df.columns))])
+
+
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a long of its own for each row under ``name``, the same in
+    every scan, however many cores or executors there are at the time.
+
+    Rows of files are told apart by file (31 bits of a hash of its path, salted
+    until no two files share one) and place in it.  Where rows do not come
+    straight from files, or too many files share hashes, they are numbered
+    in a copy written to the shared scratch folder.
+    """
+    try:
+        path, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+        for salt in range(4):
+            file = F.xxhash64(path, F.lit(salt)).bitwiseAND(F.lit((1 << 31) - 1))
+            seen = df.select(path.alias("path"), file.alias("file")).distinct()
+            files, hashes, none = seen.agg(F.count(F.lit(1)), F.count_distinct("file"), F.count_if(F.col("path").isNull())).first()
+            if files == hashes and not none:
+                return df.select("*", F.shiftleft(file, 32).bitwiseOR(at).alias(name))
+    except AnalysisException:
+        pass
+    copy = scratch_path(df.sparkSession, "rows")
+    fields = df.columns
+    numbered(df).select("*", F.monotonically_increasing_id().alias("key")).write.parquet(copy)
+    return df.sparkSession.read.parquet(copy).toDF(*fields, name)

@@ -100,7 +100,8 @@ class Block:
         c, both = words[self.place[WORDS]], pairs[self.place[PAIRS]]
         base = np.log10((c + 1.0) / (n + v + 1.0))
         if n:
-            d = s["once"] / (s["once"] + 2.0 * s["twice"]) if s["twice"] else 0.5
+            # above 0 whatever repeats, so that unseen words keep a share
+            d = (s["once"] + 1.0) / (s["once"] + 2.0 * s["twice"] + 2.0)
             alone = np.where(c > 0, np.maximum(c - d, 0) / n, d * v / n)
             lam = min(max(s["again"] / n, 0.05), 0.9)
             state = np.concatenate([[0], c[:-1]])  # how often the state was seen

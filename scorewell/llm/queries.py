@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorewell.llm import pipeline
 from scorewell.llm.ann import build_index, nearest
 from scorewell.llm.chat import control_conversation, format_conversations, read_back
 from scorewell.llm.collocations import ORACLE as COLLOCATION_SQL
 from scorewell.llm.collocations import collocations
-from scorewell.llm.common import free_name
+from scorewell.llm.common import free_name, with_row_key
 from scorewell.llm.decontaminate import find_benchmark
 from scorewell.llm.divergence import ORACLE as DIVERGENCE_SQL
 from scorewell.llm.divergence import source_divergence
@@ -62,7 +62,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     key = free_name("row", docs.columns)
-    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    rows = with_row_key(docs, key)
     return drop_repeated_lines(rows, min_tokens=1, row_col=key).select(
         "doc_id", "n_lines_removed", "text")
 
@@ -130,6 +130,6 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES["pipeline"] = corpus_pipeline.run
-if corpus_pipeline.ORACLE_SQL is not None:
-    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+QUERIES["pipeline"] = pipeline.run
+if pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = pipeline.ORACLE_SQL

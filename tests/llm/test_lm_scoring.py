@@ -22,7 +22,7 @@ def brute(rows):
         p for t in train for p in zip(["start", *t], t))
     n, v = sum(one.values()), len(one)
     n1, n2 = (sum(c == k for c in one.values()) for k in (1, 2))
-    d = n1 / (n1 + 2 * n2) if n2 else .5
+    d = (n1 + 1) / (n1 + 2 * n2 + 2)
     lam = min(max(sum(c for c in two.values() if c > 1) / n, .05), .9) if n else 0
     result = []
 
@@ -84,3 +84,17 @@ def test_edges(spark):
     rows = [(i, "a b") for i in only_out]
     same(score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect(), brute(rows))
     assert score_documents(df.limit(0)).count() == 0
+
+
+def test_unseen_words_keep_a_share(spark):
+    """No word occurs once: every score is finite, and all words together with one unseen have probability one."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
+    out = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2)
+    for copies in (2, 3, 5):
+        rows = [(i, "aa bb cc") for i in ids[:copies]] + [(out, "zz new words")]
+        got = {r.doc_id: r for r in score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert all(math.isfinite(r.score) for r in got.values())
+        same(got.values(), brute(rows))
+    n1, n2, counts = 0, 4, [2, 2, 2, 2]
+    d = (n1 + 1) / (n1 + 2 * n2 + 2)
+    assert sum((c - d) / sum(counts) for c in counts) + d * len(counts) / sum(counts) == pytest.approx(1.0)
