@@ -2,8 +2,8 @@
 
 Manifests are small YAML-like text files next to saved models.  They are
 scanned with the ``binaryFile`` source (recursive listing done by Spark,
-modification time included) and their fields are pulled out with regular
-expressions -- JVM-side, one row per manifest, no driver loop.
+modification time included) and read by ``functions.nested`` -- JVM-side, one
+row per manifest, no driver loop.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorewell.functions.nested import nested_field, nested_rows
 from scorewell.operators.ranking import ordered_position
 
 # Flavor names as written in manifests.
@@ -34,15 +35,6 @@ def write_manifests(df: DataFrame, root: str, dir_col: str = "run_id",
     return root
 
 
-# loader_module of the python_function flavor only, quotes dropped
-_LOADER = r"""(?m)^  python_function:[ \t]*\n(?:    .*\n)*?    loader_module:[ \t]*['"]?([^\s'"]+)"""
-
-
-def _field(text: Column, pattern: str) -> Column:
-    v = F.regexp_extract(text, pattern, 1)
-    return F.when(v == "", F.lit(None).cast("string")).otherwise(v)
-
-
 def manifest_catalog(spark: SparkSession, root: str, file_glob: str = "MLmodel",
                      dir_name: str | None = None) -> DataFrame:
     """``(artifact_dir, path, mtime, loader_module, python_version,
@@ -59,17 +51,19 @@ def manifest_catalog(spark: SparkSession, root: str, file_glob: str = "MLmodel",
              .load(root))
     if dir_name is not None:
         files = files.where(F.col("path").endswith(f"/{dir_name}/" + file_glob))
-    text = F.col("content").cast("string")
-    return files.select(
+    read = files.select("path", "modificationTime", nested_rows(F.col("content").cast("string")).alias("rows"))
+
+    def field(path: str) -> Column:
+        return nested_field(F.col("rows"), path)
+    return read.select(
         F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("artifact_dir"),
         "path",
         F.col("modificationTime").alias("mtime"),
-        _field(text, _LOADER).alias("loader_module"),
-        _field(text, r"(?m)^\s+python_version:\s*(\S+)\s*$").alias("python_version"),
-        _field(text, r"(?m)^model_size_bytes:\s*(\d+)\s*$").cast("bigint").alias("model_size_bytes"),
-        _field(text, r"(?m)^run_id:\s*(\S+)\s*$").alias("run_id"),
-        F.to_timestamp(_field(text, r"(?m)^utc_time_created:\s*'?([^'\n]+)'?\s*$"),
-                       "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("utc_time_created"),
+        field("flavors.python_function.loader_module").alias("loader_module"),
+        field("flavors.python_function.python_version").alias("python_version"),
+        field("model_size_bytes").try_cast("bigint").alias("model_size_bytes"),
+        field("run_id").alias("run_id"),
+        F.try_to_timestamp(field("utc_time_created"), F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("utc_time_created"),
     )
 
 

@@ -8,13 +8,16 @@ model folders of its own (never a second save into an existing folder).
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorewell.functions.nested import nested_rows
+from scorewell.operators.claims import claim_version
 from scorewell.operators.encoding import Feature, as_features, fit_preprocessor
 from scorewell.operators.regression import fit_linear, regression_metrics
 from scorewell.operators.rows import drop_null_rows, hash_split, random_split
@@ -41,6 +44,40 @@ class TrainParams:
     run_name: str = "linear_regression"
     model_name: str = "model"
 
+    @classmethod
+    def from_file(cls, spark: SparkSession, path: str, **given) -> "TrainParams":
+        """Parameters from a nested text file; ``given`` ones go before it.
+
+        Read are ``data.raw_path`` (or ``data.sources``), ``data.test_size``,
+        ``data.random_state`` and under ``train`` any other field by its name;
+        a feature is a name, or a name and a kind.
+        """
+        read = spark.read.text(path, wholetext=True).select(F.explode(nested_rows(F.col("value"))).alias("r"))
+        values = {r.path: r.value for r in read.select("r.path", "r.value").collect() if r.value is not None}
+        lists: dict[str, dict[str, str]] = {}
+        for p, v in values.items():
+            if m := re.fullmatch(r"((?:data|train)\.\w+)\[(\d+)\](\.\w+)?", p):
+                lists.setdefault(m[1], {})[f"{m[2]}{m[3] or ''}"] = v
+        out: dict = {}
+        if "data.raw_path" in values:
+            out["sources"] = [values["data.raw_path"]]
+        if "data.sources" in lists:
+            out["sources"] = list(lists["data.sources"].values())
+        features = lists.get("train.features", {})
+        out["features"] = [
+            Feature(features.get(f"{i}.name", features.get(str(i))), features.get(f"{i}.kind", "score"))
+            for i in dict.fromkeys(k.split(".")[0] for k in features)]
+        for name, source, kind in (("test_size", "data.test_size", float), ("seed", "data.random_state", int)):
+            if source in values:
+                out[name] = kind(values[source])
+        texts = [f.name for f in fields(cls) if f.type == "str"]
+        out |= {n: values[f"train.{n}"] for n in texts if f"train.{n}" in values}
+        out |= given
+        missing = [n for n in ("sources", "root", "features", "target") if not out.get(n)]
+        if missing:
+            raise ValueError(f"{path} does not say: {missing}")
+        return cls(**out)
+
 
 def _split_keys(df: DataFrame, p: TrainParams) -> list[str]:
     if p.split == "hash":
@@ -104,12 +141,13 @@ def run_pipeline(spark: SparkSession, p: TrainParams) -> dict:
 
 
 def register_run(spark: SparkSession, root: str, run, model_name: str) -> dict:
-    """T4 for one run: the next version of ``model_name`` (single writer per name)."""
+    """T4 for one run: the next version of ``model_name``, claimed atomically,
+    so several writers may register one name at a time."""
     last = 0
     if path_has_data(spark, f"{root}/{VERSIONS}"):
         last = read_table(spark, root, VERSIONS).where(F.col("name") == model_name).agg(
             F.coalesce(F.max("version"), F.lit(0))).first()[0]
-    row = {"name": model_name, "version": last + 1, "run_id": run["run_id"], "path": run["artifact_path"]}
+    row = claim_version(spark, root, run["run_id"], run["artifact_path"], model_name, after=last)
     spark.createDataFrame([row], "name string, version int, run_id string, path string").write.mode(
         "append").parquet(f"{root}/{VERSIONS}")
     return row

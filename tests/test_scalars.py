@@ -14,10 +14,9 @@ def _one(spark, expr, values, dtype="double"):
 
 
 def test_coerce_category_half_even(spark):
-    # Python int(round(v)) is half-even
-    vals = [0.5, 1.5, 2.5, -1.5, 3.49, 3.5, 10.0, 3e9, -4.5e12, None]
-    got = _one(spark, S.coerce_category, vals)
-    assert got == [str(int(round(v))) if v is not None else None for v in vals]
+    worked = {0.5: "0", 1.5: "2", 2.5: "2", -1.5: "-2", 3.49: "3", 3.5: "4", 10.0: "10", 3e9: "3000000000",
+              -4.5e12: "-4500000000000", None: None}
+    assert _one(spark, S.coerce_category, list(worked)) == list(worked.values())
 
 
 def test_coerce_category_text_input(spark):
@@ -25,16 +24,9 @@ def test_coerce_category_text_input(spark):
     assert got == ["5", "7", None, "2", None]
 
 
-def _py_normalize(v):
-    if v > 1.0 and v <= 100.0:
-        v = v / 100.0
-    return max(0.0, min(1.0, v))
-
-
 def test_normalize_probability_edges(spark):
-    vals = [-0.1, 0.0, 0.5, 1.0, 1.0001, 50.0, 100.0, 100.01, 1e9]
-    got = _one(spark, S.normalize_probability, vals)
-    assert got == pytest.approx([_py_normalize(v) for v in vals])
+    worked = {-0.1: 0.0, 0.0: 0.0, 0.5: 0.5, 1.0: 1.0, 1.0001: 0.010001, 50.0: 0.5, 100.0: 1.0, 100.01: 1.0, 1e9: 1.0}
+    assert _one(spark, S.normalize_probability, list(worked)) == pytest.approx(list(worked.values()))
 
 
 def test_normalize_probability_null_and_nan(spark):
