@@ -35,6 +35,18 @@ def write_manifests(df: DataFrame, root: str, dir_col: str = "run_id",
     return root
 
 
+def save_manifest(spark: SparkSession, folder: str, text: str, name: str = "MLmodel") -> str:
+    """Write one manifest beside a saved model; an earlier one is replaced."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return folder
+
+
 def manifest_catalog(spark: SparkSession, root: str, file_glob: str = "MLmodel",
                      dir_name: str | None = None) -> DataFrame:
     """``(artifact_dir, path, mtime, loader_module, python_version,
