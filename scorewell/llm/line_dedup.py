@@ -7,9 +7,11 @@ it, whether or not that one is itself removed.
 
 1. Equal lines (same text but for letter case) meet by hash; the first of
    them stands for all from here on.
-2. Tokens are ordered by rarity: the most frequent tokens, a list of bounded
-   size counted over all lines, come last; before and among them longer words
-   precede shorter ones, as they are rarer.  Any fixed order gives the same
+2. Tokens are ordered by rarity, as all lines count it: words fall into
+   ``CELLS`` cells by hash, and a token ranks by how often the words of its
+   cell occur, in steps of half a power of two, then by hash.  The counts have
+   a fixed size, whatever the vocabulary; a rare word that shares its cell
+   with a frequent one only comes later.  Any fixed order gives the same
    matches; this one keeps posting lists short.
 3. Prefix filter: two matching sets share a token among the first
    n - ceil(t * n) + 1 of each.  Only tokens of two lines or more go on.
@@ -40,8 +42,8 @@ from pyspark.sql import functions as F
 from scorewell.llm.common import LOWER, UPPER, free_name, numbered, place, whole_rows
 from scorewell.session import scratch_path
 
-#: How many tokens count as frequent.
-FREQUENT = 1024
+#: Cells in which words are counted.
+CELLS = 1 << 16
 
 
 def _low(line: Column) -> Column:
@@ -65,19 +67,25 @@ def _overlap(t: Fraction, a: Column, b: Column) -> Column:
     return (((a + b) * up + (down - 1)) / down).cast("long")
 
 
-def frequent_tokens(lines: DataFrame, limit: int = FREQUENT) -> list[int]:
-    """Hashes of the most frequent words, at most ``limit``, from a bounded sketch of all lines."""
-    words = lines.select(F.explode(F.split("low", " ")).alias("w")).select(F.xxhash64("w").alias("w"))
-    top = words.agg(F.expr(f"approx_top_k(w, {limit}, {8 * limit})").alias("t")).first()["t"]
-    return [r["item"] for r in top or []]
+def word_ranks(lines: DataFrame) -> Column:
+    """An array of ``CELLS`` small numbers, the larger the more often words of
+    the cell occur; so many numbers come to the driver and back as a constant."""
+    words = lines.select(F.explode(F.split("low", " ")).alias("w")).where("w <> ''")
+    counts = words.groupBy(_cell(F.xxhash64("w")).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    ranks = [0] * CELLS
+    for r in counts.select("cell", F.floor(2 * F.log2(F.col("n") + 1)).cast("int").alias("rank")).collect():
+        ranks[r.cell] = r.rank
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<tinyint>")
 
 
-def _order_key(word: Column, frequent: list[int]) -> Column:
-    """One long per token that sorts by rarity: frequent or not, length, hash."""
+def _cell(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(CELLS - 1)).cast("int")
+
+
+def _order_key(word: Column, ranks: Column) -> Column:
+    """One long per token that sorts by rarity: rank of its cell, then hash."""
     h = F.xxhash64(word)
-    short = F.lit(31) - F.least(F.length(word), F.lit(31))
-    high = F.when(h.isin(frequent), short + 32).otherwise(short) if frequent else short
-    return F.shiftleft(high.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    return F.shiftleft(F.get(ranks, _cell(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
 
 def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int = 5) -> DataFrame:
@@ -93,10 +101,10 @@ def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int =
     key = ["doc_id", *[c for c in lines.columns if c == "row"], "line_no"]
     lines = lines.select(F.struct(*key).alias("at"), _low(F.col("line")).alias("low"))
     same = [F.xxhash64("low").alias("f1"), F.xxhash64("low", F.lit(1)).alias("f2")]
-    frequent = frequent_tokens(lines)
+    ranks = word_ranks(lines)
     keyed = lines.select("at", *same, _tokens(F.col("low")).alias("tokens"))
     keyed = keyed.where(F.size("tokens") >= min_tokens).withColumn("n", F.size("tokens"))
-    keys = F.sort_array(F.transform("tokens", lambda w: _order_key(w, frequent)))
+    keys = F.sort_array(F.transform("tokens", lambda w: _order_key(w, ranks)))
     keyed = keyed.select("at", "f1", "f2", "n", keys.alias("keys"))
     keyed = keyed.select("at", "f1", "f2", "n", _bits(F.col("keys")).alias("bits"), F.slice(
         "keys", F.lit(1), (F.col("n") - _least(t, F.col("n")) + 1).cast("int")).alias("prefix"))
@@ -154,7 +162,9 @@ def _possible(t: Fraction) -> Column:
 def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:
     """Pairs whose token sets reach the threshold."""
     asked = pairs.select(F.explode(F.array("at", "at2")).alias("at")).distinct()
-    words = lines.join(asked, "at", "left_semi").distinct()
+    words = lines.join(asked, "at", "left_semi")
+    if "row" not in lines.schema["at"].dataType.names:  # rows of one id are one document
+        words = words.distinct()
     got = (pairs.join(words, "at").join(words.select(F.col("at").alias("at2"), F.col("low").alias("low2")), "at2")
            .select("at", "at2", _tokens(F.col("low")).alias("w"), _tokens(F.col("low2")).alias("w2")))
     both = F.size(F.array_intersect("w", "w2"))
