@@ -16,7 +16,8 @@ A candidate is dropped if a longer candidate that contains it occurs as often.
    them and all of one bound together, in one set of passes over the corpus.
    A language is settled when nothing waits, or when its ``top``-th surviving
    score is above the best bound that waits (an equal one is still expanded,
-   for ties).  Only open languages go on.
+   for ties).  Only open languages go on, and only with first words whose
+   bound still reaches that score.
 3. Growth: the corpus is written once as numbers of frequent words, in chunks
    with the words they stand for.  From word to word a phrase is counted only
    where its first part is alive (counted ``least`` times) and its own rest,
@@ -316,9 +317,10 @@ def _scored(candidates: DataFrame, counts: DataFrame, totals: DataFrame) -> Data
 
 def _limits(words: DataFrame, below: DataFrame, batch: int) -> DataFrame:
     """lang, low, high: the next best first words of each open language are
-    those with counts above low and up to high.  Distinct counts of a language
+    those with counts above low and up to high; counts above cap are out of
+    bounds already.  Distinct counts of a language
     are no more than about the root of twice its words."""
-    waiting = (words.join(below, "lang").where("n > low").groupBy("lang", "low", "n")
+    waiting = (words.join(below, "lang").where("n > low and n <= cap").groupBy("lang", "low", "n")
                .agg(F.count(F.lit(1)).alias("c")))
     before = F.sum("c").over(Window.partitionBy("lang").orderBy("n")) - F.col("c")
     return waiting.withColumn("before", before).where(F.col("before") < batch).groupBy("lang", "low").agg(
@@ -352,7 +354,8 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     chunks = written(texts.mapInArrow(lambda it: _encode(it, frequent), CHUNKS), "chunks")
     frequent.unpersist()
     best = spark.createDataFrame([], "lang string, phrase string, a long, l long, r long, n long, score long")
-    below, turn = totals.select("lang", F.lit(0).cast("long").alias("low")), 0
+    no_cap = F.lit((1 << 63) - 1)
+    below, turn = totals.select("lang", F.lit(0).cast("long").alias("low"), no_cap.alias("cap")), 0
     while True:
         limits = written(_limits(words, below, batch << 3 * turn), f"limits{turn}")
         if limits.isEmpty():
@@ -366,10 +369,12 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         last = best.groupBy("lang").agg(F.min("score").alias("last"), F.count(F.lit(1)).alias("places"))
         rest = (words.join(limits, "lang").where("n > high").groupBy("lang", "high").agg(F.min("n").alias("rarest"))
                 .join(totals, "lang").join(last, "lang", "left"))
-        bound = F.call_function("div", F.col("total").cast("decimal(19,0)") * F.lit(1000).cast("decimal(4,0)"),
-                                F.col("rarest").cast("decimal(19,0)"))
-        open_ = rest.where(F.col("last").isNull() | (F.col("places") < top) | (F.col("last") <= bound))
-        below, turn = open_.select("lang", F.col("high").alias("low")), turn + 1
+        # a first word with a larger count cannot reach the last place any more
+        cap = F.when((F.col("places") == top) & (F.col("last") > 0), F.call_function(
+            "div", F.col("total").cast("decimal(19,0)") * F.lit(1000).cast("decimal(4,0)"),
+            F.col("last").cast("decimal(19,0)"))).otherwise(no_cap)
+        open_ = rest.withColumn("cap", cap).where("rarest <= cap")
+        below, turn = open_.select("lang", F.col("high").alias("low"), "cap"), turn + 1
 
 
 def _round(spark: SparkSession, chunks: DataFrame, first: DataFrame, known: DataFrame, least: int, longest: int,
