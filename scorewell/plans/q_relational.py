@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from scorewell.functions.scalars import stable_hash32
 from scorewell.operators.additive import fit_additive, score_additive
 from scorewell.operators.encoding import Feature
+from scorewell.operators.exact_split import exact_split
 from scorewell.operators.gram import cross_validate, fit_gram, gram, merged, without
+from scorewell.operators.moments import append_moments, error_moments, merged_moments, metrics_of, read_moments
 from scorewell.operators.regression import regression_metrics
+from scorewell.plans.q_model import _EVAL_SQL, _one_feature_predictions
 from scorewell.plans.registry import memo, query
 from scorewell.session import scratch_path, table
 
@@ -97,3 +100,29 @@ def score_relational(spark, sf_dir):
     unseen = scored.agg(F.sum("n_unseen").alias("n_unseen")).scalar()
     m = regression_metrics(scored, "l_extendedprice")
     return m.select("n", F.round("rmse", 3).alias("rmse"), F.round("r2", 6).alias("r2"), unseen.alias("n_unseen"))
+
+
+@query("eval_metrics_merged", _EVAL_SQL.format(keys="l_returnflag, ", group="GROUP BY l_returnflag"))
+def eval_metrics_merged(spark, sf_dir):
+    """M9/M10 from stored moments: four batches of predictions, each read once."""
+    pred, root = _one_feature_predictions(spark, sf_dir), scratch_path(spark, "moments")
+    for k in range(4):
+        append_moments(error_moments(pred.where(F.col("l_orderkey") % 4 == k), by=["l_returnflag"]), root, str(k))
+    m = metrics_of(merged_moments(read_moments(spark, root), ["l_returnflag"]))
+    return m.select("l_returnflag", "n", F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+@query("split_exact", """
+SELECT CAST(floor(0.2 * count(*) + 0.5) AS BIGINT) AS n_test, CAST(count(*) - floor(0.2 * count(*) + 0.5) AS BIGINT) AS n_train,
+       CAST(sum(l_orderkey) AS BIGINT) AS all_keys, CAST(0 AS BIGINT) AS test_above_train FROM lineitem""")
+def split_exact(spark, sf_dir):
+    """A test part of exactly round(0.2 n) rows; every test hash is below every train hash or equal to it."""
+    keys = ["l_orderkey", "l_linenumber"]
+    train, test = exact_split(table(spark, sf_dir, "lineitem"), keys)
+    both = test.withColumn("part", F.lit("test")).unionByName(train.withColumn("part", F.lit("train")))
+    h = F.xxhash64(*keys)
+    out = both.agg(F.count_if(F.col("part") == "test").alias("n_test"), F.count_if(F.col("part") == "train").alias("n_train"),
+                   F.sum("l_orderkey").alias("all_keys"), F.max(F.when(F.col("part") == "test", h)).alias("high"),
+                   F.min(F.when(F.col("part") == "train", h)).alias("low"))
+    return out.select("n_test", "n_train", "all_keys", F.when(F.col("high") > F.col("low"), 1).otherwise(0).cast(
+        "long").alias("test_above_train"))
