@@ -10,7 +10,7 @@ plain expressions.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -88,24 +88,29 @@ def score_python_model(df: DataFrame, model, features: Sequence[Feature | str],
     shipped once per executor as a broadcast variable.  A scalar result is
     repeated for the whole batch, a sequence is taken row by row.
     """
-    feats = as_features(features)
-    names = [f.name for f in feats]
-    prepared = df.select(*keep, *[
-        (coerce_category(f.name) if f.kind == "score" else F.col(f.name).cast("string")).alias(f.name)
-        for f in feats])
-    spark = df.sparkSession
-    ship_package(spark)
     # cloudpickle handles models defined in notebooks or functions; the
     # payload size is checked before it is broadcast to every executor
     payload = cloudpickle.dumps(model)
     if len(payload) > MAX_MODEL_BYTES:
         raise ValueError(f"model pickles to {len(payload)} bytes; limit {MAX_MODEL_BYTES}")
-    bmodel = spark.sparkContext.broadcast(payload)
+    bmodel = df.sparkSession.sparkContext.broadcast(payload)
+    return score_with(df, lambda: pickle.loads(bmodel.value), features, keep)
+
+
+def score_with(df: DataFrame, load: Callable[[], object], features: Sequence[Feature | str],
+               keep: Sequence[str] = ()) -> DataFrame:
+    """P2 with a model that each task gets from ``load``."""
+    feats = as_features(features)
+    names = [f.name for f in feats]
+    prepared = df.select(*keep, *[
+        (coerce_category(f.name) if f.kind == "score" else F.col(f.name).cast("string")).alias(f.name)
+        for f in feats])
+    ship_package(df.sparkSession)
     keep_fields = [prepared.schema[k] for k in keep]
     out_schema = T.StructType([*keep_fields, T.StructField("_raw", T.DoubleType())])
 
     def run(batches):
-        m = pickle.loads(bmodel.value)
+        m = load()
         for pdf in batches:
             preds = m.predict(pdf[names])
             if hasattr(preds, "__len__"):

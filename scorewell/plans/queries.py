@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scorewell.plans import q_model, q_ops, q_relational, q_rows, q_serving  # noqa: F401 - registration
+from scorewell.plans import q_model, q_ops, q_relational, q_rows, q_serving, q_state  # noqa: F401 - registration
 from scorewell.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "flagship_calibration"
