@@ -11,9 +11,13 @@ moves a whole column of the edit table in one step of integer operations.
 Items come in blocks of bounded length, each one pass over the documents, so
 what is sent to the tasks does not grow with the benchmark.
 
-Edge cases: null and empty texts hold nothing; items with fewer than
-``min_chars`` characters, null ones included, are in no text; items with the
-same text are each reported; repeated document rows are reported as often as
+Items shorter than ``short`` characters must stand unedited and whole: where
+the item and the text around it both go on with a letter or digit, it would be
+part of a longer word and is not reported.  Scripts written without blanks
+know no such bounds.
+
+Edge cases: null and empty texts hold nothing; items without a word, null ones
+included, are in no text; items with the same text are each reported; repeated document rows are reported as often as
 they occur, repeated items with one id once; empty tables give no rows;
 other columns are not read.
 """
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from unicodedata import east_asian_width
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +36,8 @@ from scorewell.llm.common import two_columns
 from scorewell.session import scratch_path, ship_package
 
 MATCH_SCHEMA = "doc_id long, item_id long, distance int, span_start long, span_end long"
+#: Thai and Lao, Myanmar, Khmer; wide characters are known by their width.
+UNSPACED = (("\u0e00", "\u0eff"), ("\u1000", "\u109f"), ("\u1780", "\u17ff"))
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -52,6 +59,17 @@ def pieces(item: str, k: int) -> Iterator[tuple[int, str]]:
         yield at, item[at:end]
 
 
+def _unspaced(c: str) -> bool:
+    """Whether the script of this character is written without blanks."""
+    return east_asian_width(c) in "WF" or any(lo <= c <= hi for lo, hi in UNSPACED)
+
+
+def _bounded(text: str, lo: int, hi: int) -> bool:
+    """Whether ``text[lo:hi]`` begins and ends with the words around it."""
+    return not any(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+                   and not _unspaced(text[at - 1]) and not _unspaced(text[at]) for at in (lo, hi))
+
+
 def myers(pattern: str, text: str, whole: bool = False) -> list[int]:
     """After each character of ``text``: the least number of edits between
     ``pattern`` and a part of the text that ends there (with ``whole``, and
@@ -85,11 +103,11 @@ def myers(pattern: str, text: str, whole: bool = False) -> list[int]:
 class Benchmark:
     """The items of one block with the automaton of their pieces."""
 
-    def __init__(self, items: list[tuple[int, str]], piece: int):
+    def __init__(self, items: list[tuple[int, str]], piece: int, short: int = 24):
         import ahocorasick
 
-        self.items = items
-        self.k = [budget(len(t), piece) for _, t in items]
+        self.items, self.short = items, short
+        self.k = [budget(len(t), piece) if len(t) >= short else 0 for _, t in items]
         where: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text) in enumerate(items):
             for at, part in pieces(text, self.k[i]):
@@ -106,9 +124,16 @@ class Benchmark:
         occurrence within its budget, the first of equals."""
         if self.empty:
             return
+        # whole short items are reported as they come; for others, the places to verify
         near: dict[int, list[list[int]]] = {}
+        seen: set[int] = set()
         for last, (length, places) in self.found.iter(text):
             for i, at in places:
+                if len(self.items[i][1]) < self.short:
+                    if i not in seen and _bounded(text, last + 1 - length, last + 1):
+                        seen.add(i)
+                        yield i, 0, last + 1 - length, last + 1
+                    continue
                 k = self.k[i]
                 lo = max(last + 1 - length - at - k, 0)
                 hi = min(last + 1 - length - at + len(self.items[i][1]) + k, len(text))
@@ -149,8 +174,8 @@ def _spans(text: str, found: list[tuple[int, int, int, int]]) -> Iterator[tuple[
         yield i, d, start, end
 
 
-def _scan(batches: Iterator[pa.RecordBatch], items, piece: int) -> Iterator[pa.RecordBatch]:
-    bench = Benchmark(items.value, piece)
+def _scan(batches: Iterator[pa.RecordBatch], items, piece: int, short: int) -> Iterator[pa.RecordBatch]:
+    bench = Benchmark(items.value, piece, short)
     for b in batches:
         out: list[tuple] = []
         for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -163,12 +188,12 @@ def _scan(batches: Iterator[pa.RecordBatch], items, piece: int) -> Iterator[pa.R
                 names=["doc_id", "item_id", "distance", "span_start", "span_end"])
 
 
-def _blocks(bench: DataFrame, min_chars: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(bench: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of at most ``block_chars`` characters, or one item."""
     block, held = [], 0
     for r in bench.orderBy("doc_id", "text").toLocalIterator():
         text = normal(r.text)
-        if len(text) < max(min_chars, 1):
+        if not text:
             continue
         if block and held + len(text) > block_chars:
             yield block
@@ -181,7 +206,7 @@ def _blocks(bench: DataFrame, min_chars: int, block_chars: int) -> Iterator[list
 
 def find_benchmark(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text", piece: int = 16,
-                   min_chars: int = 24, block_chars: int = 1 << 20) -> DataFrame:
+                   short: int = 24, block_chars: int = 1 << 20) -> DataFrame:
     """One row per document row and item it holds: doc_id, item_id, distance
     and the span of the best occurrence (characters of the whole text)."""
     spark = docs.sparkSession
@@ -191,10 +216,11 @@ def find_benchmark(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", te
     items = two_columns(bench, item_col, item_text_col).distinct()
     path, some = scratch_path(spark, "benchmark"), False
     for block in _blocks(items.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-                         min_chars, block_chars):
+                         block_chars):
         sent = spark.sparkContext.broadcast(block)
-        found = two.mapInArrow(lambda it, s=sent: _scan(it, s, piece), MATCH_SCHEMA)
+        found = two.mapInArrow(lambda it, s=sent: _scan(it, s, piece, short), MATCH_SCHEMA)
         found.write.mode("append").parquet(path)
+        sent.destroy()
         some = True
     return spark.read.schema(MATCH_SCHEMA).parquet(path) if some else spark.createDataFrame(
         [], MATCH_SCHEMA)
