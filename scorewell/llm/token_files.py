@@ -7,8 +7,8 @@ key order, so the place of any document in the whole stream is the ids of
 earlier shards plus two offsets, and blocks decode independently.
 
 Edge cases: a null or empty text is the end id alone; null keys come first;
-repeated rows are written as often as they occur, in (key, text) order; an
-empty table gives files without blocks; other columns are not read.
+rows of one key are written as often as they occur, in the order of their
+texts' hashes; an empty table gives files without blocks; other columns are not read.
 """
 
 from __future__ import annotations
@@ -73,14 +73,17 @@ def write_token_files(df: DataFrame, path: str, spec: str, end_id: int, id_col:
     """Encode every whole text and write its ids plus ``end_id`` to ``path``.
 
     ``spec`` is the vocabulary's JSON text (``tokens.load_spec``).  One range
-    shuffle of the texts puts them in key order; encoding follows in the same
+    shuffle of the texts puts them in key order (its bounds are found on keys and
+    hashes, so no text comes to the driver, and a hot key is spread); encoding follows in the same
     tasks, so ids are never shuffled.
     """
     ship_package(df.sparkSession)
     (two_columns(df, id_col, text_col)
      .withColumn("doc_id", F.col("doc_id").cast("long"))
-     .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+     .withColumn("hash", F.xxhash64("text"))
+     .repartitionByRange(F.col("doc_id").asc_nulls_first(), "hash")
+     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hash", F.col("text").asc_nulls_first())
+     .select("doc_id", "text")
      .mapInArrow(lambda it: _encode(it, spec, end_id, block_ids), BLOCK_SCHEMA)
      .write.option("compression", "zstd").parquet(path))
 
