@@ -15,7 +15,10 @@
 4. Check collisions.  Two entities of a type may not share a surrogate, and
    no surrogate may be an entity that occurs.  The smaller canonical form
    keeps a contested surrogate, the others draw again with the next attempt.
-5. Write back.  Each mention's surrogate takes the format of that mention.
+5. Write back.  Each mention's surrogate takes the format of that mention; a
+   full name known from a title is also replaced where the same text has it
+   bare.  A bare name whose title stands in another text, and a family name
+   on its own, are not detected.
 
 Only texts with mentions are shuffled, once, by their SHA-256; entities are
 aggregated to distinct rows before any join.
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from scorewell.llm.common import free_name, numbered, place, whole_rows
 from scorewell.session import scratch_path
 
-_EMAIL = r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}"
+_EMAIL = r"(?<![\w\p{L}\p{N}.%+-])[\w\p{L}\p{N}.%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,24}"
 _IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
@@ -44,18 +47,24 @@ _CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 _IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 _KEY = r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)"
 # In any case, with more of a name before (stays in the gap) or after: DB_PASSWORD, secretKey, TOKEN-2.
-_VALUE = (r"(?=[apstAPST])(?i:api[_-]?key|secret|token|password|passwd|pwd)[\w-]*+\s{0,3}[=:]\s{0,3}[\"']?"
-          r"[A-Za-z0-9+/_-]{8,}")
+# Where the keyword goes on in small letters (secretary, tokenizer, tokenhash) the value must have a digit.
+_GIVEN = r"\s{0,3}[=:]\s{0,3}[\"']?"
+_VALUE = (r"(?=[apstAPST])(?i:api[_-]?key|secret|token|password|passwd|pwd)"
+          r"(?:(?:s|[A-Z_\d-][\w-]*+)?" + _GIVEN + r"[A-Za-z0-9+/_-]{8,}"
+          r"|[\w-]*+" + _GIVEN + r"(?=[A-Za-z+/_-]*+\d)[A-Za-z0-9+/_-]{8,})")
 _TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин"),
            "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "госпожа")}
 _TITLE = "(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? "
 _NAME = r"(?<![\w-])" + _TITLE + r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
 
+#: Bounds of a full name that stands without a title.
+_BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+
 #: Every mention, the types tried in this order at each place.
 MENTION = "|".join(f"(?:{p})" for p in (_EMAIL, _IP, _SSN, _PHONE, _IBAN, _KEY, _CARD, _VALUE, _NAME))
 
 #: A text without any of these holds no mention.
-_MAYBE = r"[@\d=:]|" + _TITLE
+_MAYBE = r"[@\d=:]|AKIA|ASIA|" + _TITLE
 
 
 def _type(m: Column) -> Column:
@@ -107,14 +116,17 @@ def _byte(draws: Column, i: Column) -> Column:
 
 
 def _shape(canon: Column, draws: Column) -> Column:
-    """Each digit or Latin letter becomes another of its class, the rest stays."""
+    """Each digit or letter becomes another of its class, the rest stays."""
     def swap(c: Column, i: Column) -> Column:
         n = _byte(draws, i)
         def pick(alphabet: str) -> Column:
             return F.substr(F.lit(alphabet), F.pmod(n, F.lit(len(alphabet))) + 1, F.lit(1))
         return (F.when(c.rlike("[0-9]"), pick("0123456789"))
                 .when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
-                .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c))
+                .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+                .when(c.rlike(r"\p{IsCyrillic}"), pick("абвгдежзиклмнопрстуфхцчшэюя"))
+                .when(c.rlike(r"\p{IsGreek}"), pick("αβγδεζηθικλμνξοπρστυφχψω"))
+                .when(c.rlike(r"\p{L}"), pick("àáâäåçèéêëìíîïñòóôöùúûü")).otherwise(c))
     return F.array_join(F.transform(F.split(canon, ""), swap), "")
 
 
@@ -137,14 +149,15 @@ def _card(canon: Column, draws: Column) -> Column:
     return F.concat(body, last.cast("string"))
 
 
-def _name(kind: Column, canon: Column, draws: Column) -> Column:
-    """Three or four syllables in the script of the name, an ending by gender."""
+def _name(kind: Column, canon: Column, draws: Column, attempt: Column) -> Column:
+    """Three or four syllables in the script of the name, an ending by gender;
+    one syllable more with every fourth attempt, so the names never run out."""
     def word(consonants: str, vowels: str, ends: dict[str, str]) -> Column:
         def syllable(i: Column) -> Column:
             return F.concat(*[F.substr(F.lit(a), F.pmod(_byte(draws, i * 2 + j), F.lit(len(a))) + 1,
                                        F.lit(1)) for j, a in enumerate((consonants, vowels))])
         stem = F.array_join(F.transform(
-            F.sequence(F.lit(0), 2 + _byte(draws, F.lit(100)) % 2), syllable), "")
+            F.sequence(F.lit(0), 2 + _byte(draws, F.lit(100)) % 2 + F.floor(attempt / 4).cast("int")), syllable), "")
         end = F.when(kind == "given_f", ends["f"]).when(kind == "given_m", ends["m"]).otherwise(
             ends["x"])
         return F.initcap(F.concat(stem, end))
@@ -162,7 +175,7 @@ def _surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column
         1 + F.pmod(_byte(draws, i), F.lit(254))).cast("string")), ".")
     return (F.when(kind == "email", email).when(kind == "ip", ip)
             .when(kind == "card", _card(canon, draws))
-            .when(kind.isin("given_m", "given_f", "family"), _name(kind, canon, draws))
+            .when(kind.isin("given_m", "given_f", "family"), _name(kind, canon, draws, attempt))
             .otherwise(_shape(canon, draws)))
 
 
@@ -237,13 +250,23 @@ def replace_entities(df: DataFrame, key: str, text_col: str = "text",
               .agg(F.transform(F.sort_array(F.collect_list(F.struct("part", "surrogate"))),
                                lambda x: x["surrogate"]).alias("new"))
               .select("sha", F.struct("place", F.concat("prefix", _fill(
-                  F.col("mention_kind"), m, F.col("body"), F.col("new"))).alias("s")).alias("r")))
-    per_text = filled.groupBy("sha").agg(F.sort_array(F.collect_list("r")).alias("r"))
-    gaps = F.split("t", MENTION, -1)
+                  F.col("mention_kind"), m, F.col("body"), F.col("new"))).alias("s")).alias("r"),
+                  F.when((F.col("mention_kind") == "name") & (F.size("new") > 1), F.struct(
+                      F.col("body").alias("name"), F.array_join("new", " ").alias("new"))).alias("known")))
+    per_text = filled.groupBy("sha").agg(F.sort_array(F.collect_list("r")).alias("r"),
+                                         F.collect_set("known").alias("known"))
+    between = F.col("between")  # text around mentions, split once
+    gaps = F.transform(between, lambda g: F.aggregate("known", g, lambda text, k: F.regexp_replace(
+        text, F.concat(F.lit(_BEFORE), k["name"], F.lit(_AFTER)), k["new"])))
     new_text = F.array_join(F.flatten(F.zip_with(gaps, F.transform("r", lambda x: x["s"]), lambda g, s: (
         F.array(g, F.coalesce(s, F.lit(""))))), ), "")
+    cut = F.transform(between, lambda g: F.aggregate("known", F.lit(0), lambda n, k: n + ((F.length(g) - F.length(
+        F.regexp_replace(g, F.concat(F.lit(_BEFORE), k["name"], F.lit(_AFTER)), F.lit("")))) / F.length(
+            k["name"])).cast("int")))
+    bare = F.aggregate(cut, F.lit(0), lambda a, b: a + b)
     hit = (rows.where(F.col("sha").isNotNull()).join(per_text, "sha")
-           .select("row", new_text.alias("t"), F.size("found").alias("n")))
+           .select("row", "found", "known", "r", F.split("t", MENTION, -1).alias("between"))
+           .select("row", new_text.alias("t"), (F.size("found") + bare).alias("n")))
     rest = rows.where(F.col("sha").isNull()).select("row", "t", F.lit(0).alias("n"))
     both = hit.unionByName(rest)
     out = [F.col("t").alias(c) if i == at else F.col(f"row.c{i}").alias(c)
