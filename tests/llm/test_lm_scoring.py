@@ -1,4 +1,4 @@
-"""Scores against a plain walk through the automaton, word by word."""
+"""Scores against a plain walk through the automaton of order three, word by word."""
 
 import math
 import zlib
@@ -15,34 +15,57 @@ def words(text):
     return [*(text or "").encode().lower().split(), None]
 
 
+class Plain:
+    """The automaton as dictionaries: states are tuples of words, followed one word at a time."""
+
+    def __init__(self, train):
+        self.documents, self.arcs = len(train), Counter()
+        for t in train:
+            line = ["start", *t]
+            for i in range(1, len(line)):
+                for n in (1, 2, 3):
+                    if n == 1 or i - n + 1 >= 0:
+                        self.arcs[tuple(line[i - n + 1:i + 1])] += 1
+        kinds = [[c for g, c in self.arcs.items() if len(g) == n] for n in (1, 2, 3)]
+        self.n, self.v = sum(kinds[0]), len(kinds[0])
+        n1, n2 = kinds[0].count(1), kinds[0].count(2)
+        self.d = (n1 + 1) / (n1 + 2 * n2 + 2)
+        self.k = [None, *((kinds[n].count(1) + 1) / (len(kinds[n - 1]) + 1) for n in (1, 2))]
+
+    def seen(self, state):
+        return self.documents if state == ("start",) else self.arcs[state]
+
+    def weight(self, state, w):
+        if not state:
+            c = self.arcs[w,]
+            return (c - self.d) / self.n if c else self.d * self.v / self.n
+        c, k = self.seen(state), self.k[len(state)]
+        return (self.arcs[*state, w] + k * self.weight(state[1:], w)) / (c + k)
+
+    def read(self, state, w):
+        """log10 weight of the failure arcs and the arc taken, and the next state."""
+        total, now = 0.0, state
+        while now and not self.arcs[*now, w]:
+            k = self.k[len(now)]
+            total, now = total + math.log10(k / (self.seen(now) + k)), now[1:]
+        after = (*state[-1:], w)
+        while after and not self.seen(after):
+            after = after[1:]
+        return total + math.log10(self.weight(now, w)), after
+
+
 def brute(rows):
     out = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows}
-    train = [words(t) for i, t in rows if not out[i]]
-    one, two = Counter(w for t in train for w in t), Counter(
-        p for t in train for p in zip(["start", *t], t))
-    n, v = sum(one.values()), len(one)
-    n1, n2 = (sum(c == k for c in one.values()) for k in (1, 2))
-    d = (n1 + 1) / (n1 + 2 * n2 + 2)
-    lam = min(max(sum(c for c in two.values() if c > 1) / n, .05), .9) if n else 0
+    plain = Plain([words(t) for i, t in rows if not out[i]])
+    one, n, v = plain.arcs, plain.n, plain.v
     result = []
-
-    def alone(w):
-        return (one[w] - d) / n if one[w] else d * v / n
     for i, t in rows:
-        score, state = 0.0, "start"
-        for w in words(t):
-            if not n:
-                break
-            c = len(train) if state == "start" else one[state]
-            if not c:
-                score += math.log10(alone(w))  # the root
-            elif two[state, w]:
-                score += math.log10(lam * two[state, w] / c + (1 - lam) * alone(w))  # an arc
-            else:
-                score += math.log10(1 - lam) + math.log10(alone(w))  # the failure arc, then the root's
-            state = w
-        base = sum(math.log10((one[w] + 1) / (n + v + 1)) for w in words(t))
-        result.append((i, out[i], len(words(t)), sum(one[w] > 0 for w in words(t)), n, base, score))
+        score, state = 0.0, ("start",)
+        for w in words(t) if n else []:
+            weight, state = plain.read(state, w)
+            score += weight
+        base = sum(math.log10((one[w,] + 1) / (n + v + 1)) for w in words(t))
+        result.append((i, out[i], len(words(t)), sum(one[w,] > 0 for w in words(t)), n, base, score))
     return result
 
 
@@ -95,6 +118,30 @@ def test_unseen_words_keep_a_share(spark):
         got = {r.doc_id: r for r in score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
         assert all(math.isfinite(r.score) for r in got.values())
         same(got.values(), brute(rows))
-    n1, n2, counts = 0, 4, [2, 2, 2, 2]
-    d = (n1 + 1) / (n1 + 2 * n2 + 2)
-    assert sum((c - d) / sum(counts) for c in counts) + d * len(counts) / sum(counts) == pytest.approx(1.0)
+
+
+def test_every_state_sums_to_one():
+    plain = Plain([words(t) for t in ("a b a b c", "a b c a", "", "b b b", "a b a b c")])
+    vocabulary = [g[0] for g in plain.arcs if len(g) == 1]
+    states = {g for g in plain.arcs if len(g) < 3 and g[-1] is not None}
+    for state in [(), ("start",), *states]:
+        assert sum(plain.weight(state, w) for w in [*vocabulary, "never seen"]) == pytest.approx(1.0)
+
+
+def test_rows_read_by_two_tasks_of_one_block(spark, tmp_path):
+    """Blocks cut between tasks, and cut in other places when read again, give the same scores."""
+    rows = [(i, " ".join(f"w{(i * j) % 17}" for j in range(i % 30))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    df.write.option("parquet.block.size", 1024).parquet(str(tmp_path / "t"))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(n) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "1000")
+        again = spark.read.parquet(str(tmp_path / "t"))
+        scored = score_documents(again, block_rows=64)
+        spark.conf.set(names[0], "1700")
+        same(scored.collect(), brute(rows))
+    finally:
+        for n, x in zip(names, old):
+            spark.conf.set(n, x)
