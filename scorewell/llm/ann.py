@@ -5,9 +5,13 @@ and the dimension only, and each coordinate keeps its sign.  A row stores
 the packed signs and one correction scalar, the inner product f of the unit
 vector with its own code (signs / sqrt(d)).
 
-Search: the inner product of a rotated query with a code, divided by f,
-estimates the cosine; with e = epsilon * sqrt((1 - f*f) / (f*f * (d - 1)))
-the true value lies within estimate -+ e but with small probability.  A
+Search: a rotated query is rounded to ``PLANES``-bit numbers, kept as bit
+planes packed like the codes.  Its inner product with a code comes from the
+packed bits alone: the ones of code AND plane, counted a word of 64 bits at a
+time and weighted by the plane.  Divided by f it estimates the cosine; with
+e = epsilon * sqrt((1 - f*f) / (f*f * (d - 1))) the true value lies within
+estimate -+ (e + the most that the rounding can change) but with small
+probability.  A
 batch of codes is searched for a block of queries at once: the k-th largest
 lower bound is what a vector must reach with its upper bound to be reranked
 on the original vectors in double precision.  The k best of each task meet
@@ -36,6 +40,8 @@ from pyspark.sql import functions as F
 from scorewell.llm.common import two_columns
 from scorewell.session import scratch_path, ship_package
 
+#: Bits a rotated query's coordinates are rounded to.
+PLANES = 8
 INDEX_SCHEMA = "id long, dim int, vector array<double>, code binary, scale double"
 FOUND_SCHEMA = "query_id long, id long, score double"
 
@@ -72,13 +78,20 @@ def _encode(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordB
         for d, b in _by_dim(whole):
             turn = turns.setdefault(d, rotation(d, seed))
             turned = _unit(_scaled(_rows(b, "vector"))) @ turn
-            code = np.packbits(turned >= 0, axis=1)
+            code = _words(turned >= 0)
             scale = np.abs(turned).sum(axis=1) / np.sqrt(d)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([c.tobytes() for c in code], pa.binary()),
                  pa.array(scale, pa.float64())], names=["id", "dim", "vector", "code", "scale"])
 
 
+def _words(bits: np.ndarray) -> np.ndarray:
+    """Rows of zeros and ones packed into 64-bit words, filled up with zeros."""
+    packed = np.packbits(bits, axis=-1)
+    fill = [(0, 0)] * (packed.ndim - 1) + [(0, -packed.shape[-1] % 8)]
+    return np.ascontiguousarray(np.pad(packed, fill)).view("<u8")
+
+
 def usable(v: Column) -> Column:
     """True for a non-zero vector of finite components."""
     odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -103,45 +116,61 @@ class _Block:
     def __init__(self, dim: int, ids: np.ndarray, vectors: np.ndarray, k: int, seed: int):
         self.dim, self.ids, self.vectors, self.k = dim, ids, _scaled(vectors), k
         self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
-        self.turned = (_unit(self.vectors) @ rotation(dim, seed)).astype(np.float32)
+        turned = _unit(self.vectors) @ rotation(dim, seed)
+        # turned = low + step * whole numbers, but for a rest of step / 2 at most
+        self.low = turned.min(axis=1)
+        self.step = np.maximum(turned.max(axis=1) - self.low, 1e-12) / (2**PLANES - 1)
+        whole = np.rint((turned - self.low[:, None]) / self.step[:, None]).astype(np.int64)
+        rounded = self.low[:, None] + self.step[:, None] * whole
+        self.total, self.rest = rounded.sum(axis=1), np.abs(turned - rounded).sum(axis=1)
+        self.planes = np.stack([_words(whole >> j & 1) for j in range(PLANES)], axis=1)
         self.best: list[list[tuple[float, int]]] = [[] for _ in ids]  # (-score, id), ascending
 
+    def product(self, q: int, codes: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        """Inner products of the rounded query with codes of signs, from packed bits."""
+        inside = np.zeros(codes.shape[1], np.int64)
+        for j, plane in enumerate(self.planes[q]):
+            for mine, word in zip(codes, plane):
+                inside += np.bitwise_count(mine & word).astype(np.int64) << j
+        return 2 * (self.low[q] * ones + self.step[q] * inside) - self.total[q]
+
     def search(self, b: pa.RecordBatch, epsilon: float) -> None:
         d, k = self.dim, self.k
         row_ids = np.asarray(b.column(b.schema.get_field_index("id")))
         x = _scaled(_rows(b, "vector"))
         scale = np.asarray(b.column(b.schema.get_field_index("scale")))
-        bits = np.frombuffer(b"".join(b.column(b.schema.get_field_index("code")).to_pylist()), np.uint8)
-        signs = np.unpackbits(bits.reshape(len(row_ids), -1), axis=1, count=d).astype(np.float32) * 2 - 1
+        codes = np.frombuffer(b"".join(b.column(b.schema.get_field_index("code")).to_pylist()), "<u8")
+        codes = np.ascontiguousarray(codes.reshape(len(row_ids), -1).T)  # one row a word
+        ones = np.bitwise_count(codes).sum(axis=0, dtype=np.int64)
         own = np.sqrt((x * x).sum(axis=1))
-        error = 1e-5 + epsilon * np.sqrt(
+        far = np.sqrt(d) * scale
+        bound = 1e-5 + epsilon * np.sqrt(
             np.maximum(1 - scale * scale, 0) / (scale * scale * max(d - 1, 1)))
         different, group = np.unique(row_ids, return_inverse=True)
-        for lo in range(0, len(self.ids), 256):
-            estimate = self.turned[lo:lo + 256] @ signs.T / (np.sqrt(d) * scale)
-            for q, est in zip(range(lo, lo + len(estimate)), estimate):
-                other, best = row_ids != self.ids[q], self.best[q]
-                low = np.where(other, est - error, -np.inf)
-                if len(different) < len(row_ids):  # a repeated id is one candidate
-                    by_id = np.full(len(different), -np.inf)
-                    np.maximum.at(by_id, group, low)
-                    low = by_id
-                need = np.partition(low, -k)[-k] if len(low) > k else -np.inf
-                if len(best) == k:
-                    need = max(need, -best[-1][0] - 1e-9)
-                keep = np.flatnonzero(other & (est + error >= need))
-                # sums row by row: equal vectors get equal scores wherever they stand
-                score = (x[keep] * self.vectors[q]).sum(axis=1) / (own[keep] * self.norms[q])
-                if len(keep) > 4 * k:  # ties of the k-th stay in
-                    top = score >= np.partition(score, -k)[-k] if len(
-                        different) == len(row_ids) else score >= -np.inf
-                    keep, score = keep[top], score[top]
-                met: dict[int, float] = {}
-                for s, i in sorted([*best, *zip((-score).tolist(), row_ids[keep].tolist())]):
-                    if len(met) == k:
-                        break
-                    met.setdefault(i, s)
-                self.best[q] = [(s, i) for i, s in met.items()]
+        for q in range(len(self.ids)):
+            est, error = self.product(q, codes, ones) / far, bound + self.rest[q] / far
+            other, best = row_ids != self.ids[q], self.best[q]
+            low = np.where(other, est - error, -np.inf)
+            if len(different) < len(row_ids):  # a repeated id is one candidate
+                by_id = np.full(len(different), -np.inf)
+                np.maximum.at(by_id, group, low)
+                low = by_id
+            need = np.partition(low, -k)[-k] if len(low) > k else -np.inf
+            if len(best) == k:
+                need = max(need, -best[-1][0] - 1e-9)
+            keep = np.flatnonzero(other & (est + error >= need))
+            # sums row by row: equal vectors get equal scores wherever they stand
+            score = (x[keep] * self.vectors[q]).sum(axis=1) / (own[keep] * self.norms[q])
+            if len(keep) > 4 * k:  # ties of the k-th stay in
+                top = score >= np.partition(score, -k)[-k] if len(
+                    different) == len(row_ids) else score >= -np.inf
+                keep, score = keep[top], score[top]
+            met: dict[int, float] = {}
+            for s, i in sorted([*best, *zip((-score).tolist(), row_ids[keep].tolist())]):
+                if len(met) == k:
+                    break
+                met.setdefault(i, s)
+            self.best[q] = [(s, i) for i, s in met.items()]
 
     def rows(self) -> Iterator[tuple[int, int, float]]:
         for q, best in zip(self.ids.tolist(), self.best):

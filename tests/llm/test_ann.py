@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from scorewell.llm.ann import build_index, nearest, rotation
+from scorewell.llm.ann import _Block, _words, build_index, nearest, rotation
 from scorewell.session import scratch_path
 
 SF = "/root/testdata/sf0.01"
@@ -38,6 +38,21 @@ def test_rotation_is_orthogonal():
     assert np.allclose(r @ r.T, np.eye(17))
 
 
+def test_products_from_packed_bits():
+    """Equal to the product of the rounded query with the signs, and near that of the query itself."""
+    rng = np.random.default_rng(5)
+    for d in (1, 7, 64, 100, 130):
+        ids, queries, signs = np.arange(4), rng.standard_normal((4, d)), rng.integers(0, 2, (50, d))
+        block = _Block(d, ids, queries, 5, 7)
+        codes = np.ascontiguousarray(_words(signs).T)
+        turned = queries / np.linalg.norm(queries, axis=1, keepdims=True) @ rotation(d)
+        for q in range(4):
+            got = block.product(q, codes, signs.sum(axis=1))
+            exact = (signs * 2 - 1) @ turned[q]
+            assert np.all(np.abs(got - exact) <= block.rest[q] + 1e-9)
+            assert block.rest[q] <= d * block.step[q] / 2 + 1e-9
+
+
 def test_recall_on_the_whole_table(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     want = brute([(r.vec_id, r.embedding) for r in df.collect()], lambda i: i % 50 == 0, 5)
