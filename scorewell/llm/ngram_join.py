@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import byte_words, two_columns
+from scorewell.llm.common import byte_words, free_name, numbered, place, with_row_key
 from scorewell.llm.graph import components
 from scorewell.session import scratch_path, ship_package
 
@@ -110,8 +110,8 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, t: Fraction, limit: int) ->
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
              pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                      pa.array(np.concatenate([*low, np.empty(0, np.int64)]), pa.int64()))],
-            names=["doc_id", "n", "class", "low"])
+                                      pa.array(np.concatenate([*low, np.empty(0, np.int64)]), pa.int64())), b.column(2)],
+            names=["doc_id", "n", "class", "low", "row"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -119,10 +119,9 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
         own, sizes, raw = [], [], []
         for c, text in zip(*(c.to_pylist() for c in b.columns)):
             s = shingle_set(text, n)
-            if len(s) and class_id(s) == c:  # rows that only share the id drop out
-                own.append(c)
-                sizes.append(len(s))
-                raw.append(s.tobytes())
+            own.append(c)
+            sizes.append(len(s))
+            raw.append(s.tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(own, pa.int64()), pa.array(sizes, pa.int64()), pa.array(raw, pa.binary())],
             names=["class", "n", "shingles"])
@@ -226,12 +225,15 @@ def _verify(table: pa.Table, t: Fraction) -> pa.Table:
 
 
 def ngram_components(df: DataFrame, n: int = 3, threshold: float = 0.9, id_col: str = "doc_id",
-                     text_col: str = "text", block: int = 1024, unit_shingles: int = 1 << 20) -> DataFrame:
+                     text_col: str = "text", block: int = 1024, unit_shingles: int = 1 << 20,
+                     row_col: str | None = None) -> DataFrame:
     """doc_id, n_shingles, class_id (null for an empty set) and component_id
     (smallest doc_id reachable by links) of every row of ``df``.
 
     A task verifies at most two blocks of ``block`` classes, and about
     ``unit_shingles`` shingles if its sets allow; neither changes the result.
+    ``row_col``: a number of its own for each row, the same in every scan;
+    without it rows are told apart by file and place (``common.with_row_key``).
     """
     t = Fraction(str(threshold))
     if not 0 < t <= 1:
@@ -239,22 +241,26 @@ def ngram_components(df: DataFrame, n: int = 3, threshold: float = 0.9, id_col:
     spark = df.sparkSession
     ship_package(spark)
     root = scratch_path(spark, "ngram_join")
-    docs = two_columns(df, id_col, text_col)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = df if row_col else with_row_key(df, free_name("row", df.columns))
+    row = place(df, row_col) if row_col else len(df.columns)
+    docs = numbered(keyed).select(F.col(f"c{place(df, id_col)}").cast("long").alias("doc_id"),
+                                  F.col(f"c{place(df, text_col)}").alias("text"),
+                                  F.col(f"c{row}").cast("long").alias("row"))
     # enough shingles below the limit to see that a class is too much on its own
     limit = min(int(float(1 - t) * 1.4 * 2**63), 2**63 - 1)
     docs.mapInArrow(lambda it: _sign(it, n, t, limit),
-                    "doc_id long, n long, class long, low array<long>").write.parquet(f"{root}/signed")
+                    "doc_id long, n long, class long, low array<long>, row long").write.parquet(f"{root}/signed")
     signed = spark.read.parquet(f"{root}/signed")
     full = signed.where("n > 0")
     tokens = full.select("class", F.explode("low").alias("token"))
     alone = (tokens.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b"))
              .where("a = b").groupBy(F.col("a").alias("class")).agg(F.count(F.lit(1)).alias("own")))
-    classes = full.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    # one row's text stands for a class, whatever its id
+    classes = full.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+                                        F.min("row").alias("row"))
     live = (classes.join(alone, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
             .where(F.col("n") - F.col("own") >= _least(t, F.col("n"))))
-    live = live.withColumnRenamed("doc_id", "rep")
-    texts = live.join(docs, live["rep"].eqNullSafe(docs["doc_id"])).select("class", "text")
+    texts = live.select("class", "row").join(docs.select("row", "text"), "row").select("class", "text")
     texts.mapInArrow(lambda it: _sets(it, n), "class long, n long, shingles binary").write.parquet(f"{root}/sets")
     sets = spark.read.parquet(f"{root}/sets")
     weight = sets.agg(F.sum("n")).first()[0] or 0
@@ -267,7 +273,7 @@ def ngram_components(df: DataFrame, n: int = 3, threshold: float = 0.9, id_col:
     answers = spark.read.parquet(f"{root}/answers")
     (dealt.groupBy("block").cogroup(answers.groupBy("block"))
      .applyInArrow(lambda a, b: _prefixes(a, b, t), "class long, n long, prefix array<long>")
-     .distinct().withColumn("grp", F.xxhash64("n", "prefix")).write.parquet(f"{root}/live"))
+     .withColumn("grp", F.xxhash64("n", "prefix")).write.parquet(f"{root}/live"))
     live = spark.read.parquet(f"{root}/live")
     # sizes of a linked pair differ by a factor of t at most: the same step of sizes or the next
     step = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(t) if t < 1 else 1e-9) + 1e-6)

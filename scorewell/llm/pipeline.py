@@ -50,7 +50,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated id does no harm."""
     key = free_name("row", docs.columns)
     rows = with_row_key(docs, key)
-    found = ngram_components(rows, n=5, threshold=0.8, id_col=key).where("n_shingles > 0").select(
+    found = ngram_components(rows, n=5, threshold=0.8, id_col=key, row_col=key).where("n_shingles > 0").select(
         F.col("doc_id").alias("at"), F.col("component_id").alias("group"))
     found = found.join(rows.select(F.col(key).alias("at"), F.col("doc_id").alias("id")), "at")
     first = found.groupBy("group").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))

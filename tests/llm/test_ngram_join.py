@@ -75,6 +75,18 @@ def test_edges(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_many_rows_of_one_id(spark):
+    """A row's text is read for its own class only, however many rows share its id, null included."""
+    rows = [(None if i % 2 else 7, f"t{i // 4} " + " ".join(f"w{(i // 4 * 31 + j) % 997}" for j in range(40)))
+            for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_components(df).select("doc_id", "n_shingles", "component_id").collect()
+    same = lambda a, b: sorted(map(str, a)) == sorted(map(str, b))
+    assert same(map(tuple, got), brute(rows))
+    own = ngram_components(df.selectExpr("*", "monotonically_increasing_id() as k"), row_col="k")
+    assert same(map(tuple, own.select("doc_id", "n_shingles", "component_id").collect()), brute(rows))
+
+
 def test_empty_table(spark):
     assert ngram_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
