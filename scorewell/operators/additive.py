@@ -11,12 +11,13 @@ task, so both stay tables:
   is an exact least-squares step on its block, so the squared error never
   rises and the fixed point is the least-squares fit; there the mean
   prediction of every level is its mean label.
-* **Score** by one unpivot -> join -> sum: rows become (row, feature, value),
-  meet the coefficient table, and are summed per row.
+* **Score** by one join a feature: a row stays one row, meets the levels of one
+  feature after the other and adds up their coefficients, so rows are never
+  multiplied, nor sorted but for a feature of many levels.
 
-Joins are left to Spark: a feature of few levels is broadcast, one of many is
-shuffled, and adaptive execution splits a hot level.  The driver sees one
-number a step.
+A feature of few levels is broadcast, one of many is shuffled, and adaptive
+execution splits a hot level.  The driver sees one number a step, and two a
+feature in scoring.
 
 The coefficient table has feature, value, coefficient.  A row with a null
 value is the slot of null and unseen levels; the intercept is a feature of its
@@ -30,7 +31,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.operators.encoding import Feature, as_features, indexer_of, preprocessor_features
@@ -38,6 +39,9 @@ from scorewell.operators.gram import COEFFICIENTS, INTERCEPT
 from scorewell.operators.regression import PREDICTION
 from scorewell.session import scratch_path
 
+#: Levels of a feature that are sent to all tasks in scoring, at most.
+FEW_LEVELS = 1 << 15
+
 
 def fit_additive(df: DataFrame, features: Sequence[Feature | str], label: str, tol: float = 1e-8,
                  max_sweeps: int = 100) -> DataFrame:
@@ -105,31 +109,33 @@ def score_additive(df: DataFrame, coefficients: DataFrame, features: Sequence[Fe
     """``keep``, prediction and n_unseen of every row.
 
     A null or unseen level takes its feature's null slot, 0 where it has
-    none, and counts in ``n_unseen``.  The kept columns travel once per row,
-    with its first feature.
+    none, and counts in ``n_unseen``.
     """
     feats = as_features(features)
-    kept = F.struct(F.lit(1).alias("_row"), *[F.col("`" + c.replace("`", "``") + "`").alias(f"k{i}")
-                                              for i, c in enumerate(keep)])
-    rows = df.select(F.monotonically_increasing_id().alias("at"), kept.alias("kept"),
-                     F.array(F.struct(F.lit(INTERCEPT).alias("feature"), F.lit(None).cast("string").alias("value")),
-                             *[F.struct(F.lit(f.name).alias("feature"), F.expr(f.coerce_sql()).alias("value"))
-                               for f in feats]).alias("terms"))
-    long = rows.select("at", "kept", F.posexplode("terms").alias("pos", "term")).select(
-        "at", F.when(F.col("pos") == 0, F.col("kept")).alias("kept"), "term.feature", "term.value")
-    known = coefficients.where("value is not null").select(
-        "feature", F.col("value").alias("key"), F.lit(False).alias("none"), F.col("coefficient").alias("own"))
+    path = scratch_path(df.sparkSession, "coefficients")
+    coefficients.write.parquet(path)
+    coefficients = df.sparkSession.read.parquet(path)
+    # one row for each feature of the list comes to the driver
+    known = {r.feature: r for r in coefficients.where(F.col("feature").isin([INTERCEPT, *[f.name for f in feats]])).groupBy(
+        "feature").agg(F.count("value").alias("levels"), F.sum(F.when(F.col("value").isNull(), F.col("coefficient"))).alias("slot")).collect()}
+
+    def slot(name: str) -> Column:
+        return F.lit(known[name].slot if name in known and known[name].slot is not None else 0.0)
+    kept = [f"k{i}" for i in range(len(keep))]
+    at = F.monotonically_increasing_id().cast("string")
     # a null value gets a key of its own that no level has, so nulls do not meet in one task
-    long = long.select("at", "kept", "feature", F.coalesce("value", F.col("at").cast("string")).alias("key"),
-                       F.col("value").isNull().alias("none"))
-    # one row for each feature of the list above
-    slots = coefficients.where(F.col("value").isNull() & F.col("feature").isin([INTERCEPT, *[f.name for f in feats]]))
-    slots = slots.groupBy("feature").agg(F.sum("coefficient").alias("slot"))
-    met = long.join(known, ["feature", "key", "none"], "left")
-    met = met.join(F.broadcast(slots), "feature", "left")
-    out = met.groupBy("at").agg(
-        F.first("kept", ignorenulls=True).alias("kept"),
-        F.sum(F.coalesce("own", "slot", F.lit(0.0))).alias("total"),
-        F.sum(F.when(F.col("own").isNull() & (F.col("feature") != INTERCEPT), 1).otherwise(0)).cast("int").alias("unseen"))
-    return out.select(*[F.col(f"kept.k{i}").alias(c) for i, c in enumerate(keep)],
-                      F.col("total").alias(prediction_col), F.col("unseen").alias("n_unseen"))
+    rows = df.select(*[F.col("`" + c.replace("`", "``") + "`").alias(k) for c, k in zip(keep, kept)], at.alias("at"),
+                     *[F.expr(f.coerce_sql()).alias(f"f{i}") for i, f in enumerate(feats)],
+                     slot(INTERCEPT).alias("total"), F.lit(0).alias("unseen"))
+    for i, f in enumerate(feats):
+        levels = coefficients.where((F.col("feature") == f.name) & F.col("value").isNotNull()).groupBy(
+            F.col("value").alias("key"), F.lit(False).alias("none")).agg(F.sum("coefficient").alias("own"))
+        if f.name not in known or known[f.name].levels <= FEW_LEVELS:
+            levels = F.broadcast(levels)
+        value, later = F.col(f"f{i}"), [f"f{j}" for j in range(i + 1, len(feats))]
+        rows = rows.withColumn("none", value.isNull()).withColumn("key", F.coalesce(value, "at")).join(
+            levels, ["key", "none"], "left").select(
+                *kept, "at", *later, (F.col("total") + F.coalesce(F.col("own"), slot(f.name))).alias("total"),
+                (F.col("unseen") + F.col("own").isNull().cast("int")).alias("unseen"))
+    return rows.select(*[F.col(k).alias(c) for c, k in zip(keep, kept)], F.col("total").alias(prediction_col),
+                       F.col("unseen").alias("n_unseen"))

@@ -92,7 +92,7 @@ SELECT count(*) AS n, round(sqrt(sum((y - mu) * (y - mu)) / count(*)), 3) AS rms
        round(1 - sum((y - mu) * (y - mu)) / (var_pop(y) * count(*)), 6) AS r2, CAST(0 AS BIGINT) AS n_unseen
 FROM t JOIN m ON t.g = m.g""")
 def score_relational(spark, sf_dir):
-    """Coefficients of a Gram fit, one unpivot -> join -> sum over all rows."""
+    """Coefficients of a Gram fit, one join a feature over all rows."""
     li = table(spark, sf_dir, "lineitem")
     feats = [Feature("l_linenumber")]
     fit = fit_gram(gram(li, feats, "l_extendedprice"))

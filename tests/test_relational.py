@@ -130,3 +130,15 @@ def test_wide_models_are_refused(spark):
     df = spark.range(G.MAX_WIDTH + 5).select("id", F.lit(1.0).alias("y"))
     with pytest.raises(Exception, match="operators.additive"):
         G.fit_gram(G.gram(df, [Feature("id", "category")], "y")).collect()
+
+
+def test_scored_rows_are_neither_multiplied_nor_sorted(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), (None, 4.0), ("c", 8.0)], "f string, y double")
+    fit = spark.createDataFrame([("(intercept)", None, 1.0), ("f", "a", 2.0), ("f", "b", 3.0), ("f", None, 0.5)],
+                                "feature string, value string, coefficient double")
+    got = score_additive(df, fit, [Feature("f", "category")], ["f", "y"])
+    assert {(r.f, r.y, r.prediction, r.n_unseen) for r in got.collect()} == {
+        ("a", 1.0, 3.0, 0), ("b", 2.0, 4.0, 0), (None, 4.0, 1.5, 1), ("c", 8.0, 1.5, 1)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
