@@ -39,10 +39,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import SPACE_CLASS, numbered, place, whole_rows
+from scorewell.llm.common import SPACE_CLASS, numbered, place
 from scorewell.session import scratch_path, ship_package
 
 ORDER = 5
@@ -178,9 +179,12 @@ def fit(texts: DataFrame, shards: int = 8) -> Model | None:
 
 
 class _Measurer:
-    """Measures of texts; words met before keep theirs."""
+    """Measures of texts; words met before keep theirs, up to ``keep`` of them.
 
-    def __init__(self, models: tuple[Model, Model | None], keep: int = 800_000):
+    Arrow splits texts and numbers their distinct words, so Python holds one
+    text of each word, not of each occurrence."""
+
+    def __init__(self, models: tuple[Model, Model | None], keep: int = 400_000):
         self.models, self.keep = models, keep
         self._clear()
 
@@ -196,21 +200,22 @@ class _Measurer:
         self.contrast = np.concatenate([self.contrast, bad - good])
         self.size = np.concatenate([self.size, [len(w) + 1.0 for w in words]])
 
-    def measure(self, texts: list[str | None]) -> list[tuple]:
-        cut = [_words(t) for t in texts]
+    def measure(self, texts: pa.Array) -> list[tuple]:
+        ends, at, words = _words(texts)
         if len(self.place) > self.keep:
             self._clear()
-        new = [w for w in dict.fromkeys(w for c in cut for w in c) if w not in self.place]
-        for lo in range(0, len(new), 50_000):
-            self._learn(new[lo:lo + 50_000])
+        new = [w for w in words if w not in self.place]
+        for lo in range(0, len(new), 20_000):
+            self._learn(new[lo:lo + 20_000])
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[at]
         out = []
-        for c in cut:
-            if not c:
+        for lo, hi in zip(ends, ends[1:]):
+            if lo == hi:
                 out.append((None, None))
                 continue
-            at = np.fromiter(map(self.place.__getitem__, c), np.int64, len(c))
-            top = float(self.contrast[at].max())
-            out.append((float(-self.good[at].sum() / self.size[at].sum()), None if np.isnan(top) else top))
+            one = at[lo:hi]
+            top = float(self.contrast[one].max())
+            out.append((float(-self.good[one].sum() / self.size[one].sum()), None if np.isnan(top) else top))
         return out
 
 
@@ -224,9 +229,15 @@ def _measurer(models: tuple) -> _Measurer:
     return _WARM[1]
 
 
-def _words(text: str | None) -> list[str]:
-    """Words of a text, white space being ASCII white space."""
-    return [w.decode() for w in text.encode().split()] if text else []
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Where each text's words begin and the last one's end, the words as
+    numbers, and what the numbers stand for; white space being ASCII white space."""
+    cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    flat = cut.flatten()
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # white space at an end leaves an empty word
+    ends = np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])]
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    return ends, coded.indices.to_numpy(), coded.dictionary.to_pylist()
 
 
 def _measure(batches: Iterator[pa.RecordBatch], models, text_at: int,
@@ -235,7 +246,7 @@ def _measure(batches: Iterator[pa.RecordBatch], models, text_at: int,
     for b in batches:
         for lo in range(0, b.num_rows, 1024):
             cut = b.slice(lo, 1024)
-            got = measurer.measure(cut.column(text_at).to_pylist())
+            got = measurer.measure(cut.column(text_at))
             yield pa.RecordBatch.from_arrays(
                 [*(cut.column(i) for i in keep), pa.array([g[0] for g in got], pa.float64()),
                  pa.array([g[1] for g in got], pa.float64())],
@@ -329,9 +340,8 @@ def keep_good(df: DataFrame, labels: DataFrame, text_col: str = "text", lang_col
     model, _ = fit_classifier(df, labels, text_col=text_col, lang_col=lang_col, **options)
     if model is None:
         return df
-    rows = numbered(df).select(whole_rows(df).alias("row"), F.col(f"c{place(df, lang_col)}").cast("string").alias("lang"),
-                               F.col(f"c{place(df, text_col)}").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    judged = model.judged(model.measured(rows, 2, [0, 1], f"row {kind}, lang string"))
-    return judged.where(~F.col("rejected")).select(
-        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(df.columns)])
+    # the text goes to the tasks once, with its row
+    rows = numbered(df).withColumn("lang", F.col(f"c{place(df, lang_col)}").cast("string"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    judged = model.judged(model.measured(rows, place(df, text_col), list(range(len(rows.columns))), fields))
+    return judged.where(~F.col("rejected")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

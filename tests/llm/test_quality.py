@@ -1,12 +1,14 @@
 """The Kneser-Ney models against a plain one, and held-out accuracy."""
 
 import math
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from scorewell.llm.quality import ORDER, fit, judge_documents, keep_good
+from scorewell.llm.quality import ORDER, _measure, _words, fit, judge_documents, keep_good
 
 SF = "/root/testdata/sf0.1"
 
@@ -100,3 +102,32 @@ def test_op5_covers_the_whole_table(spark):
     got = QUERIES["op5_quality"](spark, small)
     assert got.count() == spark.read.parquet(f"{small}/documents.parquet").count()
     assert got.where(F.col("perplexity").isNull()).count() == 0
+
+
+def test_words_of_arrow_are_those_of_bytes_split():
+    texts = [" a\tb\x0b\x0c c \r\n", "", None, "\x1c x\x85y \xa0", "one", "  ", "a a"]
+    ends, at, words = _words(pa.array(texts))
+    got = [[words[i] for i in at[lo:hi]] for lo, hi in zip(ends, ends[1:])]
+    assert got == [[w.decode() for w in (t or "").encode().split()] for t in texts]
+    ends, at, words = _words(pa.array([], pa.string()))
+    assert list(ends) == [0] and not len(at) and not words
+
+
+def test_a_worker_holds_a_word_once(spark):
+    class Sent:
+        value = (fit(spark.createDataFrame([("some words",)], "text string")), None)
+    b = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["words unseen " * 400_000])], names=["doc_id", "text"])
+    tracemalloc.start()
+    out = list(_measure(iter([b]), Sent, 1, [0]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out[0].num_rows == 1 and peak < 60e6
+
+
+def test_the_text_goes_to_the_tasks_once(spark):
+    df = spark.createDataFrame([(i, "en", f"good text {i}", True) for i in range(60)],
+                               "doc_id long, lang string, text string, other boolean")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = keep_good(df, labels)
+    assert got.columns == df.columns and got.count() <= 60
+    assert "struct(" not in got._jdf.queryExecution().analyzed().toString()
