@@ -13,10 +13,11 @@ task, so both stay tables:
   prediction of every level is its mean label.
 * **Score** by one join a feature: a row stays one row, meets the levels of one
   feature after the other and adds up their coefficients, so rows are never
-  multiplied, nor sorted but for a feature of many levels.
+  multiplied nor sorted.
 
-A feature of few levels is broadcast, one of many is shuffled, and adaptive
-execution splits a hot level.  The driver sees one number a step, and two a
+In scoring, a feature of few levels is broadcast, and one of many is shuffled
+and hashed by partition; adaptive execution splits a hot level.  The joins of
+the fit are left to Spark.  The driver sees one number a step, and two a
 feature in scoring.
 
 The coefficient table has feature, value, coefficient.  A row with a null
@@ -127,12 +128,16 @@ def score_additive(df: DataFrame, coefficients: DataFrame, features: Sequence[Fe
     rows = df.select(*[F.col("`" + c.replace("`", "``") + "`").alias(k) for c, k in zip(keep, kept)], at.alias("at"),
                      *[F.expr(f.coerce_sql()).alias(f"f{i}") for i, f in enumerate(feats)],
                      slot(INTERCEPT).alias("total"), F.lit(0).alias("unseen"))
-    for i, f in enumerate(feats):
+    # features of many levels come last, when rows have shed the others
+    few = {i for i, f in enumerate(feats) if f.name not in known or known[f.name].levels <= FEW_LEVELS}
+    order = sorted(range(len(feats)), key=lambda i: i not in few)
+    for done, i in enumerate(order, 1):
+        f = feats[i]
         levels = coefficients.where((F.col("feature") == f.name) & F.col("value").isNotNull()).groupBy(
             F.col("value").alias("key"), F.lit(False).alias("none")).agg(F.sum("coefficient").alias("own"))
-        if f.name not in known or known[f.name].levels <= FEW_LEVELS:
-            levels = F.broadcast(levels)
-        value, later = F.col(f"f{i}"), [f"f{j}" for j in range(i + 1, len(feats))]
+        # hashed are the levels, each of them once, so rows are not sorted
+        levels = levels.hint("broadcast" if i in few else "shuffle_hash")
+        value, later = F.col(f"f{i}"), [f"f{j}" for j in order[done:]]
         rows = rows.withColumn("none", value.isNull()).withColumn("key", F.coalesce(value, "at")).join(
             levels, ["key", "none"], "left").select(
                 *kept, "at", *later, (F.col("total") + F.coalesce(F.col("own"), slot(f.name))).alias("total"),

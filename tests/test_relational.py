@@ -142,3 +142,19 @@ def test_scored_rows_are_neither_multiplied_nor_sorted(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Expand" not in plan
     assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_levels_are_hashed_and_rows_not_sorted(spark, monkeypatch):
+    from scorewell.operators import additive
+    df = spark.createDataFrame([("a", "x", 1), (None, "x", 2), ("b", None, 3), ("a", "z", 4), ("1", "x", 5)],
+                               "f string, g string, id int")
+    fit = spark.createDataFrame([("(intercept)", None, 1.0), ("f", "a", 2.0), ("f", "b", 3.0), ("f", None, 0.5),
+                                 ("g", "x", 10.0)], "feature string, value string, coefficient double")
+    feats = [Feature("f", "category"), Feature("g", "category")]
+    want = {(1, 13.0, 0), (2, 11.5, 1), (3, 4.0, 1), (4, 3.0, 1), (5, 11.5, 1)}
+    for few in (0, 1, 10):
+        monkeypatch.setattr(additive, "FEW_LEVELS", few)
+        got = score_additive(df, fit, feats, ["id"])
+        assert {tuple(r) for r in got.collect()} == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and ("ShuffledHashJoin" in plan) == (few < 10)
