@@ -15,12 +15,15 @@ it, whether or not that one is itself removed.
    matches; this one keeps posting lists short.
 3. Prefix filter: two matching sets share a token among the first
    n - ceil(t * n) + 1 of each.  Only tokens of two lines or more go on.
-4. Length and positional filters, and 64 parities of each token set, drop
-   pairs that cannot reach the overlap which the threshold asks for.
+4. Length and positional filters, and 64 parities of each token set (128 of
+   sets of ``LONG`` tokens or more), drop pairs that cannot reach the overlap
+   which the threshold asks for.
 5. Each line is verified first against the earliest line of its posting
    lists, which settles most of a large group of near copies; only lines
    still there are joined with the other earlier lines of their lists.
 6. Verification compares the words themselves, so hashes decide nothing.
+7. Each step is written and its shuffle files go before the next one starts;
+   posting lists are joined in ``PASSES`` passes, by hash of the token.
 
 Edge cases: null and empty texts pass unchanged; lines of fewer than
 ``min_tokens`` tokens are neither removed nor matched (1 leaves out lines
@@ -34,16 +37,21 @@ input pass, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewell.llm.common import LOWER, UPPER, free_name, numbered, place, whole_rows
-from scorewell.session import scratch_path
+from scorewell.session import scratch_path, shuffles_removed
 
 #: Cells in which words are counted.
 CELLS = 1 << 16
+#: Passes over the posting lists; a part of them lies on disk at a time.
+PASSES = 2
+#: Token sets of this size get more parities.
+LONG = 48
 
 
 def _low(line: Column) -> Column:
@@ -95,47 +103,67 @@ def duplicate_lines(lines: DataFrame, threshold: float = 0.8, min_tokens: int =
     and not null, lines are told apart and ordered by (doc_id, row, line_no),
     and so are those given back.
     """
-    t = Fraction(str(threshold))
     spark = lines.sparkSession
-    root = scratch_path(spark, "line_dedup")
     key = ["doc_id", *[c for c in lines.columns if c == "row"], "line_no"]
     lines = lines.select(F.struct(*key).alias("at"), _low(F.col("line")).alias("low"))
     same = [F.xxhash64("low").alias("f1"), F.xxhash64("low", F.lit(1)).alias("f2")]
+    with shuffles_removed(spark):
+        first, gone = _matched(lines, same, Fraction(str(threshold)), min_tokens)
+    # back to all lines: those equal to an earlier one, and first ones that are matched
+    marked = (first.select("f1", "f2", F.col("at").alias("first"), "copies")
+              .join(gone.select(F.col("at").alias("first"), F.lit(True).alias("gone")), "first", "left")
+              .where("gone or copies > 1"))
+    return (lines.select("at", *same).join(marked, ["f1", "f2"])
+            .where("gone or not (at <=> first)").select("at.*"))
+
+
+def _matched(lines: DataFrame, same: list[Column], t: Fraction, min_tokens: int) -> tuple[DataFrame, DataFrame]:
+    """The first of equal lines, and those of them that an earlier one matches; both written."""
+    spark = lines.sparkSession
+    root = scratch_path(spark, "line_dedup")
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
     ranks = word_ranks(lines)
     keyed = lines.select("at", *same, _tokens(F.col("low")).alias("tokens"))
     keyed = keyed.where(F.size("tokens") >= min_tokens).withColumn("n", F.size("tokens"))
     keys = F.sort_array(F.transform("tokens", lambda w: _order_key(w, ranks)))
     keyed = keyed.select("at", "f1", "f2", "n", keys.alias("keys"))
-    keyed = keyed.select("at", "f1", "f2", "n", _bits(F.col("keys")).alias("bits"), F.slice(
+    half = F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) != 0)
+    keyed = keyed.select("at", "f1", "f2", "n", _bits(F.col("keys")).alias("bits"), F.when(
+        F.col("n") >= LONG, _bits(half)).alias("half"), F.slice(
         "keys", F.lit(1), (F.col("n") - _least(t, F.col("n")) + 1).cast("int")).alias("prefix"))
-    first = keyed.groupBy("f1", "f2").agg(F.min(F.struct("at", "n", "bits", "prefix")).alias("x"),
+    first = keyed.groupBy("f1", "f2").agg(F.min(F.struct("at", "n", "bits", "half", "prefix")).alias("x"),
                                           F.count(F.lit(1)).alias("copies"))
-    first.select("f1", "f2", "x.at", "x.n", "x.bits", "x.prefix", "copies").write.parquet(f"{root}/first")
-    first = spark.read.parquet(f"{root}/first")
-
-    def posts(lines_left: DataFrame) -> DataFrame:
-        return lines_left.select("at", "n", "bits", F.posexplode("prefix").alias("i", "token"))
-    # earliest line of each list, and its place in that line's order
-    heads = (posts(first).groupBy("token").agg(F.min(F.struct("at", "n", "i", "bits")).alias("h"),
-                                               F.count(F.lit(1)).alias("df")).where("df > 1")
-             .select("token", *[F.col(f"h.{c}").alias(c + "2") for c in ("at", "n", "i", "bits")]))
-    near = posts(first).join(heads, "token").where((F.col("at2") < F.col("at")) & _possible(t))
-    by_head = _verified(near.select("at", "at2").distinct(), lines, t).select("at").distinct()
-    by_head.write.parquet(f"{root}/by_head")
-    by_head = spark.read.parquet(f"{root}/by_head")
-    other = posts(first).select("token", *[F.col(c).alias(c + "2") for c in ("at", "n", "i", "bits")])
-    rest = posts(first.join(by_head, "at", "left_anti"))
-    pairs = rest.join(other, "token").where((F.col("at2") < F.col("at")) & _possible(t))
-    by_other = _verified(pairs.select("at", "at2").distinct(), lines, t)
-    gone = by_head.unionByName(by_other.select("at").distinct())
-    gone.write.parquet(f"{root}/gone")
-    gone = spark.read.parquet(f"{root}/gone")
-    # back to all lines: those equal to an earlier one, and first ones that are matched
-    marked = (first.select("f1", "f2", F.col("at").alias("first"), "copies")
-              .join(gone.select(F.col("at").alias("first"), F.lit(True).alias("gone")), "first", "left")
-              .where("gone or copies > 1"))
-    return (lines.select("at", *same).join(marked, ["f1", "f2"])
-            .where("gone or not (at <=> first)").select("at.*"))
+    first = written(first.select("f1", "f2", "x.at", "x.n", "x.bits", "x.half", "x.prefix", "copies"), "first")
+    sides = ["at", "n", "i", "bits", "half"]
+
+    def posts(lines_left: DataFrame, part: int) -> DataFrame:
+        rows = lines_left.select("at", "n", "bits", "half", F.posexplode("prefix").alias("i", "token"))
+        return rows.where(F.col("token").bitwiseAND(F.lit(PASSES - 1)) == part)
+
+    def head_pairs(part: int) -> DataFrame:
+        # earliest line of each list, and its place in that line's order
+        heads = (posts(first, part).groupBy("token").agg(F.min(F.struct(*sides)).alias("h"), F.count(F.lit(1)).alias("df"))
+                 .where("df > 1").select("token", *[F.col(f"h.{c}").alias(c + "2") for c in sides]))
+        return posts(first, part).join(heads, "token")
+
+    def other_pairs(part: int) -> DataFrame:
+        other = posts(first, part).select("token", *[F.col(c).alias(c + "2") for c in sides])
+        return posts(rest, part).join(other, "token")
+
+    def confirmed(name: str, pairs: Callable[[int], DataFrame]) -> DataFrame:
+        for part in range(PASSES):
+            found = pairs(part).where(_possible(t) & (F.col("at2") < F.col("at"))).select("at", "at2").distinct()
+            found.write.parquet(f"{root}/{name}_pairs/part={part}")
+        found = spark.read.parquet(f"{root}/{name}_pairs").select("at", "at2").distinct()
+        return written(_verified(found, lines, t).select("at").distinct(), name)
+
+    by_head = confirmed("by_head", head_pairs)
+    rest = written(first.select("at", "n", "bits", "half", "prefix").join(by_head, "at", "left_anti"), "rest")
+    return first, by_head.unionByName(confirmed("by_other", other_pairs))
 
 
 def _bits(keys: Column) -> Column:
@@ -147,16 +175,19 @@ def _bits(keys: Column) -> Column:
 
 
 def _possible(t: Fraction) -> Column:
-    """Length, positional and parity filter on two lines (n, i, bits and n2,
-    i2, bits2) that share a token at the places i and i2.
+    """Length, positional and parity filter on two lines (n, i, bits, half and
+    n2, i2, bits2, half2) that share a token at the places i and i2.
 
     The token, all later ones and at most as many earlier ones as the smaller
     place may be shared."""
     n, n2, i, i2 = (F.col(c) for c in ("n", "n2", "i", "i2"))
     need = _overlap(t, n, n2)
+    differ, half = F.col("bits").bitwiseXOR(F.col("bits2")), F.col("half").bitwiseXOR(F.col("half2"))
+    # the parities of all tokens are those of one half and of the other, put together
+    more = F.bit_count(half) + F.bit_count(differ.bitwiseXOR(half))
     return ((n2 * t.denominator >= n * t.numerator) & (n * t.denominator >= n2 * t.numerator)
             & (F.least(n - i, n2 - i2) + F.least(i, i2) >= need)
-            & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits2"))) <= n + n2 - 2 * need))
+            & (F.coalesce(more, F.bit_count(differ)) <= n + n2 - 2 * need))
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, t: Fraction) -> DataFrame:

@@ -13,6 +13,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scorewell/{name}/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """Spark SQL settings that hold within the block; names with _ for the dot.
+
+    For steps that are written in the block: a result that is only read later
+    takes the settings of that time."""
+    names = {k.replace("_", "."): str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_removed(spark: SparkSession):
+    """A block in which the shuffle files of each write go when it ends, not
+    when the driver happens to collect its garbage."""
+    return settings(spark, spark_sql_classic_shuffleDependency_fileCleanup_enabled="true")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (checkpoint to the shared folder).
 

@@ -1,8 +1,12 @@
 """Line dedup against a comparison of all lines with all earlier ones."""
 
+import glob
 import random
 import re
+import time
+from fractions import Fraction
 
+from scorewell.llm import line_dedup
 from scorewell.llm.line_dedup import drop_repeated_lines, duplicate_lines
 from pyspark.sql import functions as F
 
@@ -160,3 +164,53 @@ def test_rows_keep_their_keys_when_cores_come_and_go(spark, tmp_path):
             spark.conf.unset(k)
     copied = with_row_key(spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "doc_id long, text string"), "row")
     assert copied.columns == ["doc_id", "text", "row"] and copied.select("row").distinct().count() == 3
+
+
+def test_near_copies_of_long_lines(spark):
+    """Sizes on both sides of the limit for more parities, and similarities about the threshold."""
+    rng = random.Random(5)
+    rows, vocab = [], [f"w{i}" for i in range(500)]
+    for size in (line_dedup.LONG - 4, line_dedup.LONG, line_dedup.LONG + 5, 160, 300):
+        base = rng.sample(vocab, size)
+        for _ in range(8):
+            line = list(base)
+            for _ in range(rng.randint(0, size // 6)):
+                line[rng.randrange(len(line))] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(line[rng.randint(0, size // 10):])))
+    gone = brute(rows)
+    assert 5 < len(gone) < len(rows) - 5
+    same(both(spark, rows), expected(rows, gone))
+
+
+def test_long_lines_with_few_common_words_are_no_candidates(spark):
+    rng = random.Random(6)
+    sets = [rng.sample(range(1 << 40), 180) for _ in range(2)]
+    sets[1][:40] = sets[0][:40]
+    keys = spark.createDataFrame([tuple(sets)], "a array<long>, b array<long>")
+    half = [F.filter(c, lambda k: k.bitwiseAND(F.lit(64)) != 0) for c in "ab"]
+    line = keys.select(*[F.lit(180).alias(c) for c in ("n", "n2")], *[F.lit(0).alias(c) for c in ("i", "i2")],
+                       line_dedup._bits(F.col("a")).alias("bits"), line_dedup._bits(F.col("b")).alias("bits2"),
+                       line_dedup._bits(half[0]).alias("half"), line_dedup._bits(half[1]).alias("half2"))
+    t = Fraction(4, 5)
+    assert not line.select(line_dedup._possible(t)).first()[0]
+    none = F.lit(None).cast("long")
+    assert line.withColumn("half", none).select(line_dedup._possible(t)).first()[0]
+
+
+def test_shuffle_files_of_finished_steps_are_gone(spark):
+    def files():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        return {f for d in env.blockManager().diskBlockManager().localDirsString()
+                for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    lines = spark.range(400).select(F.col("id").alias("doc_id"), F.lit(0).alias("line_no"), F.concat_ws(
+        " ", *[(F.col("id") % (i + 2)).cast("string") for i in range(12)]).alias("line")).repartition(3)
+    gone = duplicate_lines(lines)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(key) == setting
+    assert gone.count()
