@@ -43,8 +43,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import SPACE_CLASS, numbered, place
-from scorewell.session import scratch_path, ship_package
+from scorewell.llm.common import SPACE_CLASS, free_name, numbered, place, with_row_key
+from scorewell.session import scratch_path, ship_package, small_batches
 
 ORDER = 5
 _U = np.uint64
@@ -294,15 +294,18 @@ def _limits(measured: DataFrame, trusted: DataFrame, quantile: float, margin: fl
 def fit_classifier(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    lang_col: str = "lang", label_id: str = "doc_id", quality_col: str = "quality",
                    toxic_col: str = "toxic", fit_docs: int = 4000, quantile: float = 0.999,
-                   margin: float = 0.25, min_docs: int = 100) -> tuple[Classifier | None, DataFrame]:
-    """The classifier and the measures of all rows: doc_id, lang and both measures."""
+                   margin: float = 0.25, min_docs: int = 100,
+                   row_col: str | None = None) -> tuple[Classifier | None, DataFrame]:
+    """The classifier and the measures of all rows: doc_id, lang, with
+    ``row_col`` (a number of its own for each row) row, and both measures."""
     spark = df.sparkSession
     ship_package(spark)
     def column(of: DataFrame, name: str):
         return F.col(f"c{place(of, name)}")
     docs = numbered(df).select(column(df, id_col).cast("long").alias("doc_id"),
                                column(df, lang_col).cast("string").alias("lang"),
-                               column(df, text_col).alias("text"))
+                               column(df, text_col).alias("text"),
+                               *([column(df, row_col).cast("long").alias("row")] if row_col else []))
     marks = numbered(labels).select(column(labels, label_id).cast("long").alias("id"),
                                     column(labels, quality_col).alias("q"), column(labels, toxic_col).alias("t")).where("id IS NOT NULL").groupBy("id").agg(
         F.min("q").alias("q"), F.max("t").alias("t"))
@@ -320,7 +323,9 @@ def fit_classifier(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     bad = fit(sample(marks.where("t = 1").select("id")))
     path = scratch_path(spark, "quality")
     out = Classifier(spark.sparkContext.broadcast((good, bad)), None)
-    out.measured(docs, 2, [0, 1], "doc_id long, lang string").write.parquet(f"{path}/measured")
+    keep, fields = ([0, 1, 3], ", row long") if row_col else ([0, 1], "")
+    with small_batches(spark):
+        out.measured(docs, 2, keep, "doc_id long, lang string" + fields).write.parquet(f"{path}/measured")
     measured = spark.read.parquet(f"{path}/measured")
     _limits(measured, trusted.where(~fitted), quantile, margin, min_docs).write.parquet(f"{path}/limits")
     out.limits = spark.read.parquet(f"{path}/limits")
@@ -336,12 +341,14 @@ def judge_documents(df: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def keep_good(df: DataFrame, labels: DataFrame, text_col: str = "text", lang_col: str = "lang",
               **options) -> DataFrame:
-    """The rows of ``df`` that the classifier does not reject, unchanged."""
-    model, _ = fit_classifier(df, labels, text_col=text_col, lang_col=lang_col, **options)
+    """The rows of ``df`` that the classifier does not reject, unchanged.
+    Each row is measured once; the rejected ones are told by their keys."""
+    key = free_name("row", df.columns)
+    rows = with_row_key(df, key)
+    model, measured = fit_classifier(rows, labels, text_col=text_col, lang_col=lang_col, row_col=key, **options)
     if model is None:
         return df
-    # the text goes to the tasks once, with its row
-    rows = numbered(df).withColumn("lang", F.col(f"c{place(df, lang_col)}").cast("string"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    judged = model.judged(model.measured(rows, place(df, text_col), list(range(len(rows.columns))), fields))
-    return judged.where(~F.col("rejected")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+    bad = model.judged(measured).where("rejected").select("row")
+    rows = numbered(rows)
+    return rows.join(bad, rows[f"c{len(df.columns)}"] == bad["row"], "left_anti").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

@@ -84,6 +84,11 @@ def shuffles_removed(spark: SparkSession):
     return settings(spark, spark_sql_classic_shuffleDependency_fileCleanup_enabled="true")
 
 
+def small_batches(spark: SparkSession, **more: object):
+    """A block in which tasks hand Python about 4 MB at a time, not 10,000 rows."""
+    return settings(spark, spark_sql_execution_arrow_maxBytesPerBatch="4m", **more)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (checkpoint to the shared folder).
 

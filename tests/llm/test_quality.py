@@ -131,3 +131,16 @@ def test_the_text_goes_to_the_tasks_once(spark):
     got = keep_good(df, labels)
     assert got.columns == df.columns and got.count() <= 60
     assert "struct(" not in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_rows_are_measured_once(spark):
+    """The result is read off the measures that are written; no task runs the models again."""
+    rows = [(i, "some plain words of text" if i % 3 else "zq xv qj", "en") for i in range(60)]
+    df = spark.createDataFrame(rows + rows[:5], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 0)) for i in range(60)],
+                                   "doc_id long, quality int, toxic int")
+    kept = keep_good(df, labels)
+    assert kept.columns == df.columns
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString()
+    gone = {r.doc_id for r in judge_documents(df, labels).where("rejected").collect()}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in rows + rows[:5] if r[0] not in gone)
