@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorewell.llm.common import numbered, place
-from scorewell.session import scratch_path, ship_package
+from scorewell.session import scratch_path, ship_package, shuffles_removed, small_batches
 
 #: Bits of a sieve; each entry sets two.
 SIEVE_BITS = 1 << 25
@@ -63,8 +63,14 @@ PAGE = 1 << 15
 CHUNK = 1 << 18
 #: Rows of phrases that a task folds together before it hands them on.
 HELD = 1 << 18
-
-ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+#: Rows that a task hands to the JVM at once.
+HANDED = 1 << 14
+#: Chunks are written in pages of one each, and read so many at a time: rows of a megabyte, not of a few bytes.
+PAGED = {"parquet.page.size.row.check.min": 1, "parquet.block.size": 8 << 20}
+READ = {"spark_sql_parquet_columnarReaderBatchSize": 4}
+
+#: A-Z lower-cased, all ends of pieces a line feed, a tab a blank.
+PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 CHUNKS = "lang string, words binary, ids binary"
 PHRASES = "lang string, phrase string, size int, n long, before string, after string"
 KEY = ["lang", "phrase"]
@@ -98,21 +104,37 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[Chunk]:
-    held: dict[str, tuple[dict, list]] = {}
+    held: dict[str, list[str]] = {}
     total = 0
     for b in batches:
         for lang, text in zip(*b.columns):
-            words, ids = held.setdefault(lang.as_py(), ({b"": 0}, [0]))
-            before = len(ids)
-            for piece in (text.as_py() or "").encode().lower().translate(ENDS).split(b"\n"):
-                if piece:
-                    ids += [words.setdefault(w, len(words)) for w in piece.split()]
-                    ids.append(0)
-            total += len(ids) - before
-            if total > size:
-                yield from (Chunk(k, list(words), ids) for k, (words, ids) in held.items())
+            text = text.as_py() or ""
+            held.setdefault(lang.as_py(), []).append(text)
+            total += len(text)
+            if total > 6 * size:  # letters of so many words, about
+                yield from (Chunk(k, *_numbers(texts)) for k, texts in held.items())
                 held, total = {}, 0
-    yield from (Chunk(k, list(words), ids) for k, (words, ids) in held.items())
+    yield from (Chunk(k, *_numbers(texts)) for k, texts in held.items())
+
+
+def _numbers(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """Names of the words (no word first), and the words as numbers, 0 at both ends of each piece."""
+    letters = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode().translate(PLAIN), np.uint8)
+    end = letters == 10
+    inside = ~(end | (letters == 32))
+    begin = np.concatenate([[False], inside[1:] & ~inside[:-1]])
+    bounds = np.concatenate([[0], np.cumsum(inside)])[np.append(np.flatnonzero(begin), len(letters))]
+    words = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(letters[inside])]).dictionary_encode()
+    item = np.flatnonzero(begin | end)
+    ids = np.zeros(len(item), np.int64)
+    ids[begin[item]] = words.indices.to_numpy() + 1
+    ids = ids[(ids > 0) | (np.concatenate([[1], ids[:-1]]) > 0)]
+    return [b"", *words.dictionary.to_pylist()], ids
+
+
+def _handed(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    yield from (rows.slice(lo, HANDED) for lo in range(0, rows.num_rows, HANDED))
 
 
 class Sieve:
@@ -143,10 +165,10 @@ def _sieve(rows: DataFrame) -> Sieve:
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for c in _chunks(batches):
         n = np.bincount(c.ids, minlength=len(c.names))[1:]
-        yield pa.RecordBatch.from_arrays(
+        yield from _handed(pa.RecordBatch.from_arrays(
             [pa.array([c.lang] * len(n), pa.string()), pa.array(c.names[1:], pa.binary()).cast(pa.string()),
              pa.array(_mix(c.word_hash[1:] + c.start).view("<i8")), pa.array(n, pa.int64())],
-            names=["lang", "phrase", "h", "n"])
+            names=["lang", "phrase", "h", "n"]))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBatch]:
@@ -201,7 +223,8 @@ def _grow(batches: Iterator[pa.RecordBatch], first, levels, longest: int) -> Ite
         for k, _, h in _alive(c, first, levels, longest):
             if k == len(levels) + 2:
                 h, n = np.unique(h, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view("<i8")), pa.array(n, pa.int64())], names=["h", "n"])
+                yield from _handed(pa.RecordBatch.from_arrays(
+                    [pa.array(h.view("<i8")), pa.array(n, pa.int64())], names=["h", "n"]))
 
 
 def _read(batches: Iterator[pa.RecordBatch], first, levels, longest: int) -> Iterator[pa.RecordBatch]:
@@ -253,10 +276,10 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(x.num_rows for x in held) > HELD:
             held = _fold(held)
             if held[0].num_rows > HELD // 2:
-                yield from held
+                yield from _handed(held[0])
                 held = []
     if held:
-        yield from _fold(held)
+        yield from _handed(_fold(held)[0])
 
 
 def _fold(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
@@ -334,12 +357,19 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     ``batch``: how many first words a round expands, about; each next round
     takes eight times as many.
     """
+    ship_package(df.sparkSession)
+    with small_batches(df.sparkSession), shuffles_removed(df.sparkSession):
+        best = _mined(df, text_col, lang_col, least, top, longest, batch)
+    return _ranked(best, top)
+
+
+def _mined(df: DataFrame, text_col: str, lang_col: str, least: int, top: int, longest: int, batch: int) -> DataFrame:
+    """The same without ranks, written."""
     spark = df.sparkSession
-    ship_package(spark)
     root = scratch_path(spark, "collocations")
 
-    def written(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{root}/{name}")
+    def written(rows: DataFrame, name: str, **options) -> DataFrame:
+        rows.write.options(**options).parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
     texts = numbered(df).select(F.coalesce(F.col(f"c{place(df, lang_col)}").cast("string"), F.lit("und")).alias("lang"),
@@ -351,7 +381,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     words = written(words.where(F.col("n") >= least), "words")
     known = words.select("lang", "phrase", "n")
     frequent = spark.sparkContext.broadcast(_sieve(words))
-    chunks = written(texts.mapInArrow(lambda it: _encode(it, frequent), CHUNKS), "chunks")
+    chunks = written(texts.mapInArrow(lambda it: _encode(it, frequent), CHUNKS), "chunks", **PAGED)
     frequent.unpersist()
     best = spark.createDataFrame([], "lang string, phrase string, a long, l long, r long, n long, score long")
     no_cap = F.lit((1 << 63) - 1)
@@ -359,9 +389,10 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     while True:
         limits = written(_limits(words, below, batch << 3 * turn), f"limits{turn}")
         if limits.isEmpty():
-            return _ranked(best, top)
+            return best
         first = words.join(limits, "lang").where("n > low and n <= high")
-        candidates, known = _round(spark, chunks, first, known, least, longest, written, turn)
+        with small_batches(spark, **READ):
+            candidates, known = _round(spark, chunks, first, known, least, longest, written, turn)
         alone = (F.col("size") == longest) | ((F.col("before") == "") & (F.col("after") == ""))
         found = _scored(candidates.where(alone), known, totals)
         best = written(_ranked(best.unionByName(found), top), f"best{turn}").drop("rank")

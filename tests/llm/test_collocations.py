@@ -122,3 +122,33 @@ def test_op12_over_the_whole_table(spark):
     got = QUERIES["op12_collocations"](spark, SF)
     assert [t for _, t in got.dtypes] == ["string", "bigint", "string", *["bigint"] * 5]
     assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
+def test_words_are_numbered_as_a_plain_split_does():
+    rng = random.Random(2)
+    for _ in range(300):
+        texts = ["".join(rng.choice("aB\u00c9\x00\x1c \t\n.,;\r\x0b\x0c x\u4f60!?: ") for _ in range(rng.randint(0, 12)))
+                 for _ in range(rng.randint(0, 4))]
+        names, ids = c._numbers(texts)
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), "\n".join(texts))
+        pieces = [re.findall(r"[^\x20\x09]+", x) for x in re.split(r"[.,;:!?\x0A-\x0D]", low)]
+        want = [w.encode() for p in pieces if p for w in ["", *p]] + [b""]
+        assert [names[i] for i in ids] == want and len(set(names)) == len(names)
+
+
+def test_tasks_get_small_batches(spark):
+    from pyspark.sql import functions as F
+
+    from scorewell.session import small_batches
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    wide = spark.range(3000).coalesce(1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(it):
+        for b in it:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+    with small_batches(spark):
+        assert max(r.n for r in wide.mapInArrow(sizes, "n long").collect()) < 8 << 20
+    assert spark.conf.get(key) == before
+    big = pa.RecordBatch.from_arrays([pa.array(np.arange(3 * c.HANDED + 1))], names=["n"])
+    assert [b.num_rows for b in c._handed(big)] == [c.HANDED] * 3 + [1]
