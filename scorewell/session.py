@@ -61,6 +61,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scorewell/{name}/{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder under ``scratch_path`` that nothing reads any more."""
+    if "/scorewell/" not in path:
+        raise ValueError(f"{path} is no scratch folder")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: object) -> Iterator[None]:
     """Spark SQL settings that hold within the block; names with _ for the dot.

@@ -214,3 +214,45 @@ def test_shuffle_files_of_finished_steps_are_gone(spark):
     assert not files() - before
     assert spark.conf.get(key) == setting
     assert gone.count()
+
+
+def test_a_text_is_split_once_to_take_lines_out(spark):
+    """Not again for each line that stays, as it was when the split stood within the lambda."""
+    df = spark.createDataFrame([(1, "a b c d e\nf g\na b c d e"), (2, "f g")], "doc_id long, text string")
+    out = drop_repeated_lines(df, min_tokens=1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_except" in plan
+    assert not re.search(r"lambdafunction\((get\()?split\(", plan)
+    assert sorted(map(tuple, out.collect())) == [(1, "a b c d e\nf g", 1), (2, "", 1)]
+
+
+def test_only_ascii_letters_are_lowered(spark):
+    lines = ["ABC xyz", "É Ab", "İI", "\u212a K", "ΑΣ B", "A\tB\x0bC\x0cD\rE\nF", "", " A  b "]
+    want = [re.sub("[\t\x0b\x0c\r\n]", " ", re.sub("[A-Z]", lambda m: m[0].lower(), x)) for x in lines]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    low = df.select("i", line_dedup._low(F.col("line")).alias("low"))
+    assert [r.low for r in low.orderBy("i").collect()] == want
+    sizes = low.select("i", F.size(line_dedup._hashes(F.col("low"))).alias("n")).orderBy("i").collect()
+    assert [r.n for r in sizes] == [len(set(x.split(" ")) - {""}) for x in want]
+
+
+def test_large_group_of_near_copies(spark):
+    """Copies differ from the first and from each other; some match a later line only."""
+    rng = random.Random(7)
+    base, rows = [f"g{i}" for i in range(30)], []
+    for d in range(150):
+        line = list(base)
+        for _ in range(rng.randint(0, 5)):
+            line[rng.randrange(30)] = f"v{rng.randrange(400)}"
+        rows.append((d, " ".join(line[:rng.randint(24, 30)])))
+    gone = brute(rows)
+    assert 60 < len(gone) < 150
+    same(both(spark, rows), expected(rows, gone))
+
+
+def test_files_that_no_later_step_reads_are_gone(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(line_dedup, "scratch_path", lambda spark, name: f"{tmp_path}/scorewell/{name}")
+    lines = spark.createDataFrame([(1, 0, "a b"), (2, 0, "A b"), (3, 0, "c")], "doc_id long, line_no int, line string")
+    assert duplicate_lines(lines, min_tokens=1).collect() == [(2, 0)]
+    left = {p.split("/")[-1] for p in glob.glob(f"{tmp_path}/scorewell/line_dedup/*")}
+    assert {"every", "first"} <= left and not left & {"hashed", "equal"}
